@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import and_
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.constants import DEFAULT_GEO_FILTER, METRICS, SECTION_LABELS, SUB_METRO_BREAKDOWNS, TIME_SERIES
 from tallymart.functions import url_slug
-from tallymart.session import freeze, local_frame
+from tallymart.session import frozen, local_frame
 
 CATALOGUE_COLUMNS = ("survey", "series", "dimension", "breakdown", "table_id", "geo_filter", "filters")
 FILTERS_TYPE = "map<string,array<string>>"
@@ -129,8 +128,6 @@ CORE_NEED_TABLES = (
 # Ids that do not follow the time-series rule.
 TIME_SERIES_ID_OVERRIDES = (("Scss", "Length of Construction", "Intended Market", TIME_SERIES, "1.2.8"),)
 
-_CATALOGUES: WeakKeyDictionary[SparkSession, DataFrame] = WeakKeyDictionary()
-
 _SPEC_SCHEMA = (
     f"survey string, series string, dimension string, id_prefix string, code_set string, "
     f"breakdown string, geo_filter string, filters {FILTERS_TYPE}"
@@ -205,14 +202,16 @@ def code_frame(spark: SparkSession) -> DataFrame:
 
 def survey_catalogue(spark: SparkSession) -> DataFrame:
     """The full catalogue of published tables: fixed content, so expanded once per session."""
-    if spark not in _CATALOGUES:
+
+    def expanded() -> DataFrame:
         specs = local_frame(spark, _table_specs(), _SPEC_SCHEMA)
         overrides = local_frame(
             spark, TIME_SERIES_ID_OVERRIDES,
             "survey string, series string, dimension string, breakdown string, table_id string",
         )
-        _CATALOGUES[spark] = freeze(expand_catalogue(specs, code_frame(spark), overrides))
-    return _CATALOGUES[spark]
+        return expand_catalogue(specs, code_frame(spark), overrides)
+
+    return frozen(spark, "survey_catalogue", expanded)
 
 
 def find_tables(catalogue: DataFrame, **wanted: str | None) -> DataFrame:

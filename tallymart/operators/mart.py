@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.constants import DIMENSION_COLUMNS, PROJECTED_METRICS
@@ -59,8 +59,9 @@ def attach_metric(df: DataFrame, table_map: DataFrame) -> DataFrame:
 
 def place_fact(observations: DataFrame, table_map: DataFrame, directory: DataFrame) -> DataFrame:
     """Observations -> rows of known places and metrics, with level, id and suppression flag."""
-    placed = geo.tag_level(geo.with_resolved_place(observations), directory)
-    return attach_metric(placed, table_map).withColumn(
+    # Metrics first: their map is tiny, so other tables' rows go before places are matched.
+    measured = attach_metric(geo.with_resolved_place(observations), table_map)
+    return geo.tag_level(measured, directory).withColumn(
         "is_suppressed", is_suppressed(F.col("value"), F.col("reliability"))
     )
 
@@ -97,17 +98,30 @@ def project_metric(starred: DataFrame, spec: Projection) -> DataFrame:
     )
 
 
+def projection_frame(spark: SparkSession) -> DataFrame:
+    return local_frame(
+        spark, [(p.name, p.metric, p.dimension) for p in projections()],
+        "table_name string, metric_name string, dimension string",
+    )
+
+
 def published_projections(fact: DataFrame, metrics: DataFrame) -> DataFrame:
     """Names and row counts of projections that have rows; one aggregate decides for all."""
     sizes = (
         fact.groupBy("metric_id", "dimension").agg(F.count(F.lit(1)).alias("n_rows"))
         .join(metrics.select("metric_id", "metric_name"), "metric_id")
     )
-    specs = local_frame(
-        fact.sparkSession, [(p.name, p.metric, p.dimension) for p in projections()],
-        "table_name string, metric_name string, dimension string",
+    return sizes.join(projection_frame(fact.sparkSession), ["metric_name", "dimension"]).select("table_name", "n_rows")
+
+
+def all_projections(starred: DataFrame) -> DataFrame:
+    """Rows of every projection in one pass, labelled by ``table_name``; empty ones have none."""
+    named = starred.join(projection_frame(starred.sparkSession), ["metric_name", "dimension"])
+    return named.select(
+        "table_name", "geo_level", "geo_name", "province", "cma", "period",
+        period_year(F.col("period")).alias("period_year"), "category", "value",
+        "reliability", "is_suppressed", "source_survey", "table_id", "updated_at",
     )
-    return sizes.join(specs, ["metric_name", "dimension"]).select("table_name", "n_rows")
 
 
 def meta_row(fact: DataFrame, geographies: DataFrame, *, built_at: Column, source_newest: DataFrame,

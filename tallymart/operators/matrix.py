@@ -20,7 +20,7 @@ from tallymart.constants import (
     SKIPPED_SHEETS,
 )
 from tallymart.functions import parse_grid_number, parse_grid_period, strip
-from tallymart.operators.reshape import drop_dividers, ragged_to_long
+from tallymart.operators.reshape import drop_dividers, header_slots, ragged_to_long
 from tallymart.session import local_frame
 
 MATRIX_COLUMNS = (
@@ -115,14 +115,16 @@ def _is_kept(label: Column) -> Column:
 def matrix_long(grid: DataFrame, tables: DataFrame) -> DataFrame:
     """``grid`` rows ⨝ ``tables`` (file, first_sheet, survey, table_id, title + recipe fields) -> long."""
     described = select_sheets(grid.join(tables, "file"))
-    heads = header_rows(described)
+    facts = ["axis", "sheet_dimension", "code_label", "metric", "title", "survey", "table_id"]
+    # Column slots are worked out once per sheet, on its header row.
+    heads = header_rows(described).join(tables.select("file", *facts), "file").select(
+        "file", "sheet", "header_idx", header_slots(F.col("header"), _is_code, _is_kept).alias("slots")
+    )
     body = described.join(heads, ["file", "sheet"]).where(F.col("row_idx") > F.col("header_idx"))
-    keep = ["file", "sheet", "axis", "sheet_dimension", "code_label", "metric", "title", "survey", "table_id"]
-    long = ragged_to_long(
-        body.select(*keep, "header", "cells"),
-        is_code=_is_code, is_kept=_is_kept, parse_value=parse_grid_number,
+    named = body.select("file", "sheet", *facts, strip(F.get("cells", F.lit(0))).alias("geography"), "slots", "cells")
+    long = drop_dividers(
+        ragged_to_long(named, parse_value=parse_grid_number), ["file", "sheet", "geography"]
     )
-    long = drop_dividers(long.withColumnRenamed("index_text", "geography"), ["file", "sheet", "geography"])
     sheet_period = F.when(F.col("sheet_dimension") == "period", parse_grid_period(F.col("sheet")))
     sheet_category = F.when(F.col("sheet_dimension") == "category", F.col("sheet"))
     by_period = F.col("axis") == "period"

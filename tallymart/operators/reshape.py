@@ -59,52 +59,60 @@ def is_blank_header(header: Column) -> Column:
     return F.coalesce(header == "", F.lit(True))
 
 
-def ragged_to_long(
-    rows: DataFrame,
-    *,
-    header: str = "header",
-    cells: str = "cells",
+def header_slots(
+    header: Column,
     is_code: Callable[[Column], Column] = is_blank_header,
     is_kept: Callable[[Column], Column] | None = None,
-    parse_value: Callable[[Column], Column] = parse_number,
-) -> DataFrame:
-    """Melt rows that each carry their own header array.
+) -> Column:
+    """Value columns of a header array: label, position, and position of the code column if any.
 
-    The index cell is position 0 of both arrays.  Columns failing ``is_kept`` are
-    taken out before value columns look for the code column to their right.
-    Cells beyond the header are ignored, missing cells read as null.
+    Position 0 is the index column.  Columns failing ``is_kept`` are taken out before
+    value columns look for the code column to their right.  One evaluation per header,
+    not per data row.
     """
-    labels, texts = F.col(header), F.col(cells)
-    positions = F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1)))
-    positions = F.filter(positions, lambda i: i < F.size(labels))
+    n = F.size(header)
+    columns = F.slice(
+        F.transform(header, lambda label, i: F.struct(label.alias("label"), i.alias("at"))),
+        F.lit(2), F.greatest(n - 1, F.lit(0)),
+    )
     if is_kept is not None:
-        positions = F.filter(positions, lambda i: is_kept(F.get(labels, i)))
-    columns = F.transform(
-        positions,
-        lambda i: F.struct(F.get(labels, i).alias("label"), F.get(texts, i).alias("text")),
+        columns = F.filter(columns, lambda c: is_kept(c["label"]))
+    neighbours = F.arrays_zip(
+        columns.alias("own"), F.slice(columns, F.lit(2), F.greatest(n, F.lit(1))).alias("right")
+    )
+    values = F.filter(neighbours, lambda p: p["own"].isNotNull() & ~is_code(p["own"]["label"]))
+    return F.transform(
+        values,
+        lambda p: F.struct(
+            strip(p["own"]["label"]).alias("category"),
+            p["own"]["at"].alias("at"),
+            F.when(p["right"].isNotNull() & is_code(p["right"]["label"]), p["right"]["at"]).alias("code_at"),
+        ),
     )
-    others = [c for c in rows.columns if c not in (header, cells)]
-    staged = rows.select(*others, F.get(texts, F.lit(0)).alias("index_cell"), columns.alias("columns"))
 
-    cols = F.col("columns")
 
-    def pick(i: Column) -> Column:
-        right = F.get(cols, i + 1)
-        return F.struct(
-            F.get(cols, i)["label"].alias("label"),
-            F.get(cols, i)["text"].alias("raw_value"),
-            F.when(is_code(right["label"]), right["text"]).alias("raw_code"),
-        )
+def ragged_to_long(
+    rows: DataFrame, *, slots: str = "slots", cells: str = "cells",
+    parse_value: Callable[[Column], Column] = parse_number,
+) -> DataFrame:
+    """Melt rows of cells by the ``header_slots`` they carry; other columns are kept.
 
-    slots = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size(cols) - 1, F.lit(0))),
-        lambda i: (i < F.size(cols)) & ~is_code(F.get(cols, i)["label"]),
+    Cells beyond the header are ignored, missing cells read as null.
+    """
+    texts = F.col(cells)
+    picked = F.transform(
+        F.col(slots),
+        lambda s: F.struct(
+            s["category"].alias("category"),
+            F.get(texts, s["at"]).alias("raw_value"),
+            F.get(texts, s["code_at"]).alias("raw_code"),
+        ),
     )
+    others = [c for c in rows.columns if c not in (slots, cells)]
     # Cells are parsed after the generator, inside whole-stage codegen.
-    return staged.select(*others, "index_cell", F.inline(F.transform(slots, pick))).select(
+    return rows.select(*others, F.inline(picked)).select(
         *others,
-        strip(F.col("index_cell")).alias("index_text"),
-        strip(F.col("label")).alias("category"),
+        "category",
         parse_value(F.col("raw_value")).alias("value"),
         blank_to_null(F.col("raw_code")).alias("reliability"),
     )

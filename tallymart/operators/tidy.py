@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.constants import PLACE_BREAKDOWNS
-from tallymart.functions import is_value_token, parse_number, parse_period, split_csv_line, strip, subtitle_period
+from tallymart.functions import is_value_token, parse_period, split_csv_line, strip, subtitle_period
 from tallymart.functions.text import LINE_BREAK, drop_trailing_blank
-from tallymart.operators.reshape import LONG_COLUMNS, ragged_to_long
+from tallymart.operators.reshape import LONG_COLUMNS, header_slots, ragged_to_long
 
 REJECT_REASON = "No data table found"
 
@@ -43,119 +43,112 @@ def _snapshot_cells(line: Column) -> Column:
 
 
 def _is_snapshot_pair(head: Column, data: Column, head_line: Column, data_line: Column) -> Column:
-    return (
-        ~_is_blank(head_line) & ~_is_blank(data_line)
+    """A header line directly over a line of as many numbers or null tokens."""
+    return F.coalesce(
+        (F.size(head) >= 2) & (F.size(head) == F.size(data))
         & ~strip(head_line).startswith(",") & ~strip(data_line).startswith(",")
-        & (F.size(head) >= 2) & (F.size(head) == F.size(data))
-        & F.forall(data, is_value_token)
+        & F.forall(data, is_value_token),
+        F.lit(False),
     )
 
 
-def _shape(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Data rows (header, cells, breakdown, file_period, any_filled) -> the long contract."""
-    index = F.coalesce(strip(F.get(F.col("cells"), F.lit(0))), F.lit(""))
-    places = _lists_places(F.col("breakdown"))
-    dated = rows.where((index != "") | ~F.col("any_filled")).select(
-        *keys,
-        F.when(places, F.col("file_period")).otherwise(parse_period(index)).alias("period"),
-        F.when(places, F.nullif(index, F.lit(""))).alias("sub_geography"),
-        "header", "cells",
-    )
-    return ragged_to_long(dated).select(*keys, *LONG_COLUMNS)
+def _no_codes(label: Column) -> Column:
+    return F.lit(False)
 
 
-def _snapshot_rows(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    cells = F.arrays_zip(F.col("head").alias("label"), F.col("data").alias("text"))
-    return pairs.select(*keys, "period", F.inline(cells).alias("label", "text")).select(
-        *keys,
-        "period",
-        F.lit(None).cast("string").alias("sub_geography"),
-        strip(F.col("label")).alias("category"),
-        parse_number(F.col("text")).alias("value"),
-        F.lit(None).cast("string").alias("reliability"),
-    )
+def _indexed(cells: Column) -> Column:
+    """Snapshot cells with the index cell they lack."""
+    return F.concat(F.array(F.lit("")), cells)
 
 
-# --- one row per file ---------------------------------------------------------
+def _first_cell(cells: Column) -> Column:
+    return F.coalesce(strip(F.get(cells, F.lit(0))), F.lit(""))
 
 
-def _with_lines(files: DataFrame, keys: list[str]) -> DataFrame:
-    lines = files.select(*keys, "breakdown", file_lines(F.col("content")).alias("lines"))
-    return lines.withColumn(
-        "start", first_position(F.transform(F.col("lines"), lambda s: s.startswith(",")))
-    )
-
+def _shape(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Data rows (slots, cells, places, dated, file_period, any_filled) -> the long contract.
 
-def matrix_rows(files: DataFrame, keys: list[str]) -> DataFrame:
-    """Data rows of files with a leading-comma header, each with its header and file facts."""
-    n = F.size(F.col("lines"))
-    # Filters may be reordered, so every index stays valid without a header too.
-    start = F.greatest(F.col("start"), F.lit(1))
-    body = F.slice(F.col("lines"), start, n)
-    above = F.filter(F.slice(F.col("lines"), F.lit(1), start - 1), lambda s: ~_is_blank(s))
-    block_end = first_position(F.transform(F.col("body"), _is_blank))
-    block_size = F.when(F.col("end") > 0, F.col("end") - 1).otherwise(F.size(F.col("body")))
-    return (
-        _with_lines(files, keys)
-        .where(F.col("start") > 0)
-        .select(
-            *keys, "breakdown", body.alias("body"),
-            subtitle_period(F.try_element_at(above, F.lit(-1))).alias("file_period"),
-        )
-        .withColumn("end", block_end)
-        .select(
-            *keys, "breakdown", "file_period",
-            split_csv_line(F.get(F.col("body"), F.lit(0))).alias("header"),
-            F.transform(F.slice(F.col("body"), F.lit(2), block_size - 1), split_csv_line).alias("table"),
-        )
-        .withColumn(
-            "any_filled",
-            F.exists(F.col("table"), lambda r: F.coalesce(strip(F.get(r, F.lit(0))) != "", F.lit(False))),
-        )
-        .select(*keys, "breakdown", "file_period", "header", "any_filled", F.explode("table").alias("cells"))
+    ``dated`` says that the whole file has one period, ``places`` that the index is a place.
+    """
+    index = _first_cell(F.col("cells"))
+    resolved = rows.where((index != "") | ~F.col("any_filled")).select(
+        *keys,
+        F.when(F.col("dated"), F.col("file_period")).otherwise(parse_period(index)).alias("period"),
+        F.when(F.col("places"), F.nullif(index, F.lit(""))).alias("sub_geography"),
+        "slots", "cells",
     )
+    return ragged_to_long(resolved).select(*keys, *LONG_COLUMNS)
 
 
-def snapshot_pairs(files: DataFrame, keys: list[str]) -> DataFrame:
-    """Header and data line of files without a leading-comma header; ``at`` is 0 if there are none."""
-    cells = F.transform(F.col("lines"), _snapshot_cells)
-    lines, rows, at = F.col("lines"), F.col("rows"), F.col("at")
+# --- one row per file ---------------------------------------------------------
+#
+# Each step is a projection over the arrays of the step before.  No step filters on
+# a computed column (a pushed-down filter would compute it twice): a file without a
+# table of one form has null there, and the generator drops it.
+
+
+def _located(files: DataFrame, keys: list[str]) -> DataFrame:
+    """``start``: line of the leading-comma header, 0 without one; ``at``: line of a snapshot header."""
+    lines, rows, n = F.col("lines"), F.col("rows"), F.size(F.col("lines"))
+    pairs = F.arrays_zip(
+        rows.alias("head"), F.slice(rows, F.lit(2), n).alias("data"),
+        lines.alias("head_line"), F.slice(lines, F.lit(2), n).alias("data_line"),
+    )
     matches = F.transform(
-        F.sequence(F.lit(0), F.size(lines) - 1),
-        lambda i: F.coalesce(
-            (i + 1 < F.size(lines))
-            & _is_snapshot_pair(F.get(rows, i), F.get(rows, i + 1), F.get(lines, i), F.get(lines, i + 1)),
-            F.lit(False),
-        ),
+        pairs, lambda p: _is_snapshot_pair(p["head"], p["data"], p["head_line"], p["data_line"])
     )
-    above = F.reverse(F.slice(lines, F.lit(1), F.greatest(at - 1, F.lit(0))))
-    periods = F.filter(F.transform(above, parse_period), lambda p: p.isNotNull())
     return (
-        _with_lines(files, keys)
-        .where(F.col("start") == 0)
-        .withColumn("rows", cells)
+        files.select(*keys, "breakdown", file_lines(F.col("content")).alias("lines"))
+        .withColumn("start", first_position(F.transform(lines, lambda s: s.startswith(","))))
+        .withColumn("rows", F.when(F.col("start") == 0, F.transform(lines, _snapshot_cells)))
         .withColumn("at", first_position(matches))
-        .select(
-            *keys, "at",
-            F.get(rows, at - 1).alias("head"),
-            F.get(rows, at).alias("data"),
-            F.get(periods, F.lit(0)).alias("period"),
-        )
     )
 
 
-def snapshot_long(files: DataFrame, keys: list[str]) -> DataFrame:
-    return _snapshot_rows(snapshot_pairs(files, keys).where(F.col("at") > 0), keys)
+def table_rows(files: DataFrame, keys: list[str]) -> DataFrame:
+    """Every data row with its file's column slots and facts."""
+    lines, rows, start, at, body = (F.col(c) for c in ("lines", "rows", "start", "at", "body"))
+    is_matrix = start > 0
+    n = F.size(lines)
+    body_end = first_position(F.transform(body, _is_blank))
+    body_rows = F.when(body_end > 0, body_end - 1).otherwise(F.size(body))
+    above = F.slice(lines, F.lit(1), F.greatest(F.when(is_matrix, start).otherwise(at) - 1, F.lit(0)))
+    subtitle = F.try_element_at(F.filter(above, lambda s: ~_is_blank(s)), F.lit(-1))
+    stamps = F.filter(F.transform(F.reverse(above), parse_period), lambda p: p.isNotNull())
+    header, table = F.col("header"), F.col("table")
+    return (
+        _located(files, keys)
+        .withColumn("body", F.when(is_matrix, F.slice(lines, F.greatest(start, F.lit(1)), n)))
+        .withColumn("body_rows", body_rows)
+        .select(
+            *keys, is_matrix.alias("is_matrix"), _lists_places(F.col("breakdown")).alias("lists_places"),
+            F.when(is_matrix, split_csv_line(F.get(body, F.lit(0)))).otherwise(_indexed(F.get(rows, at - 1))).alias("header"),
+            F.when(is_matrix, F.transform(F.slice(body, F.lit(2), F.col("body_rows") - 1), split_csv_line))
+            .when(at > 0, F.array(_indexed(F.get(rows, at)))).alias("table"),
+            F.when(is_matrix, subtitle_period(subtitle)).otherwise(F.get(stamps, F.lit(0))).alias("file_period"),
+        )
+        .select(
+            *keys, "table", "file_period",
+            (F.col("is_matrix") & F.col("lists_places")).alias("places"),
+            (~F.col("is_matrix") | F.col("lists_places")).alias("dated"),
+            F.when(F.col("is_matrix"), header_slots(header)).otherwise(header_slots(header, _no_codes)).alias("slots"),
+            F.coalesce(F.exists(table, lambda r: _first_cell(r) != ""), F.lit(False)).alias("any_filled"),
+        )
+        .select(*keys, "slots", "places", "dated", "file_period", "any_filled",
+                F.explode(F.coalesce(table, F.array())).alias("cells"))
+    )
 
 
 def tidy_files(files: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, breakdown, content) -> keys + the five long columns; no shuffle."""
-    return _shape(matrix_rows(files, keys), keys).unionByName(snapshot_long(files, keys)).select(*keys, *LONG_COLUMNS)
+    """(keys, breakdown, content) -> keys + the five long columns; one pass, no shuffle."""
+    return _shape(table_rows(files, keys), keys)
 
 
 def rejected_files(files: DataFrame, keys: list[str]) -> DataFrame:
     """Files holding no table in either form; one bad file never stops the others."""
-    return snapshot_pairs(files, keys).where(F.col("at") == 0).select(*keys, F.lit(REJECT_REASON).alias("reason"))
+    return _located(files, keys).where((F.col("start") == 0) & (F.col("at") == 0)).select(
+        *keys, F.lit(REJECT_REASON).alias("reason")
+    )
 
 
 # --- one row per line ---------------------------------------------------------
@@ -176,19 +169,18 @@ def tidy_lines(lines: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame
             F.min(F.when(_is_blank(line) & (pos > F.col("start")), pos)).alias("end"),
             F.max_by(line, F.when(~_is_blank(line) & (pos < F.col("start")), pos)).alias("subtitle"),
         )
-        .withColumn("header", split_csv_line(F.col("header_line")))
+        .withColumn("slots", header_slots(split_csv_line(F.col("header_line"))))
         .withColumn("file_period", subtitle_period(F.col("subtitle")))
         .drop("header_line", "subtitle")
     )
     block = (
         lines.join(bounds, keys)
         .where((pos > F.col("start")) & (F.col("end").isNull() | (pos < F.col("end"))))
-        .select(*keys, "file_period", "header", split_csv_line(line).alias("cells"))
+        .select(*keys, "slots", "file_period", split_csv_line(line).alias("cells"))
     )
-    filled = F.coalesce(strip(F.get(F.col("cells"), F.lit(0))) != "", F.lit(False))
-    flags = block.groupBy(*keys).agg(F.max(filled).alias("any_filled"))
-    rows = block.join(flags, keys).join(files.select(*keys, "breakdown"), keys)
-    matrix = _shape(rows, keys)
+    flags = block.groupBy(*keys).agg(F.max(_first_cell(F.col("cells")) != "").alias("any_filled"))
+    places = files.select(*keys, _lists_places(F.col("breakdown")).alias("places"))
+    matrix = block.join(flags, keys).join(places.withColumn("dated", F.col("places")), keys)
 
     loose = lines.join(heads.select(*keys), keys, "left_anti")
     # Neighbouring lines meet on (file, pos): that key spreads a huge file over all tasks.
@@ -201,14 +193,18 @@ def tidy_lines(lines: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame
         .groupBy(*keys)
         .agg(F.min("pos").alias("at"), F.min_by(F.struct("head", "data"), F.col("pos")).alias("pair"))
     )
-    dated = F.when(pos < F.col("at"), parse_period(line))
-    found = (
+    stamp = F.when(pos < F.col("at"), parse_period(line))
+    snapshots = (
         loose.join(pairs, keys)
         .groupBy(*keys)
         .agg(
-            F.max_by(dated, F.when(dated.isNotNull(), pos)).alias("period"),
+            F.max_by(stamp, F.when(stamp.isNotNull(), pos)).alias("file_period"),
             F.min(F.struct("at", "pair")).alias("first"),
         )
-        .select(*keys, "period", F.col("first.pair.head").alias("head"), F.col("first.pair.data").alias("data"))
+        .select(
+            *keys, header_slots(_indexed(F.col("first.pair.head")), _no_codes).alias("slots"), "file_period",
+            _indexed(F.col("first.pair.data")).alias("cells"), F.lit(False).alias("any_filled"),
+            F.lit(False).alias("places"), F.lit(True).alias("dated"),
+        )
     )
-    return matrix.unionByName(_snapshot_rows(found, keys)).select(*keys, *LONG_COLUMNS)
+    return _shape(matrix.unionByName(snapshots), keys)

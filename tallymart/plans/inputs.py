@@ -136,51 +136,47 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     A file covers one supplier over its quarters, or one supplier and quarter; the
     number of files grows with the data, their length does not.
     """
-    w = wide(spark, sf_dir)
-    title, notes = F.lit(" Title "), F.lit("\r\n\r\nNotes\r\nSource,Agency\r\n")
-    one = F.concat(F.col("sub_geography"), F.lit(" "), F.date_format("period", "yyyy-MM"))
-    whole = F.col("sub_geography")
-
-    def series(region: str, table_id: str, header: Column, row: Column, extra: str) -> DataFrame:
-        rows = F.sort_array(F.collect_list(F.struct("period", row.alias("line"))))["line"]
-        return (
-            w.where(F.col("province") == region)
-            .groupBy("province", "sub_geography")
-            .agg(F.concat_ws("\r\n", rows).alias("rows"))
-            .select(
-                F.lit(table_id).alias("table_id"), whole.alias("geography"),
-                F.concat(_text(title, F.lit("1990 to 2024 Row / Apartment"), F.lit(""), header, F.col("rows")),
-                         F.lit(extra), notes).alias("text"),
-            )
-        )
-
-    def single(region: str, table_id: str, *lines: Column) -> DataFrame:
-        return w.where(F.col("province") == region).select(
-            F.lit(table_id).alias("table_id"), one.alias("geography"),
-            F.concat(_text(title, *lines), notes).alias("text"),
+    w, region = wide(spark, sf_dir), F.col("province")
+    end = F.lit("\r\n\r\nNotes\r\nSource,Agency\r\n")
+    africa, america, asia, europe = (region == r for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE"))
+    comma, row_of = F.lit(","), F.concat
+
+    # A file per supplier, a line per quarter (their number is bounded by the calendar).
+    line = F.when(
+        africa, row_of(F.date_format("period", "yyyy/'Q'q"), comma, *(_coded(c) for c in CATEGORIES))
+    ).otherwise(row_of(F.date_format("period", "MMM yyyy"), comma, *(_quoted(c) for c in CATEGORIES)))
+    lines = F.sort_array(F.collect_list(F.struct("period", line.alias("line"))))["line"]
+    series = (
+        w.where(africa | asia).groupBy("province", "sub_geography").agg(F.concat_ws("\r\n", lines).alias("lines"))
+        .select(
+            F.when(africa, "2.2.11").otherwise("2.2.1").alias("table_id"), F.col("sub_geography").alias("geography"),
+            F.concat(
+                F.lit(" Title \r\n1990 to 2024 Row / Apartment\r\n\r\n,"),
+                F.when(africa, _labels(CATEGORIES, ",,")).otherwise(_labels(CATEGORIES, ",")), F.lit("\r\n"),
+                F.col("lines"), F.when(asia, "\r\n,1,2,3,4,5,6,").otherwise(""), end,
+            ).alias("text"),
         )
-
-    subtitle = F.concat(F.date_format("period", "MMMM yyyy"), F.lit(" Row / Apartment"))
-    comma = F.lit(",")
-    coded = [
-        series("AFRICA", "2.2.11", F.concat(comma, _labels(CATEGORIES, ",,")),
-               F.concat(F.date_format("period", "yyyy/'Q'q"), comma, *(_coded(c) for c in CATEGORIES)), ""),
-        series("ASIA", "2.2.1", F.concat(comma, _labels(CATEGORIES, ",")),
-               F.concat(F.date_format("period", "MMM yyyy"), comma, *(_quoted(c) for c in CATEGORIES)),
-               "\r\n,1,2,3,4,5,6,"),
-        single("AMERICA", "2.1.11.4", subtitle, F.concat(comma, _labels(CATEGORIES, ",,")),
-               F.concat(comma, *(_coded(c) for c in CATEGORIES))),
-        single("EUROPE", "2.1.11.1", subtitle, F.concat(comma, _labels(STATUSES, ",,")),
-               *(F.concat(F.lit(f"Place {f},"), *(_coded(f + s) for s in STATUSES)) for f in FLAGS),
-               F.lit(",1,a ,2,b ,")),
-        single("MIDDLE EAST", "3.3.1", F.date_format("period", "MMM yyyy"), _labels(CATEGORIES, ","),
-               F.concat(*(_quoted(c) for c in CATEGORIES))),
-    ]
-    texts = coded[0]
-    for part in coded[1:]:
-        texts = texts.unionByName(part)
+    )
+    # A file per supplier and quarter.
+    subtitle = F.date_format("period", "MMMM yyyy' Row / Apartment'")
+    single = w.where(~africa & ~asia).select(
+        F.when(america, "2.1.11.4").when(europe, "2.1.11.1").otherwise("3.3.1").alias("table_id"),
+        F.concat(F.col("sub_geography"), F.lit(" "), F.date_format("period", "yyyy-MM")).alias("geography"),
+        F.concat(
+            F.lit(" Title \r\n"),
+            F.when(america, _text(
+                subtitle, row_of(comma, _labels(CATEGORIES, ",,")), row_of(comma, *(_coded(c) for c in CATEGORIES)),
+            )).when(europe, _text(
+                subtitle, row_of(comma, _labels(STATUSES, ",,")),
+                *(row_of(F.lit(f"Place {f},"), *(_coded(f + s) for s in STATUSES)) for f in FLAGS), F.lit(",1,a ,2,b ,"),
+            )).otherwise(_text(
+                F.date_format("period", "MMM yyyy"), _labels(CATEGORIES, ","), row_of(*(_quoted(c) for c in CATEGORIES)),
+            )),
+            end,
+        ).alias("text"),
+    )
     breakdowns = survey_catalogue(spark).select("survey", "table_id", "breakdown")
-    return texts.join(breakdowns, "table_id", "left").select(
+    return series.unionByName(single).join(breakdowns, "table_id", "left").select(
         "survey", "table_id", "geography", "breakdown", F.encode("text", "ISO-8859-1").alias("content")
     )
 

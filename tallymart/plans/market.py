@@ -9,23 +9,27 @@ from tallymart.operators import analytics, catalogue, geo, mart
 from tallymart.plans import inputs
 from tallymart.plans.inputs import FACT, GEOGRAPHIES
 from tallymart.plans.registry import query
-from tallymart.session import freeze
+from tallymart.session import frozen
 
 PUBLISHER = "Agency"
 COVERAGE = "%d metros, %d districts with data, %d districts without"
 
 
-def _table_map(spark: SparkSession) -> DataFrame:
-    return freeze(catalogue.table_metric_map(catalogue.metric_inventory(spark), catalogue.survey_catalogue(spark)))
+def table_map(spark: SparkSession) -> DataFrame:
+    return frozen(
+        spark, "table_metric_map",
+        lambda: catalogue.table_metric_map(catalogue.metric_inventory(spark), catalogue.survey_catalogue(spark)),
+    )
 
 
-def _metrics(spark: SparkSession) -> DataFrame:
-    return freeze(
-        catalogue.metric_dimension(catalogue.metric_inventory(spark), catalogue.survey_catalogue(spark), PUBLISHER)
+def metric_table(spark: SparkSession) -> DataFrame:
+    return frozen(
+        spark, "metrics",
+        lambda: catalogue.metric_dimension(catalogue.metric_inventory(spark), catalogue.survey_catalogue(spark), PUBLISHER),
     )
 
 
-def _directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.place_directory(
         inputs.provinces(spark, sf_dir), inputs.metros(spark, sf_dir), inputs.members(spark, sf_dir),
         province_id=F.concat(F.lit("PR:"), "geo_name"),
@@ -34,13 +38,13 @@ def _directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def market_mart(spark: SparkSession, sf_dir: str) -> mart.Mart:
     return mart.build_mart(
-        inputs.market(spark, sf_dir), metrics=_metrics(spark), table_map=_table_map(spark),
-        directory=_directory(spark, sf_dir), province=F.lit("Home"),
+        inputs.market(spark, sf_dir), metrics=metric_table(spark), table_map=table_map(spark),
+        directory=directory(spark, sf_dir), province=F.lit("Home"),
     )
 
 
 def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart.place_fact(inputs.market(spark, sf_dir), _table_map(spark), _directory(spark, sf_dir))
+    return mart.place_fact(inputs.market(spark, sf_dir), table_map(spark), directory(spark, sf_dir))
 
 
 _FACT_COLUMNS = "metric_id, geo_id, period, dimension, category, value, reliability, is_suppressed, source_survey, table_id, updated_at"
@@ -61,8 +65,8 @@ def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {FACT} SELECT geo_name, geo_level, count(*) AS n FROM fact GROUP BY 1, 2""")
 def geo_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level tagging by reference membership; places of no known name are dropped."""
-    known = inputs.market(spark, sf_dir).join(_table_map(spark), "table_id", "left_semi")
-    tagged = geo.tag_level(geo.with_resolved_place(known), _directory(spark, sf_dir))
+    known = inputs.market(spark, sf_dir).join(table_map(spark), "table_id", "left_semi")
+    tagged = geo.tag_level(geo.with_resolved_place(known), directory(spark, sf_dir))
     return tagged.groupBy("geo_name", "geo_level").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -70,7 +74,7 @@ def geo_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attach_geo_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids by (name, level) from a geography table."""
     placed = _placed(spark, sf_dir).drop("geo_id")
-    return geo.attach_geo_id(placed, _directory(spark, sf_dir)).select(
+    return geo.attach_geo_id(placed, directory(spark, sf_dir)).select(
         "table_id", "geo_name", "geo_level", "geo_id", "period", "category"
     )
 
@@ -85,7 +89,7 @@ def attach_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.table(spark, sf_dir, "lineitem").join(
         inputs.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     ).join(inputs.table_sizes(spark), "p_size")
-    return mart.attach_metric(lines, _table_map(spark)).groupBy("table_id", "metric_id", "dimension").agg(
+    return mart.attach_metric(lines, table_map(spark)).groupBy("table_id", "metric_id", "dimension").agg(
         F.count(F.lit(1)).alias("n")
     )
 

@@ -33,12 +33,12 @@ SELECT DISTINCT table_id, geography, '', category, CAST(CASE right(category, 2)
 UNION ALL
 SELECT DISTINCT table_id, geography, '', category, CAST(CASE right(category, 1) WHEN 'F' THEN 1 ELSE 2 END AS DOUBLE),
        CASE right(category, 1) WHEN 'F' THEN 'a' ELSE 'b' END FROM tidy WHERE table_id = '2.1.11.1'
-""".replace("FROM tidy\nUNION", "FROM tidy WHERE table_id <> '3.3.1'\nUNION"))
+""")
 def wide_to_long_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headers differ by file; summary rows are still there at this stage."""
-    rows = tidy.matrix_rows(inputs.files(spark, sf_dir), FILE_KEYS)
-    long = reshape.ragged_to_long(rows.select(*FILE_KEYS, "header", "cells"))
-    return long.withColumn("index_text", F.coalesce("index_text", F.lit("")))
+    rows = tidy.table_rows(inputs.files(spark, sf_dir), FILE_KEYS)
+    index = F.coalesce(fn.strip(F.get("cells", F.lit(0))), F.lit(""))
+    return reshape.ragged_to_long(rows.select(*FILE_KEYS, index.alias("index_text"), "slots", "cells"))
 
 
 @query(f"{TIDY} SELECT {LONG} FROM tidy")
@@ -55,10 +55,32 @@ def tidy_long_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy.tidy_lines(lines, files, FILE_KEYS)
 
 
-@query(f"{TIDY} SELECT {LONG} FROM tidy WHERE table_id = '3.3.1'")
+_BARE = """bare AS (
+  SELECT c.c_custkey, k.category, CASE k.category WHEN 'Balance' THEN CASE WHEN c_acctbal >= 0 THEN round(c_acctbal, 2) END
+         WHEN 'Orders' THEN CAST(n AS DOUBLE) END AS value, CAST(date_trunc('month', first) AS DATE) AS period
+  FROM customer c JOIN (SELECT o_custkey, count(*) AS n, min(o_orderdate) AS first FROM orders GROUP BY 1) o ON o_custkey = c_custkey
+  CROSS JOIN (VALUES ('Balance'), ('Less Than $1,500'), ('Orders')) k(category))"""
+
+
+@query(f"""WITH {_BARE} SELECT CAST(c_custkey AS VARCHAR) AS geography, period, CAST(NULL AS VARCHAR) AS sub_geography, category, value,
+  CAST(NULL AS VARCHAR) AS reliability FROM bare""")
 def snapshot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files without an index column; matrix files yield nothing here."""
-    return tidy.snapshot_long(inputs.files(spark, sf_dir), FILE_KEYS).select(*FILE_KEYS, *reshape.LONG_COLUMNS)
+    """Files without an index column: one per customer, its period on an earlier line."""
+    orders = inputs.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.min("o_orderdate").alias("first")
+    )
+    balance = F.when(F.col("c_acctbal") >= 0, F.format_number("c_acctbal", 2)).otherwise("**")
+    text = F.concat_ws(
+        "\r\n", F.lit(" Title "), F.date_format("first", "yyyy MMMM"), F.lit("Some, remark"),
+        F.lit('Balance,"Less Than $1,500",Orders,'),
+        F.concat(F.lit('"'), balance, F.lit('",n/a,'), F.col("n").cast("string"), F.lit(",")),
+        F.lit(""), F.lit("Source,Agency"),
+    )
+    files = inputs.table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
+        F.col("c_custkey").cast("string").alias("geography"), F.lit("Snapshot").alias("breakdown"),
+        F.encode(text, "ISO-8859-1").alias("content"),
+    )
+    return tidy.tidy_files(files, ["geography"])
 
 
 @query(f"""WITH {inputs.OBS}, dated AS (

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call-site capture costs several JVM round trips per expression.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 
@@ -60,8 +63,18 @@ def local_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Data
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields))
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Evaluate a frame of fixed values (never one derived from data) into local rows."""
+_FROZEN: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
+def frozen(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A frame of fixed values (never one derived from data), evaluated once per session into local rows."""
+    kept = _FROZEN.setdefault(spark, {})
+    if name not in kept:
+        kept[name] = _freeze(build())
+    return kept[name]
+
+
+def _freeze(df: DataFrame) -> DataFrame:
     rows = df.limit(FROZEN_ROWS + 1).collect()
     if len(rows) > FROZEN_ROWS:
         raise ValueError("only fixed inventories can be frozen")

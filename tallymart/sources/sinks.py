@@ -80,29 +80,35 @@ def build_archive(spark: SparkSession, raw_root: str, clean_root: str, catalogue
 
 
 def write_mart(spark: SparkSession, observations: DataFrame, path: str, *, metrics: DataFrame, table_map: DataFrame,
-               directory: DataFrame, province: Column, projections: bool = True) -> list[str]:
-    """Publish the star below ``path``; returns the names of the projections with rows.
+               directory: DataFrame, province: Column, projections: bool = True) -> None:
+    """Publish the star below ``path``.
 
     The fact is written first and read back, so dimensions and projections scan the
-    stored table instead of recomputing it.  Empty projections are not published.
+    stored table instead of recomputing it.  All projections are one job, a folder
+    per projection; an empty one gets no folder.
     """
     fact_path = f"{path}/rental_observations"
     mart.shape_fact(mart.place_fact(observations, table_map, directory)).write.mode("overwrite").parquet(fact_path)
     fact = spark.read.parquet(fact_path)
-    places = geo.geography_dimension(fact, directory, province=province)
-    places.write.mode("overwrite").parquet(f"{path}/geographies")
+    geo.geography_dimension(fact, directory, province=province).write.mode("overwrite").parquet(f"{path}/geographies")
     metrics.write.mode("overwrite").parquet(f"{path}/metrics")
     mart.dimension_values(fact).write.mode("overwrite").parquet(f"{path}/dimension_values")
-    if not projections:
-        return []
-    published = {row.table_name for row in mart.published_projections(fact, metrics).toLocalIterator()}
-    starred = mart.star(fact, metrics, spark.read.parquet(f"{path}/geographies"))
-    names = []
-    for spec in mart.projections():
-        if spec.name in published:
-            mart.project_metric(starred, spec).write.mode("overwrite").parquet(f"{path}/{spec.name}")
-            names.append(spec.name)
-    return names
+    if projections:
+        starred = mart.star(fact, metrics, spark.read.parquet(f"{path}/geographies"))
+        (
+            mart.all_projections(starred).hint("rebalance", "table_name")
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("table_name").parquet(f"{path}/projections")
+        )
+
+
+def read_projection(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One published projection under its own column names; only its folder is scanned."""
+    spec = next((p for p in mart.projections() if p.name == name), None)
+    if spec is None:
+        raise KeyError(f"no projection {name!r}")
+    rows = spark.read.parquet(f"{path}/projections").where(F.col("table_name") == name).drop("table_name")
+    return rows.withColumnsRenamed({"category": spec.category_column, "value": spec.value_column})
 
 
 def append_log(records: DataFrame, path: str) -> None:
