@@ -43,7 +43,9 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{CPUS}]",
         **{"spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
-           "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"},
+           "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
+           # The tables are a few MB: let small shuffles keep one partition per core.
+           "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {name: timed(lambda q=REGISTRY[name]: drain(q.run(spark, SF_DIR))) for name in QUERIES}

@@ -1,64 +1,73 @@
-"""Printed periods -> start-of-period dates."""
+"""Printed periods -> start-of-period dates.
+
+Plain string tests instead of patterns: a text is looked at by the one notation it
+can be, and every step runs inside generated code.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymart.constants import EXTRA_MONTH_SPELLINGS, MONTH_NAMES
+from tallymart.constants import EXTRA_MONTH_SPELLINGS, MONTH_NAMES, WHITESPACE
 from tallymart.functions.text import strip
 
-_PREFIXES = "".join(name[:3] for name in MONTH_NAMES)
-_MONTH = "|".join(
-    sorted({*MONTH_NAMES, *EXTRA_MONTH_SPELLINGS, *(m[:3] for m in MONTH_NAMES)}, key=len, reverse=True)
-)
-_YEAR = r"0*([1-9]\d{0,3})"
-_BARE_YEAR = r"^0*(19\d\d|20\d\d|2100)$"
-_MONTH_YEAR = rf"(?i)^({_MONTH})\s+{_YEAR}$"
-_YEAR_MONTH = rf"(?i)^{_YEAR}\s+({_MONTH})$"
-_YEAR_SLASH_QUARTER = rf"^{_YEAR}/Q([1-4])$"
-_GRID_QUARTER = r"^(\d{4})\s*/?\s*Q([1-4])$"
+_SPELLINGS = [*MONTH_NAMES, *(name[:3] for name in MONTH_NAMES), *EXTRA_MONTH_SPELLINGS]
+_MONTH_OF_PREFIX = {name[:3]: number for number, name in enumerate(MONTH_NAMES, start=1)}
+_DIGITS = "0123456789"
+_QUARTERS = ("Q1", "Q2", "Q3", "Q4")
 
 
-def _group(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group)
+def _number(text: Column) -> Column:
+    """Value of a text made of digits only, else null."""
+    return F.when(F.translate(text, _DIGITS, "") == "", text.try_cast("int"))
 
 
 def _date(year: Column, month: Column) -> Column:
-    return F.make_date(year, month, F.lit(1))
+    """Null unless both are known and the year has one to four digits."""
+    return F.when(year.between(1, 9999), F.make_date(year, month, F.lit(1)))
 
 
-def _year(text: Column, pattern: str, group: int = 1) -> Column:
-    # "" (no match) becomes null and carries through make_date.
-    return _group(text, pattern, group).try_cast("int")
+def _bare_year(text: Column) -> Column:
+    year = _number(text)
+    return F.when(year.between(1900, 2100), F.make_date(year, F.lit(1), F.lit(1)))
 
 
-def _month(text: Column, pattern: str, group: int) -> Column:
-    head = F.lower(F.substring(_group(text, pattern, group), 1, 3))
-    return ((F.instr(F.lit(_PREFIXES), head) + 2) / 3).cast("int")
+def _month(text: Column) -> Column:
+    spellings = F.array(*(F.lit(s) for s in _SPELLINGS))
+    numbers = F.array(*(F.lit(_MONTH_OF_PREFIX[s[:3]]) for s in _SPELLINGS))
+    at = F.array_position(spellings, F.lower(text)).cast("int")
+    return F.get(numbers, at - 1)
 
 
-def _quarter_start(text: Column, pattern: str) -> Column:
-    return _year(text, pattern, 2) * 3 - 2
+def _quarter_month(text: Column) -> Column:
+    at = F.array_position(F.array(*(F.lit(q) for q in _QUARTERS)), text).cast("int")
+    return F.when(at > 0, at * 3 - 2)
 
 
 def parse_period(col: Column) -> Column:
     """``2021``, ``Feb 1990``, ``1990 March``, ``1991/Q1``; anything else is null."""
     text = strip(col)
-    return F.coalesce(
-        _date(_year(text, _BARE_YEAR), F.lit(1)),
-        _date(_year(text, _YEAR_SLASH_QUARTER), _quarter_start(text, _YEAR_SLASH_QUARTER)),
-        _date(_year(text, _MONTH_YEAR, 2), _month(text, _MONTH_YEAR, 1)),
-        _date(_year(text, _YEAR_MONTH, 1), _month(text, _YEAR_MONTH, 2)),
+    head = F.substring_index(text, "/", 1)
+    tail = F.substring(text, F.length(head) + 2, F.length(text))
+    words = F.split(text, r"\s+")
+    first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
+    return (
+        F.when(F.contains(text, F.lit("/")), _date(_number(head), _quarter_month(tail)))
+        .when(F.translate(text, _DIGITS, "") == "", _bare_year(text))
+        .when(F.size(words) == 2, F.coalesce(_date(_number(first), _month(second)), _date(_number(second), _month(first))))
     )
 
 
 def parse_grid_period(col: Column) -> Column:
     """``2012Q3``, ``2012/Q3``, ``2012 Q3`` or ``2012``."""
     text = strip(col)
-    return F.coalesce(
-        _date(_year(text, _BARE_YEAR), F.lit(1)),
-        _date(_year(text, _GRID_QUARTER), _quarter_start(text, _GRID_QUARTER)),
+    blanks = F.lit(WHITESPACE)
+    rest = F.ltrim(F.substring(text, F.lit(5), F.length(text)), blanks)
+    quarter = F.when(rest.startswith("/"), F.ltrim(F.substring(rest, F.lit(2), F.length(rest)), blanks)).otherwise(rest)
+    year = F.substring(text, 1, 4)
+    return F.when(F.translate(text, _DIGITS, "") == "", _bare_year(text)).otherwise(
+        F.when(F.length(year) == 4, _date(_number(year), _quarter_month(quarter)))
     )
 
 

@@ -119,17 +119,17 @@ def matrix_long(grid: DataFrame, tables: DataFrame) -> DataFrame:
     # Column slots are worked out once per sheet, on its header row.
     heads = header_rows(described).join(tables.select("file", *facts), "file").select(
         "file", "sheet", "header_idx", header_slots(F.col("header"), _is_code, _is_kept).alias("slots")
-    )
+    ).withColumn("slots", F.transform("slots", lambda s: s.withField("period", parse_grid_period(s["category"]))))
     body = described.join(heads, ["file", "sheet"]).where(F.col("row_idx") > F.col("header_idx"))
     named = body.select("file", "sheet", *facts, strip(F.get("cells", F.lit(0))).alias("geography"), "slots", "cells")
     long = drop_dividers(
-        ragged_to_long(named, parse_value=parse_grid_number), ["file", "sheet", "geography"]
+        ragged_to_long(named, parse_value=parse_grid_number, carry=("category", "period")), ["file", "sheet", "geography"]
     )
     sheet_period = F.when(F.col("sheet_dimension") == "period", parse_grid_period(F.col("sheet")))
     sheet_category = F.when(F.col("sheet_dimension") == "category", F.col("sheet"))
     by_period = F.col("axis") == "period"
     return long.select(
-        F.when(by_period, parse_grid_period(F.col("category"))).otherwise(sheet_period).alias("period"),
+        F.when(by_period, F.col("period")).otherwise(sheet_period).alias("period"),
         F.lit(None).cast("string").alias("sub_geography"),
         F.when(by_period, F.coalesce(sheet_category, F.col("metric"), F.col("title"), F.lit("")))
         .otherwise(F.col("category")).alias("category"),

@@ -93,17 +93,17 @@ def header_slots(
 
 def ragged_to_long(
     rows: DataFrame, *, slots: str = "slots", cells: str = "cells",
-    parse_value: Callable[[Column], Column] = parse_number,
+    parse_value: Callable[[Column], Column] = parse_number, carry: Sequence[str] = ("category",),
 ) -> DataFrame:
     """Melt rows of cells by the ``header_slots`` they carry; other columns are kept.
 
-    Cells beyond the header are ignored, missing cells read as null.
+    ``carry`` names the slot fields that become columns.  Cells beyond the header are ignored, missing cells read as null.
     """
     texts = F.col(cells)
     picked = F.transform(
         F.col(slots),
         lambda s: F.struct(
-            s["category"].alias("category"),
+            *(s[field].alias(field) for field in carry),
             F.get(texts, s["at"]).alias("raw_value"),
             F.get(texts, s["code_at"]).alias("raw_code"),
         ),
@@ -112,7 +112,7 @@ def ragged_to_long(
     # Cells are parsed after the generator, inside whole-stage codegen.
     return rows.select(*others, F.inline(picked)).select(
         *others,
-        "category",
+        *carry,
         parse_value(F.col("raw_value")).alias("value"),
         blank_to_null(F.col("raw_code")).alias("reliability"),
     )
