@@ -11,6 +11,7 @@ from tallymart.plans.inputs import OBS
 from tallymart.plans.registry import query
 from tallymart.session import shared_folder
 from tallymart.sources import files, geojson, sinks
+from tallymart.streaming import stream_latency
 
 
 @query(f"""WITH {OBS} SELECT DISTINCT survey, table_id, replace(sub_geography, '_', ' ') AS geography,
@@ -191,6 +192,19 @@ def build_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.build_status_counts(planned, results, "table_id")
 
 
+@query("""SELECT event_type AS outcome, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18, 3))) AS DOUBLE) / count(value) AS avg_latency,
+  max(value) AS max_latency FROM events GROUP BY 1""")
+def log_latency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run-log summary driven by a file stream with a checkpoint."""
+    schema = inputs.table(spark, sf_dir, "events").schema
+    log = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    out = shared_folder(spark, "stream")
+    stream_latency(
+        log.select(F.col("event_type").alias("outcome"), F.col("value").alias("latency_s")), f"{out}/summary", f"{out}/checkpoint"
+    ).awaitTermination()
+    return spark.read.parquet(f"{out}/summary")
+
+
 # --- run log: events as attempts, event type as outcome --------------------------
 
 

@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 FEATURES_SCHEMA = "features array<struct<properties: map<string,string>, geometry: string>>"
 
 
+# How the JSON reader renders a bare NaN token in a text field.
+_NAN_TOKEN = '"NaN"'
+
+
 def scrub_nan(properties: Column) -> Column:
     """Drop keys whose value is NaN; nulls stay."""
-    return F.map_filter(properties, lambda k, v: ~F.coalesce(F.isnan(v.try_cast("double")), F.lit(False)))
+
+    def is_nan(value: Column) -> Column:
+        return F.coalesce((value == _NAN_TOKEN) | F.isnan(value.try_cast("double")), F.lit(False))
+
+    return F.map_filter(properties, lambda k, v: ~is_nan(v))
 
 
 def features(text: DataFrame, province_key: str | None = None, province: str | None = None) -> DataFrame:
