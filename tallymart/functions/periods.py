@@ -6,6 +6,8 @@ can be, and every step runs inside generated code.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ _DIGITS = "0123456789"
 _QUARTERS = ("Q1", "Q2", "Q3", "Q4")
 
 
+def _array(values: Sequence[str | int]) -> Column:
+    """A constant array, written as one expression to spare a call per element."""
+    return F.expr(f"array({', '.join(map(repr, values))})")
+
+
 def _number(text: Column) -> Column:
     """Value of a text made of digits only, else null."""
     return F.when(F.translate(text, _DIGITS, "") == "", text.try_cast("int"))
@@ -34,14 +41,12 @@ def _bare_year(text: Column) -> Column:
 
 
 def _month(text: Column) -> Column:
-    spellings = F.array(*(F.lit(s) for s in _SPELLINGS))
-    numbers = F.array(*(F.lit(_MONTH_OF_PREFIX[s[:3]]) for s in _SPELLINGS))
-    at = F.array_position(spellings, F.lower(text)).cast("int")
-    return F.get(numbers, at - 1)
+    at = F.array_position(_array(_SPELLINGS), F.lower(text)).cast("int")
+    return F.get(_array([_MONTH_OF_PREFIX[s[:3]] for s in _SPELLINGS]), at - 1)
 
 
 def _quarter_month(text: Column) -> Column:
-    at = F.array_position(F.array(*(F.lit(q) for q in _QUARTERS)), text).cast("int")
+    at = F.array_position(_array(_QUARTERS), text).cast("int")
     return F.when(at > 0, at * 3 - 2)
 
 
@@ -73,10 +78,11 @@ def parse_grid_period(col: Column) -> Column:
 
 def subtitle_period(line: Column) -> Column:
     """Period at the head of a subtitle: the whole line, then its 3, 2 and 1 first words."""
-    text = strip(line)
-    words = F.split(text, r"\s+")
-    heads = [F.array_join(F.slice(words, 1, n), " ") for n in (3, 2, 1)]
-    return F.coalesce(parse_period(text), *(parse_period(h) for h in heads))
+    words = F.split(strip(line), r"\s+")
+    heads = F.array(line, *(F.array_join(F.slice(words, 1, n), " ") for n in (3, 2, 1)))
+    # Bound one by one, so that a head is put together once and not per test.
+    found = F.filter(F.transform(heads, parse_period), lambda p: p.isNotNull())
+    return F.get(found, F.lit(0))
 
 
 def period_year(col: Column) -> Column:

@@ -56,10 +56,9 @@ def split_csv_line(line: Column) -> Column:
     return F.when(F.contains(line, F.lit('"')), F.transform(raw, unquote)).otherwise(raw)
 
 
-def drop_trailing_blank(cells: Column) -> Column:
-    """Drop one empty last cell, the mark of a trailing comma."""
-    n = F.size(cells)
-    return F.when(F.get(cells, n - 1) == "", F.slice(cells, F.lit(1), n - 1)).otherwise(cells)
+def drop_trailing_comma(line: Column) -> Column:
+    """Take out one empty last cell, the mark of a trailing comma."""
+    return F.regexp_replace(line, ',(?:"")?$', "")
 
 
 def url_slug(url: Column) -> Column:

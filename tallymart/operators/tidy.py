@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallymart.constants import PLACE_BREAKDOWNS
 from tallymart.functions import is_value_token, parse_period, split_csv_line, strip, subtitle_period
-from tallymart.functions.text import LINE_BREAK, drop_trailing_blank
+from tallymart.functions.text import LINE_BREAK, drop_trailing_comma
 from tallymart.operators.reshape import LONG_COLUMNS, header_slots, ragged_to_long
 
 REJECT_REASON = "No data table found"
@@ -39,7 +39,7 @@ def _lists_places(breakdown: Column) -> Column:
 
 
 def _snapshot_cells(line: Column) -> Column:
-    return drop_trailing_blank(split_csv_line(strip(line)))
+    return split_csv_line(drop_trailing_comma(strip(line)))
 
 
 def _is_snapshot_pair(head: Column, data: Column, head_line: Column, data_line: Column) -> Column:
@@ -113,19 +113,21 @@ def table_rows(files: DataFrame, keys: list[str]) -> DataFrame:
     body_end = first_position(F.transform(body, _is_blank))
     body_rows = F.when(body_end > 0, body_end - 1).otherwise(F.size(body))
     above = F.slice(lines, F.lit(1), F.greatest(F.when(is_matrix, start).otherwise(at) - 1, F.lit(0)))
-    subtitle = F.try_element_at(F.filter(above, lambda s: ~_is_blank(s)), F.lit(-1))
-    stamps = F.filter(F.transform(F.reverse(above), parse_period), lambda p: p.isNotNull())
+    subtitle = F.try_element_at(F.filter("above", lambda s: ~_is_blank(s)), F.lit(-1))
+    stamps = F.filter(F.transform(F.reverse(F.col("above")), parse_period), lambda p: p.isNotNull())
     header, table = F.col("header"), F.col("table")
     return (
         _located(files, keys)
         .withColumn("body", F.when(is_matrix, F.slice(lines, F.greatest(start, F.lit(1)), n)))
         .withColumn("body_rows", body_rows)
+        .withColumn("above", above)
+        .withColumn("subtitle", subtitle)
         .select(
             *keys, is_matrix.alias("is_matrix"), _lists_places(F.col("breakdown")).alias("lists_places"),
             F.when(is_matrix, split_csv_line(F.get(body, F.lit(0)))).otherwise(_indexed(F.get(rows, at - 1))).alias("header"),
             F.when(is_matrix, F.transform(F.slice(body, F.lit(2), F.col("body_rows") - 1), split_csv_line))
             .when(at > 0, F.array(_indexed(F.get(rows, at)))).alias("table"),
-            F.when(is_matrix, subtitle_period(subtitle)).otherwise(F.get(stamps, F.lit(0))).alias("file_period"),
+            F.when(is_matrix, subtitle_period(F.col("subtitle"))).otherwise(F.get(stamps, F.lit(0))).alias("file_period"),
         )
         .select(
             *keys, "table", "file_period",

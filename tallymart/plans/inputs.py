@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallymart.constants import METRICS, TIME_SERIES
 from tallymart.operators.catalogue import RENTAL_SERIES, SECONDARY_TABLES, survey_catalogue
 from tallymart.operators.matrix import recipe_frame
-from tallymart.session import local_frame
+from tallymart.session import local_frame, shared_folder
 
 FLAGS = ("A", "N", "R")
 STATUSES = ("F", "O")
@@ -100,30 +100,31 @@ OBS_MULTI = f"""{OBS}, obs_multi AS (
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(province, geography, sub_geography, period, AF, AF code, ...), all cells text."""
-    text = F.when(F.col("value").isNull(), "**").otherwise(F.format_number("value", 1))
     cells = []
     for category in CATEGORIES:
-        here = F.col("category") == category
-        cells.append(F.max(F.when(here, text)).alias(category))
-        cells.append(F.max(F.when(here, F.concat(F.coalesce("reliability", F.lit("")), F.lit(" ")))).alias(f"{category} code"))
+        here = f"max(CASE WHEN category = '{category}' THEN"
+        cells.append(F.expr(f"{here} CASE WHEN value IS NULL THEN '**' ELSE format_number(value, 1) END END)").alias(category))
+        cells.append(F.expr(f"{here} concat(coalesce(reliability, ''), ' ') END)").alias(f"{category} code"))
     return obs(spark, sf_dir).groupBy("province", "geography", "sub_geography", "period").agg(*cells)
 
 
-def _quoted(category: str) -> Column:
-    return F.concat(F.lit('"'), F.coalesce(F.col(category), F.lit("")), F.lit('",'))
+# Parts of file lines as SQL text over the columns of ``wide``.
 
 
-def _coded(category: str) -> Column:
-    return F.concat(_quoted(category), F.coalesce(F.col(f"{category} code"), F.lit("")), F.lit(","))
+def _quoted(category: str) -> str:
+    return f"""'"', coalesce({category}, ''), '",'"""
 
 
-def _label(tail: Column | str) -> Column:
-    tail = F.lit(tail) if isinstance(tail, str) else tail
-    return F.concat(F.col("province"), F.lit(" catégorie "), tail)
+def _coded(category: str) -> str:
+    return f"{_quoted(category)}, coalesce(`{category} code`, ''), ','"
 
 
-def _labels(tails: tuple[str, ...], gap: str) -> Column:
-    return F.concat(*(F.concat(_label(t), F.lit(gap)) for t in tails))
+def _labels(tails: tuple[str, ...], gap: str) -> str:
+    return ", ".join(f"province, ' catégorie {tail}{gap}'" for tail in tails)
+
+
+def _line(*parts: str) -> Column:
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 def _text(*lines: Column) -> Column:
@@ -139,12 +140,11 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     w, region = wide(spark, sf_dir), F.col("province")
     end = F.lit("\r\n\r\nNotes\r\nSource,Agency\r\n")
     africa, america, asia, europe = (region == r for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE"))
-    comma, row_of = F.lit(","), F.concat
 
     # A file per supplier, a line per quarter (their number is bounded by the calendar).
     line = F.when(
-        africa, row_of(F.date_format("period", "yyyy/'Q'q"), comma, *(_coded(c) for c in CATEGORIES))
-    ).otherwise(row_of(F.date_format("period", "MMM yyyy"), comma, *(_quoted(c) for c in CATEGORIES)))
+        africa, _line("date_format(period, 'yyyy')", "'/Q'", "quarter(period)", "','", *map(_coded, CATEGORIES))
+    ).otherwise(_line("date_format(period, 'MMM yyyy')", "','", *map(_quoted, CATEGORIES)))
     lines = F.sort_array(F.collect_list(F.struct("period", line.alias("line"))))["line"]
     series = (
         w.where(africa | asia).groupBy("province", "sub_geography").agg(F.concat_ws("\r\n", lines).alias("lines"))
@@ -152,7 +152,7 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(africa, "2.2.11").otherwise("2.2.1").alias("table_id"), F.col("sub_geography").alias("geography"),
             F.concat(
                 F.lit(" Title \r\n1990 to 2024 Row / Apartment\r\n\r\n,"),
-                F.when(africa, _labels(CATEGORIES, ",,")).otherwise(_labels(CATEGORIES, ",")), F.lit("\r\n"),
+                F.when(africa, _line(_labels(CATEGORIES, ",,"))).otherwise(_line(_labels(CATEGORIES, ","))), F.lit("\r\n"),
                 F.col("lines"), F.when(asia, "\r\n,1,2,3,4,5,6,").otherwise(""), end,
             ).alias("text"),
         )
@@ -165,12 +165,12 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(
             F.lit(" Title \r\n"),
             F.when(america, _text(
-                subtitle, row_of(comma, _labels(CATEGORIES, ",,")), row_of(comma, *(_coded(c) for c in CATEGORIES)),
+                subtitle, _line("','", _labels(CATEGORIES, ",,")), _line("','", *map(_coded, CATEGORIES)),
             )).when(europe, _text(
-                subtitle, row_of(comma, _labels(STATUSES, ",,")),
-                *(row_of(F.lit(f"Place {f},"), *(_coded(f + s) for s in STATUSES)) for f in FLAGS), F.lit(",1,a ,2,b ,"),
+                subtitle, _line("','", _labels(STATUSES, ",,")),
+                *(_line(f"'Place {f},'", *(_coded(f + s) for s in STATUSES)) for f in FLAGS), F.lit(",1,a ,2,b ,"),
             )).otherwise(_text(
-                F.date_format("period", "MMM yyyy"), _labels(CATEGORIES, ","), row_of(*(_quoted(c) for c in CATEGORIES)),
+                F.date_format("period", "MMM yyyy"), _line(_labels(CATEGORIES, ",")), _line(*map(_quoted, CATEGORIES)),
             )),
             end,
         ).alias("text"),
@@ -219,34 +219,29 @@ def workbook(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     data_row = F.col("s_suppkey") + 10
     quarters = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)]
 
-    def strings(*cols: Column) -> Column:
-        return F.array(*(c.cast("string") for c in cols))
-
     layout = F.when(F.col("province") == "ASIA", "category").when(F.col("province") == "AFRICA", "single").otherwise("period")
 
     # One sheet per quarter, categories across.
     by_period = w.where(layout == "period").select(
         *key, F.date_format("period", "yyyy'Q'q").alias("sheet"), data_row.alias("row_idx"),
-        strings(F.col("sub_geography"), *(F.col(c) for c in CATEGORIES)).alias("cells"),
+        F.expr(f"array(sub_geography, {', '.join(CATEGORIES)})").alias("cells"),
     )
     # One sheet per category, quarters across with code columns; or a single sheet of one category.
-    long = w.select(
-        "province", "geography", "sub_geography", "s_suppkey", F.date_format("period", "yyyy'Q'q").alias("quarter"),
-        F.inline(F.array(*(
-            F.struct(F.lit(c).alias("category"), F.col(c).alias("text"), F.col(f"{c} code").alias("code"))
-            for c in CATEGORIES
-        ))),
+    triples = ", ".join(f"'{c}', {c}, `{c} code`" for c in CATEGORIES)
+    long = w.selectExpr(
+        "province", "geography", "sub_geography", "s_suppkey", "concat(date_format(period, 'yyyy'), 'Q', quarter(period)) AS quarter",
+        f"stack({len(CATEGORIES)}, {triples}) AS (category, text, code)",
     )
     pivoted = long.groupBy("province", "geography", "category", "sub_geography", "s_suppkey").agg(*(
-        F.max(F.when(F.col("quarter") == q, F.struct("text", "code"))).alias(q) for q in quarters
+        F.expr(f"max(CASE WHEN quarter = '{q}' THEN struct(text, code) END)").alias(q) for q in quarters
     ))
     by_category = pivoted.where(layout == "category").select(
         *key, F.col("category").alias("sheet"), data_row.alias("row_idx"),
-        strings(F.col("sub_geography"), *(F.col(q)[x] for q in quarters for x in ("text", "code"))).alias("cells"),
+        F.expr(f"array(sub_geography, {', '.join(f'`{q}`.text, `{q}`.code' for q in quarters)})").alias("cells"),
     )
     single = pivoted.where(layout == "single").select(
         "province", F.concat_ws(" ", "geography", "category").alias("file"), F.lit("Sheet1").alias("sheet"), data_row.alias("row_idx"),
-        strings(F.col("sub_geography"), *(F.col(q)["text"] for q in quarters)).alias("cells"),
+        F.expr(f"array(sub_geography, {', '.join(f'`{q}`.text' for q in quarters)})").alias("cells"),
     )
     data = by_period.unionByName(by_category).unionByName(single)
 
@@ -258,9 +253,8 @@ def workbook(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     def frame_rows(header: list[str]) -> Column:
         rows = [(0, ["Banner"]), (2, header), (9, ["Provinces"]), (10**12, ["Source: somewhere"])]
-        return F.array(*(
-            F.struct(F.lit(i).cast("bigint").alias("row_idx"), F.array(*map(F.lit, c)).alias("cells")) for i, c in rows
-        ))
+        listed = ", ".join(f"struct(bigint({i}) AS row_idx, array({', '.join(map(repr, c))}) AS cells)" for i, c in rows)
+        return F.expr(f"array({listed})")
 
     around = data.select("province", "file", "sheet").distinct().select(
         "province", "file", "sheet",
@@ -290,7 +284,10 @@ def workbook(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             "axis", "sheet_name", "sheet_dimension", "skip_sheets", "header_marker", "code_label", "metric",
         )
     )
-    return grid.select("file", "sheet", "row_idx", "cells"), tables
+    # Sheets are read more than once, so they are stored like the workbooks they stand for.
+    path = shared_folder(spark, "grid")
+    grid.select("file", "sheet", "row_idx", "cells").write.parquet(path)
+    return spark.read.parquet(path), tables
 
 
 # --- market: observations under catalogue ids, for the star ----------------------

@@ -10,6 +10,7 @@ from tallymart.operators import matrix, reshape, tidy
 from tallymart.plans import inputs
 from tallymart.plans.inputs import CELLS, FILE_KEYS, TIDY
 from tallymart.plans.registry import query
+from tallymart.session import shared_folder
 
 LONG = "table_id, geography, period, sub_geography, category, value, reliability"
 
@@ -51,8 +52,11 @@ def tidy_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tidy_long_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through the line lane, which puts no limit on a file's size."""
     files = inputs.files(spark, sf_dir)
-    lines = files.select(*FILE_KEYS, F.posexplode(tidy.file_lines(F.col("content"))).alias("pos", "line"))
-    return tidy.tidy_lines(lines, files, FILE_KEYS)
+    # The lane scans lines several times, so they are stored like the files they stand for.
+    path = shared_folder(spark, "lines")
+    files.select(*FILE_KEYS, "breakdown", F.posexplode(tidy.file_lines(F.col("content"))).alias("pos", "line")).write.parquet(path)
+    lines = spark.read.parquet(path)
+    return tidy.tidy_lines(lines.drop("breakdown"), lines.select(*FILE_KEYS, "breakdown").distinct(), FILE_KEYS)
 
 
 _BARE = """bare AS (
