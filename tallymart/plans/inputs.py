@@ -28,7 +28,8 @@ def quarter(col: Column) -> Column:
 
 
 def cents(col: Column) -> Column:
-    return F.round(col * 100).cast("bigint")
+    """Whole cents of a positive amount (``round`` on doubles would go through BigDecimal)."""
+    return F.floor(col * 100 + 0.5)
 
 
 def mean_value(total: Column, n: Column) -> Column:
