@@ -113,26 +113,36 @@ def _is_kept(label: Column) -> Column:
 
 
 def matrix_long(grid: DataFrame, tables: DataFrame) -> DataFrame:
-    """``grid`` rows ⨝ ``tables`` (file, first_sheet, survey, table_id, title + recipe fields) -> long."""
-    described = select_sheets(grid.join(tables, "file"))
-    facts = ["axis", "sheet_dimension", "code_label", "metric", "title", "survey", "table_id"]
-    # Column slots are worked out once per sheet, on its header row.
-    heads = header_rows(described).join(tables.select("file", *facts), "file").select(
-        "file", "sheet", "header_idx", header_slots(F.col("header"), _is_code, _is_kept).alias("slots")
-    ).withColumn("slots", F.transform("slots", lambda s: s.withField("period", parse_grid_period(s["category"]))))
-    body = described.join(heads, ["file", "sheet"]).where(F.col("row_idx") > F.col("header_idx"))
-    named = body.select("file", "sheet", *facts, strip(F.get("cells", F.lit(0))).alias("geography"), "slots", "cells")
-    long = drop_dividers(
-        ragged_to_long(named, parse_value=parse_grid_number, carry=("category", "period")), ["file", "sheet", "geography"]
-    )
+    """``grid`` rows ⨝ ``tables`` (file, first_sheet, survey, table_id, title + recipe fields) -> long.
+
+    Everything that holds for a whole sheet (column slots, periods, labels) is worked
+    out once, on its header row; data rows meet it on (file, sheet).
+    """
+    by_period = F.col("axis") == "period"
     sheet_period = F.when(F.col("sheet_dimension") == "period", parse_grid_period(F.col("sheet")))
     sheet_category = F.when(F.col("sheet_dimension") == "category", F.col("sheet"))
-    by_period = F.col("axis") == "period"
-    return long.select(
-        F.when(by_period, F.col("period")).otherwise(sheet_period).alias("period"),
-        F.lit(None).cast("string").alias("sub_geography"),
-        F.when(by_period, F.coalesce(sheet_category, F.col("metric"), F.col("title"), F.lit("")))
-        .otherwise(F.col("category")).alias("category"),
-        "value", "reliability", "survey", "table_id", "geography",
-        F.lit("static").alias("source"),
+    label = F.coalesce(sheet_category, F.col("metric"), F.col("title"), F.lit(""))
+    sheets = (
+        header_rows(select_sheets(grid.join(tables, "file"))).join(tables, "file")
+        .withColumn("sheet_period", sheet_period)
+        .withColumn("sheet_label", label)
+        .withColumn("slots", header_slots(F.col("header"), _is_code, _is_kept))
+        .select(
+            "file", "sheet", "header_idx", "survey", "table_id",
+            F.transform("slots", lambda s: F.struct(
+                F.when(by_period, parse_grid_period(s["category"])).otherwise(F.col("sheet_period")).alias("period"),
+                F.when(by_period, F.col("sheet_label")).otherwise(s["category"]).alias("category"),
+                s["at"].alias("at"), s["code_at"].alias("code_at"),
+            )).alias("slots"),
+        )
+    )
+    body = (
+        grid.join(sheets, ["file", "sheet"]).where(F.col("row_idx") > F.col("header_idx"))
+        .select("file", "sheet", "survey", "table_id", strip(F.get("cells", F.lit(0))).alias("geography"), "slots", "cells")
+    )
+    any_value = F.exists("slots", lambda s: parse_grid_number(F.get("cells", s["at"])).isNotNull())
+    placed = drop_dividers(body, ["file", "sheet", "geography"], any_value)
+    return ragged_to_long(placed, parse_value=parse_grid_number, carry=("period", "category")).select(
+        "period", F.lit(None).cast("string").alias("sub_geography"), "category", "value", "reliability",
+        "survey", "table_id", "geography", F.lit("static").alias("source"),
     )

@@ -134,8 +134,12 @@ def drop_summary_rows(df: DataFrame, group: Sequence[str], index: str) -> DataFr
     )
 
 
-def drop_dividers(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Keep only groups with a value somewhere; suppressed cells of such a group stay."""
-    alive = df.where(F.col("value").isNotNull()).select(*(F.col(g).alias(f"_{g}") for g in group)).distinct()
+def drop_dividers(df: DataFrame, group: Sequence[str], has_value: Column | None = None) -> DataFrame:
+    """Keep only groups with a value somewhere; suppressed cells of such a group stay.
+
+    Works on long rows, or on whole rows of cells with a test for any value in them.
+    """
+    has_value = F.col("value").isNotNull() if has_value is None else has_value
+    alive = df.where(has_value).select(*(F.col(g).alias(f"_{g}") for g in group)).distinct()
     same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
     return df.join(alive, reduce(and_, same), "left_semi")
