@@ -73,12 +73,16 @@ def shape_fact(fact: DataFrame) -> DataFrame:
 def dimension_values(fact: DataFrame) -> DataFrame:
     """(dimension, category) with a 1-based index over their global order.
 
-    The unpartitioned window runs on the distinct labels only, whose number is
-    bounded by the published table layouts and not by the observations.
+    Labels are numbered within their dimension, in parallel, and shifted by the sizes
+    of the dimensions before it; only those few sizes meet in one task.
     """
     labels = fact.where(F.col("dimension").isNotNull()).select("dimension", "category").distinct()
-    return labels.withColumn(
-        "sort_order", F.row_number().over(Window.orderBy("dimension", "category")).cast("smallint")
+    sizes = labels.groupBy("dimension").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("dimension").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("dimension", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    place = F.row_number().over(Window.partitionBy("dimension").orderBy("category"))
+    return labels.withColumn("place", place).join(shifts, "dimension").select(
+        "dimension", "category", (F.col("shift") + F.col("place")).cast("smallint").alias("sort_order")
     )
 
 
@@ -151,15 +155,23 @@ def meta_row(fact: DataFrame, geographies: DataFrame, *, built_at: Column, sourc
     )
 
 
+def unique_places(directory: DataFrame, province: Column) -> DataFrame:
+    """Place attributes by id, one row each, so that no join on the id adds rows."""
+    first = F.min(F.struct("geo_name", "geo_level", "cma", "csduid", "cma_uid")).alias("p")
+    return directory.groupBy("geo_id").agg(first).select("geo_id", "p.*", province.alias("province"))
+
+
 @dataclass(frozen=True)
 class Mart:
     rental_observations: DataFrame
     metrics: DataFrame
     geographies: DataFrame
     dimension_values: DataFrame
+    places: DataFrame
 
     def star(self) -> DataFrame:
-        return star(self.rental_observations, self.metrics, self.geographies)
+        """Places come from reference frames, so the fact is computed once, not again for its places."""
+        return star(self.rental_observations, self.metrics, self.places)
 
     def tables(self) -> dict[str, DataFrame]:
         """Core tables and every projection, by published name."""
@@ -172,9 +184,9 @@ def build_mart(observations: DataFrame, *, metrics: DataFrame, table_map: DataFr
                province: Column) -> Mart:
     """Long observations -> star.
 
-    Dimensions scan the shaped fact; when everything is published, write the fact
-    first (``sources.sinks.write_mart``) so that they read it back.
+    The tables are lazy; to publish them all, ``sources.sinks.write_mart`` writes the
+    fact first and reads it back for the rest.
     """
     fact = shape_fact(place_fact(observations, table_map, directory))
     places = geo.geography_dimension(fact, directory, province=province)
-    return Mart(fact, metrics, places, dimension_values(fact))
+    return Mart(fact, metrics, places, dimension_values(fact), unique_places(directory, province))

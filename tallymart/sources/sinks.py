@@ -94,7 +94,8 @@ def write_mart(spark: SparkSession, observations: DataFrame, path: str, *, metri
     metrics.write.mode("overwrite").parquet(f"{path}/metrics")
     mart.dimension_values(fact).write.mode("overwrite").parquet(f"{path}/dimension_values")
     if projections:
-        starred = mart.star(fact, metrics, spark.read.parquet(f"{path}/geographies"))
+        places = mart.unique_places(spark.read.parquet(f"{path}/geographies"), province)
+        starred = mart.star(fact, metrics, places)
         (
             mart.all_projections(starred).hint("rebalance", "table_name")
             .write.mode("overwrite").option("partitionOverwriteMode", "static")
