@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,17 +93,20 @@ def write_mart(spark: SparkSession, observations: DataFrame, path: str, *, metri
     fact_path = f"{path}/rental_observations"
     mart.shape_fact(mart.place_fact(observations, table_map, directory)).write.mode("overwrite").parquet(fact_path)
     fact = spark.read.parquet(fact_path)
-    geo.geography_dimension(fact, directory, province=province).write.mode("overwrite").parquet(f"{path}/geographies")
-    metrics.write.mode("overwrite").parquet(f"{path}/metrics")
-    mart.dimension_values(fact).write.mode("overwrite").parquet(f"{path}/dimension_values")
+    outputs = {
+        "geographies": geo.geography_dimension(fact, directory, province=province),
+        "metrics": metrics,
+        "dimension_values": mart.dimension_values(fact),
+    }
+    writers = [partial(df.write.mode("overwrite").parquet, f"{path}/{name}") for name, df in outputs.items()]
     if projections:
-        places = mart.unique_places(spark.read.parquet(f"{path}/geographies"), province)
-        starred = mart.star(fact, metrics, places)
-        (
-            mart.all_projections(starred).hint("rebalance", "table_name")
-            .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("table_name").parquet(f"{path}/projections")
-        )
+        labelled = mart.all_projections(mart.star(fact, metrics, mart.unique_places(directory, province)))
+        writer = labelled.hint("rebalance", "table_name").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writers.insert(0, partial(writer.partitionBy("table_name").parquet, f"{path}/projections"))
+    # The outputs only share the stored fact, so their jobs run side by side.
+    with ThreadPoolExecutor(len(writers)) as pool:
+        for done in [pool.submit(write) for write in writers]:
+            done.result()
 
 
 def read_projection(spark: SparkSession, path: str, name: str) -> DataFrame:
