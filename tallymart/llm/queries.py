@@ -6,8 +6,10 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymart.llm.ngram_join import ngram_join
+from tallymart.llm.packing import pack
 from tallymart.llm.tables import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +26,11 @@ def query(fn):
     return run
 
 
+@query
+def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir)).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @query
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir))
