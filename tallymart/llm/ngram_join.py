@@ -116,7 +116,7 @@ def common_tokens(docs: DataFrame, k: int) -> Common:
                     seen.add(mark)
                     kept.append(tokens)
                     size += len(tokens)
-            if size > 4_000_000:
+            if size > 2_000_000:
                 yield flush()
                 kept, size = [], 0
         if kept:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallymart.llm import langid
 from tallymart.llm.ngram_join import ngram_join
 from tallymart.llm.packing import pack
+from tallymart.llm.pii import find_pii
 from tallymart.llm.tables import documents, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +42,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir))
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(documents(spark, sf_dir)).drop("found")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text of so many bytes is worked on at once inside a task (one longer text is its own block).
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 class Scratch:
@@ -54,7 +54,12 @@ class Scratch:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once a session, for Python workers that cannot import it by path."""
+    """Ready a session: Arrow batches bounded in rows and bytes, and this package sent to the executors.
+
+    Sending is for Python workers that cannot import it by path, and happens once a session.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     sent = f"{spark.sparkContext.applicationId}.package"
     if not any(sent in f for f in spark.sparkContext._python_includes):
         root = Path(__file__).resolve().parents[2]
