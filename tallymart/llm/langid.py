@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymart.llm.tables import batch_of, blocks, crc_of_id, list_array
 from tallymart.llm.words import BLANK, LOWER, Texts, U
@@ -203,8 +204,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             columns = [block.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(score), pa.array(rejected)], names=[*kept, *OUTPUT])
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return marked.mapInArrow(work, schema)
+    new = StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    return marked.mapInArrow(work, StructType([*docs.schema, *new]))
 
 
 def held_out(modulus: int = 5) -> Column:

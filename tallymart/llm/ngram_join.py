@@ -130,9 +130,9 @@ def common_tokens(docs: DataFrame, k: int) -> Common:
 
 
 def sketch(docs: DataFrame, common, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n (set size), key, first (prefix of order 0), others (32 bits of each token of the other prefixes)."""
+    """doc_id, digest, n (set size), key, first (prefix of order 0), others (32 bits of each token of the other prefixes)."""
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()),
+        ("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("key", pa.binary()),
         ("first", pa.list_(pa.int64())), ("others", pa.list_(pa.list_(pa.int32()))),
     ])
 
@@ -157,9 +157,9 @@ def sketch(docs: DataFrame, common, k: int, num: int, den: int) -> DataFrame:
                 size = n - needed(n, num, den) + 1
                 firsts.append(ranks.prefix(tokens, size, 0).view(np.int64))
                 others.append([ranks.prefix(tokens, size, i).astype(np.uint32).view(np.int32) for i in range(1, ORDERS)])
-            yield batch_of(schema, block.column("doc_id"), sizes, pa.array(keys, pa.binary()), pa.array(firsts, schema.field("first").type), pa.array(others, schema.field("others").type))
+            yield batch_of(schema, block.column("doc_id"), block.column("digest"), sizes, pa.array(keys, pa.binary()), pa.array(firsts, schema.field("first").type), pa.array(others, schema.field("others").type))
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n long, key binary, first array<long>, others array<array<int>>")
+    return docs.select("doc_id", "digest", "text").mapInArrow(work, "doc_id long, digest long, n long, key binary, first array<long>, others array<array<int>>")
 
 
 class Bits:
@@ -263,17 +263,18 @@ def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, num: in
 
 
 def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_same) for every row of ``docs`` (doc_id, text; others are left alone).
+    """(doc_id, n_shingles, component_id, n_same, digest, first) for every row of ``docs`` (doc_id, text).
 
     ``component_id`` is the smallest doc_id reachable by links, ``n_same`` the rows with the
-    very same set.  A null text, or one without words, has an empty set and stays alone; rows with equal sets
+    very same set, ``digest`` a hash of the text and ``first`` whether (doc_id, digest) is the
+    smallest of its component.  A null text, or one without words, has an empty set and stays alone; rows with equal sets
     link; a repeated row comes back as often.  A null id takes part but never names a
     component unless it is all there is.  Extra columns are ignored; an empty table gives
     no row.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram-join")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
     common = spark.sparkContext.broadcast(common_tokens(docs, k))
     sketches = scratch.put("sketch", sketch(docs, common, k, num, den).withColumn("row", F.monotonically_increasing_id()))
 
@@ -314,9 +315,27 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
 
     named = sets.join(labels.withColumnRenamed("node", "set"), "set", "left").select("key", "n_same", F.coalesce("label", "set").alias("part"))
     named = scratch.put("named", named)
-    rows = scratch.put("rows", sketches.select("doc_id", "n", "key").filter("key is not null").join(named, "key").select("doc_id", "n", "part", "n_same"))
-    least = scratch.put("least", rows.groupBy("part").agg(F.min("doc_id").alias("component_id")))
+    rows = scratch.put("rows", sketches.select("doc_id", "digest", "n", "key").filter("key is not null").join(named, "key").select("doc_id", "digest", "n", "part", "n_same"))
+    smallest = F.min(F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "digest")).alias("smallest")
+    least = scratch.put("least", rows.groupBy("part").agg(smallest).select("part", "smallest.*").withColumnsRenamed({"doc_id": "component_id", "digest": "chief"}))
     scratch.drop("pivots", "index", "star-sized", "star-left", "rest-sized", "rest-left", "stars", "placed", "minor", "leads", "labels")
-    whole = rows.join(least, "part").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_same")
-    empty = sketches.filter("key is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_same"))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("digest") == F.col("chief"))
+    whole = rows.join(least, "part").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_same", "digest", first.alias("first"))
+    empty = sketches.filter("key is null").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_same"), "digest", F.lit(True).alias("first"))
     return whole.unionByName(empty)
+
+
+def keep_first(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one for each component of the join.
+
+    The row with the smallest id stays, and of rows that repeat under one id one; a row
+    without words stays, since it links with nothing.
+    """
+    found = ngram_join(docs, k, num, den).filter("first and n_shingles > 0").select(F.col("doc_id").alias("llm_id"), F.col("digest").alias("llm_digest")).distinct()
+    names = docs.columns
+    marked = docs.withColumns({"llm_digest": F.xxhash64("text"), "llm_id": F.col("doc_id").cast("long")})
+    kept = marked.join(found, marked["llm_id"].eqNullSafe(found["llm_id"]) & (marked["llm_digest"] == found["llm_digest"]), "left_semi")
+    once = kept.dropDuplicates(["llm_id", "llm_digest"]).select(names)
+    blank = docs.filter(F.coalesce(~F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(True)))
+    return once.unionByName(blank)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import langid
+from tallymart.llm import langid, mixing
 from tallymart.llm.ngram_join import ngram_join
 from tallymart.llm.packing import pack
 from tallymart.llm.pii import find_pii
@@ -41,9 +41,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(documents(spark, sf_dir))
+    return ngram_join(documents(spark, sf_dir)).drop("digest", "first")
 
 
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(documents(spark, sf_dir)).drop("found")
+
+
+@query
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = mixing.labelled_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rates = mixing.mix_rates(documents(spark, sf_dir), labels, mixing.TARGETS)
+    shares = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(sorted(mixing.TARGETS))]
+    return rates.select("doc_id", "tokens", *shares, "rate")
