@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import langid, mixing
+from tallymart.llm import langid, line_crf, mixing
 from tallymart.llm.ngram_join import ngram_join
 from tallymart.llm.packing import pack
 from tallymart.llm.pii import find_pii
@@ -55,3 +55,8 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = mixing.mix_rates(documents(spark, sf_dir), labels, mixing.TARGETS)
     shares = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(sorted(mixing.TARGETS))]
     return rates.select("doc_id", "tokens", *shares, "rate")
+
+
+@query
+def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
