@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import langid, line_crf, mixing
+from tallymart.llm import langid, line_crf, mixing, quality_rules
 from tallymart.llm.ngram_join import ngram_join
 from tallymart.llm.packing import pack
 from tallymart.llm.pii import find_pii
@@ -60,3 +60,11 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
+SQL["op6_quality_rules"] = quality_rules.SQL
