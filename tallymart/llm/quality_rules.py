@@ -23,7 +23,7 @@ LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: Fences lie so many interquartile ranges outside the quartiles.
 SPREAD = 3
 #: Measure (per mille, or tenths of a character): slack added to its fence, and whether low values are fenced too.
-RULES = {"symbol_rate": (50, False), "dup_line_rate": (300, False), "repeat_rate": (200, False), "word_length": (20, True)}
+RULES = {"symbol_rate": (50, False), "dup_line_rate": (600, False), "repeat_rate": (300, False), "word_length": (20, True)}
 EXACT = 64
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
@@ -162,7 +162,7 @@ WITH d AS (
   GROUP BY ALL
 ), f AS (
   SELECT lang, source, max(high + 3 * (high - low) + 50) FILTER (measure = 'symbol_rate') AS symbol_to,
-    max(high + 3 * (high - low) + 300) FILTER (measure = 'dup_line_rate') AS dup_to, max(high + 3 * (high - low) + 200) FILTER (measure = 'repeat_rate') AS repeat_to,
+    max(high + 3 * (high - low) + 600) FILTER (measure = 'dup_line_rate') AS dup_to, max(high + 3 * (high - low) + 300) FILTER (measure = 'repeat_rate') AS repeat_to,
     max(high + 3 * (high - low) + 20) FILTER (measure = 'word_length') AS word_to, max(low - 3 * (high - low) - 20) FILTER (measure = 'word_length') AS word_from
   FROM q GROUP BY lang, source
 )
