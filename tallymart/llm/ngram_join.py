@@ -31,11 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
-from tallymart.llm.tables import Scratch, batch_of, blocks, list_array
+from tallymart.llm.tables import Bits, Scratch, batch_of, blocks, list_array
 from tallymart.llm.words import Texts, U, mix, windows
 
 ORDERS = 3
@@ -43,8 +43,6 @@ ORDERS = 3
 TASK_COUNT, COMMON_COUNT = 8, 32
 #: At most so many common tokens (the most frequent ones) are sent to the tasks: 16 bytes each.
 COMMON_TOKENS = 200_000
-#: Bits of the filter of documents to read again: so many a document, up to the second figure (8 MB).
-FILTER_BITS, FILTER_MOST = 32, 1 << 26
 #: Comparisons with one pivot that one group of rows holds.
 PIVOT_ROWS = 2000
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], dtype=np.uint64)
@@ -71,6 +69,13 @@ def token_sets(texts: Texts, k: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, U)
 
 
+def set_key(tokens: np.ndarray) -> bytes | None:
+    """128 bits that stand for a set; None for the empty one."""
+    if not len(tokens):
+        return None
+    return (int(np.add.reduce(mix(tokens))) << 64 | int(np.bitwise_xor.reduce(mix(tokens + SEEDS[0])))).to_bytes(16, "big")
+
+
 def needed(n, num: int, den: int):
     """Tokens that a set of ``n`` shares with any set it links to, at least."""
     return (num * n + den - 1) // den
@@ -143,9 +148,7 @@ def sketch(docs: DataFrame, common, k: int, num: int, den: int) -> DataFrame:
             sizes, keys, firsts, others = [], [], [], []
             for tokens in token_sets(Texts.of(block.column("text")), k):
                 n = len(tokens)
-                key = None
-                if n:
-                    key = (int(np.add.reduce(mix(tokens))) << 64 | int(np.bitwise_xor.reduce(mix(tokens + SEEDS[0])))).to_bytes(16, "big")
+                key = set_key(tokens)
                 sizes.append(n)
                 keys.append(key)
                 if key is None or key in seen:
@@ -162,35 +165,16 @@ def sketch(docs: DataFrame, common, k: int, num: int, den: int) -> DataFrame:
     return docs.select("doc_id", "digest", "text").mapInArrow(work, "doc_id long, digest long, n long, key binary, first array<long>, others array<array<int>>")
 
 
-class Bits:
-    """A filter of fixed size over keys: never wrong about a key that is in it."""
-
-    def __init__(self, spark: SparkSession, keys: DataFrame, column: str, count: int):
-        bits = 1 << 16
-        while bits < min(count * FILTER_BITS, FILTER_MOST):
-            bits <<= 1
-        at = keys.select(F.pmod(F.xxhash64(column), F.lit(bits)).alias("at"))
-        found = at.groupBy(F.expr("at div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(at, 64) as int)))").alias("mask")).toArrow()
-        words = np.zeros(bits // 64, np.int64)
-        words[found["word"].to_numpy()] = found["mask"].to_numpy()
-        self.bits, self.words = bits, spark.sparkContext.broadcast(words)
-
-    def keep(self, df: DataFrame, column: str) -> DataFrame:
-        """Rows whose key may be in the filter; the key's hash is worked out by Spark, the look-up in Arrow batches."""
-        words = self.words
-
-        def look(batches):
-            for batch in batches:
-                at = batch.column(batch.num_columns - 1).to_numpy()
-                hit = (words.value[at >> 6] >> (at & 63)) & 1
-                yield batch.filter(pa.array(hit.astype(bool))).drop_columns(["at"])
-
-        return df.withColumn("at", F.pmod(F.xxhash64(column), F.lit(self.bits))).mapInArrow(look, df.schema)
-
-
 def cross_orders(pairs: DataFrame, sketches: DataFrame, bits: Bits) -> DataFrame:
     """Pairs (a, b) whose prefixes meet under each of the other orders too."""
-    held = bits.keep(sketches.filter("others is not null").select("row", "others"), "row")
+    words = bits.words
+
+    def look(batches):
+        for batch in batches:
+            yield batch.filter(Bits.hit(words.value, batch.column("at"))).drop_columns(["at"])
+
+    marked = sketches.filter("others is not null").select("row", "others", bits.place("row").alias("at"))
+    held = marked.mapInArrow(look, marked.drop("at").schema)
     both = (
         pairs.join(held.select(F.col("row").alias("a"), F.col("others").alias("of_a")), "a")
         .join(held.select(F.col("row").alias("b"), F.col("others").alias("of_b")), "b")
@@ -207,36 +191,30 @@ def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, num: in
     as many groups as they need.
     """
     spark = docs.sparkSession
-    rows = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-    wanted = scratch.put(f"{name}-wanted", leads.join(rows, "row", "left_semi").select("row", "doc_id", "key"))
+    groups = scratch.put(f"{name}-groups", pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_ROWS).cast("int").alias("parts")))
+    dealt = pairs.join(groups, "b").select(F.col("a").alias("row"), "b", F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
+    own = groups.select(F.col("b").alias("row"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
+    routes = scratch.put(f"{name}-routes", dealt.unionByName(own).join(leads.select("row", "doc_id", "key"), "row"))
+    wanted = routes.select("doc_id").distinct()
     bits = Bits(spark, wanted, "doc_id", wanted.count())
-    schema = pa.schema([("key", pa.binary()), ("tokens", pa.binary())])
+    words = bits.words
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("tokens", pa.binary())])
 
     def sets(batches):
-        seen: set[bytes] = set()
-        for block in blocks(batches, "text"):
-            keys, held = [], []
-            for tokens in token_sets(Texts.of(block.column("text")), k):
-                if not len(tokens):
-                    continue
-                key = (int(np.add.reduce(mix(tokens))) << 64 | int(np.bitwise_xor.reduce(mix(tokens + SEEDS[0])))).to_bytes(16, "big")
-                if key not in seen:
-                    if len(seen) < 1_000_000:
-                        seen.add(key)
-                    keys.append(key)
-                    held.append(tokens.tobytes())
-            yield batch_of(schema, keys, held)
-
-    found = bits.keep(docs.select("doc_id", "text"), "doc_id").mapInArrow(sets, "key binary, tokens binary")
-    held = scratch.put(f"{name}-sets", wanted.join(found, "key").groupBy("row").agg(F.first("tokens").alias("tokens")))
-
-    groups = pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_ROWS).cast("int").alias("parts"))
-    groups = scratch.put(f"{name}-groups", groups)
-    dealt = pairs.join(groups, "b").select("a", "b", F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int").alias("part"))
-    side_a = dealt.join(held, dealt["a"] == held["row"]).select("b", "part", "a", "tokens", F.lit(1).alias("kind"))
-    side_b = groups.join(held, groups["b"] == held["row"]).select(
-        "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("b").alias("a"), "tokens", F.lit(0).alias("kind")
-    )
+        seen: set[tuple] = set()
+        for block in blocks((b.filter(Bits.hit(words.value, b.column("at"))) for b in batches), "text"):
+            rows = []
+            for doc, tokens in zip(block.column("doc_id").to_pylist(), token_sets(Texts.of(block.column("text")), k)):
+                row = (doc, set_key(tokens))
+                if row[1] and row not in seen:  # a repeated row is sent once by each task
+                    seen.add(row)
+                    rows.append((*row, tokens.tobytes()))
+            if rows:
+                yield batch_of(schema, *(list(c) for c in zip(*rows)))
+
+    found = docs.select("doc_id", "text", bits.place("doc_id").alias("at")).mapInArrow(sets, "doc_id long, key binary, tokens binary")
+    met = routes.join(found, routes["doc_id"].eqNullSafe(found["doc_id"]) & (routes["key"] == found["key"]))
+    together = met.select("b", "part", F.col("row").alias("a"), "kind", "tokens").repartition("b", "part").sortWithinPartitions("b", "part", "kind")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def check(batches):
@@ -256,9 +234,8 @@ def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, num: in
                     b.append(y)
             yield batch_of(out, a, b)
 
-    together = side_b.unionByName(side_a).repartition("b", "part").sortWithinPartitions("b", "part", "kind")
     linked = scratch.put(f"{name}-links", together.mapInArrow(check, "a long, b long"))
-    scratch.drop(f"{name}-sets", f"{name}-wanted", f"{name}-groups")
+    scratch.drop(f"{name}-groups", f"{name}-routes")
     return linked
 
 

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 #: Text of so many bytes is worked on at once inside a task (one longer text is its own block).
 BLOCK_BYTES = 1 << 20
 
+#: Bits of a filter: so many a key, up to the second figure (8 MB).
+FILTER_BITS, FILTER_MOST = 32, 1 << 26
+
 
 class Scratch:
     """Tables written once and read again, in the folder that ``spark.checkpoint.dir`` names.
@@ -40,7 +43,14 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(self.path(name))
+        """Write ``df`` and read it back; the shuffles of this one write are freed when it ends."""
+        cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(cleanup, "false")
+        self.spark.conf.set(cleanup, "true")
+        try:
+            df.write.parquet(self.path(name))
+        finally:
+            self.spark.conf.set(cleanup, before)
         return self.get(name, df)
 
     def get(self, name: str, like: DataFrame) -> DataFrame:
@@ -76,6 +86,30 @@ def crc_of_id(column: str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+class Bits:
+    """A filter of fixed size over keys: never wrong about a key that is in it."""
+
+    def __init__(self, spark: SparkSession, keys: DataFrame, column: str, count: int, hashed: bool = False):
+        """``hashed``: the column is a hash already, such as a crc32 that tasks can work out too."""
+        bits = 1 << 16
+        while bits < min(count * FILTER_BITS, FILTER_MOST):
+            bits <<= 1
+        at = keys.select(F.pmod(F.col(column) if hashed else F.xxhash64(column), F.lit(bits)).alias("at"))
+        found = at.groupBy(F.expr("at div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(at, 64) as int)))").alias("mask")).toArrow()
+        words = np.zeros(bits // 64, np.int64)
+        words[found["word"].to_numpy()] = found["mask"].to_numpy()
+        self.bits, self.words = bits, spark.sparkContext.broadcast(words)
+
+    def place(self, column: str) -> Column:
+        """Where a key's bit is; Spark works out the hash, ``hit`` looks it up in Arrow batches."""
+        return F.pmod(F.xxhash64(column), F.lit(self.bits))
+
+    @staticmethod
+    def hit(words: np.ndarray, places: pa.Array) -> pa.Array:
+        at = places.to_numpy()
+        return pa.array(((words[at >> 6] >> (at & 63)) & 1).astype(bool))
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most`` bytes of ``column``."""
     for batch in batches:
