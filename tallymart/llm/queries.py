@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import langid, line_crf, mixing, quality_rules, warc
+from tallymart.llm import langid, line_crf, mixing, quality_rules, topk_search, warc
 from tallymart.llm.ngram_join import ngram_join
 from tallymart.llm.packing import pack
 from tallymart.llm.pii import find_pii
@@ -33,6 +33,14 @@ def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir)).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op2_exact_topk"] = topk_search.SQL
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(documents(spark, sf_dir).select("doc_id", "text", "lang"))
