@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import langid, line_crf, mixing, quality_rules, topk_search, warc
+from tallymart.llm import langid, line_crf, mixing, quality_rules, secret_scan, topk_search, warc
 from tallymart.llm.ngram_join import ngram_join
 from tallymart.llm.packing import pack
 from tallymart.llm.pii import find_pii
@@ -73,6 +73,12 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.select("doc_id", "tokens", *shares, "rate")
 
 
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+    return found.select("doc_id", "start", "end", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "kept")
+
+
 @query
 def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
