@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallymart.llm.langid import softmax
-from tallymart.llm.tables import Scratch, batch_of, blocks, list_array
+from tallymart.llm.tables import Scratch, batch_of, blocks, fresh, list_array
 from tallymart.llm.words import Texts, U
 
 BUCKETS = 1 << 16
@@ -235,5 +235,5 @@ def draw_by_rate(docs: DataFrame, labelled: DataFrame, weights: dict[str, float]
             draw = block.column(len(names)).to_numpy() / float(1 << 30)
             yield block.select(names).filter(pa.array(draw < rate))
 
-    drawn = docs.withColumn("llm_draw", F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)), F.lit(1 << 30)))
+    drawn = docs.withColumn(fresh(docs, "draw"), F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)), F.lit(1 << 30)))
     return drawn.mapInArrow(work, docs.schema)

@@ -17,8 +17,9 @@ Steps, each a written table:
    share a key; within a task only the first of them carries prefixes.
 2. ``shared``  prefix tokens of the first order that two rows hold, with the smallest
    holder ("pivot").
-3. Stars: every holder against its pivot.  This is linear in the index whatever the size of
-   a group of near copies, and joins such a group up.
+3. Stars: every set against the smallest of its tokens' pivots, which joins up most of a
+   group of near copies with one comparison a set; then against its other pivots that are
+   in another component.  Both are linear in the index whatever the size of a group.
 4. Rest: in each token's bucket, holders outside the pivot's component against all holders
    of other components.  After it every pair that shares a token is either connected or
    was compared, so no link that matters to the components is missed.
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
-from tallymart.llm.tables import Bits, Scratch, batch_of, blocks, list_array
+from tallymart.llm.tables import Bits, Scratch, batch_of, blocks, fresh
 from tallymart.llm.words import Texts, U, mix, windows
 
 ORDERS = 3
@@ -273,20 +274,33 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
         rows = sized.select(F.col("a").alias("row")).union(sized.select(F.col("b").alias("row"))).distinct()
         bits = Bits(spark, rows, "row", sized.count())
         left = scratch.put(f"{name}-left", cross_orders(sized, sketches, bits))
-        return compare(left, chief, docs, k, num, den, scratch, name)
+        found = compare(left, chief, docs, k, num, den, scratch, name)
+        scratch.drop(f"{name}-sized", f"{name}-left")
+        return found
 
+    scratch.drop("pivots")
     lead_set = leads.select(F.col("row").alias("pivot"), F.col("set").alias("hub"))
-    stars = index.select("row", "pivot").distinct().join(lead_set, "pivot").filter("row <> hub").select(F.col("row").alias("a"), F.col("hub").alias("b"))
-    stars = scratch.put("stars", stars.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct())
-    links = settled(stars, "star")
-    labels = scratch.put("labels", components(links, scratch, "first"))
+    stars = index.select("row", "pivot").distinct().join(lead_set, "pivot").filter("row <> hub").select(F.greatest("row", "hub").alias("a"), F.least("row", "hub").alias("b"))
+    stars = scratch.put("stars", stars.distinct())
+    tried = scratch.put("tried-0", stars.groupBy("a").agg(F.min("b").alias("b")).select("a", "b"))
+    links = settled(tried, "first")
+    labels = components(links, scratch, "after-first")
+
+    of_a, of_b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"group_{c}")) for c in "ab")
+    apart = stars.join(of_a, "a", "left").join(of_b, "b", "left").filter("not coalesce(group_a, a) <=> coalesce(group_b, b)").select("a", "b")
+    others = scratch.put("tried-1", apart.join(tried, ["a", "b"], "left_anti"))
+    tried = tried.unionByName(others)
+    links = links.unionByName(settled(others, "second"))
+    labels = components(links, scratch, "after-second")
 
     placed = index.join(lead_set, "pivot").join(labels.withColumnRenamed("node", "row"), "row", "left").select("token", "row", "hub", F.coalesce("label", "row").alias("group"))
     hub_labels = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_group"))
     placed = scratch.put("placed", placed.join(hub_labels, "hub", "left").select("token", "row", "group", F.coalesce("hub_group", "hub").alias("main")).distinct())
+    scratch.drop("index", "stars")
     minor = scratch.put("minor", placed.filter("group <> main").select("token", F.col("row").alias("b"), F.col("group").alias("group_b")))
     rest = minor.join(placed, "token").filter("group <> group_b").select(F.greatest("row", "b").alias("a"), F.least("row", "b").alias("b")).distinct()
-    rest = rest.join(stars, ["a", "b"], "left_anti")
+    rest = scratch.put("tried-2", rest.join(tried, ["a", "b"], "left_anti"))
+    scratch.drop("placed", "minor")
     links = links.unionByName(settled(rest, "rest"))
     labels = scratch.put("all-labels", components(links, scratch, "all"))
 
@@ -295,7 +309,7 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     rows = scratch.put("rows", sketches.select("doc_id", "digest", "n", "key").filter("key is not null").join(named, "key").select("doc_id", "digest", "n", "part", "n_same"))
     smallest = F.min(F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "digest")).alias("smallest")
     least = scratch.put("least", rows.groupBy("part").agg(smallest).select("part", "smallest.*").withColumnsRenamed({"doc_id": "component_id", "digest": "chief"}))
-    scratch.drop("pivots", "index", "star-sized", "star-left", "rest-sized", "rest-left", "stars", "placed", "minor", "leads", "labels")
+    scratch.drop("leads", "tried-0", "tried-1", "tried-2")
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("digest") == F.col("chief"))
     whole = rows.join(least, "part").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_same", "digest", first.alias("first"))
     empty = sketches.filter("key is null").select(
@@ -309,10 +323,11 @@ def keep_first(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     The row with the smallest id stays, and of rows that repeat under one id one; a row
     without words stays, since it links with nothing.
     """
-    found = ngram_join(docs, k, num, den).filter("first and n_shingles > 0").select(F.col("doc_id").alias("llm_id"), F.col("digest").alias("llm_digest")).distinct()
+    name, digest = fresh(docs, "of_id"), fresh(docs, "of_digest")
+    found = ngram_join(docs, k, num, den).filter("first and n_shingles > 0").select(F.col("doc_id").alias(name), F.col("digest").alias(digest)).distinct()
     names = docs.columns
-    marked = docs.withColumns({"llm_digest": F.xxhash64("text"), "llm_id": F.col("doc_id").cast("long")})
-    kept = marked.join(found, marked["llm_id"].eqNullSafe(found["llm_id"]) & (marked["llm_digest"] == found["llm_digest"]), "left_semi")
-    once = kept.dropDuplicates(["llm_id", "llm_digest"]).select(names)
+    marked = docs.withColumns({digest: F.xxhash64("text"), name: F.col("doc_id").cast("long")})
+    kept = marked.join(found, marked[name].eqNullSafe(found[name]) & (marked[digest] == found[digest]), "left_semi")
+    once = kept.dropDuplicates([name, digest]).select(names)
     blank = docs.filter(F.coalesce(~F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(True)))
     return once.unionByName(blank)

@@ -81,6 +81,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def crc_of_id(column: str) -> Column:
     """crc32 of an id's decimal text; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tallymart.llm.tables import ship
 
 #: Names that operators use inside, as further columns of an input.
-CLASHING = ("row", "key", "n", "first", "at", "score", "kept", "label", "digest", "rate", "round", "block", "set", "token", "lang_pred", "llm_draw")
+CLASHING = ("row", "key", "n", "first", "at", "score", "kept", "label", "digest", "rate", "round", "block", "set", "token", "lang_pred", "draw", "of_id", "of_digest")
 
 
 @pytest.fixture(scope="session")
