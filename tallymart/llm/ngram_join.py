@@ -17,9 +17,8 @@ Steps, each a written table:
    share a key; within a task only the first of them carries prefixes.
 2. ``shared``  prefix tokens of the first order that two rows hold, with the smallest
    holder ("pivot").
-3. Stars: every set against the smallest of its tokens' pivots, which joins up most of a
-   group of near copies with one comparison a set; then against its other pivots that are
-   in another component.  Both are linear in the index whatever the size of a group.
+3. Stars: every set against its tokens' pivots.  This is linear in the index whatever the
+   size of a group of near copies, and joins such a group up.
 4. Rest: in each token's bucket, holders outside the pivot's component against all holders
    of other components.  After it every pair that shares a token is either connected or
    was compared, so no link that matters to the components is missed.
@@ -44,8 +43,8 @@ ORDERS = 3
 TASK_COUNT, COMMON_COUNT = 8, 32
 #: At most so many common tokens (the most frequent ones) are sent to the tasks: 16 bytes each.
 COMMON_TOKENS = 200_000
-#: Comparisons with one pivot that one group of rows holds.
-PIVOT_ROWS = 2000
+#: Tokens of the sets that one part of a cluster holds, about.
+PART_TOKENS = 400_000
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], dtype=np.uint64)
 
 
@@ -188,16 +187,23 @@ def cross_orders(pairs: DataFrame, sketches: DataFrame, bits: Bits) -> DataFrame
 def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, num: int, den: int, scratch: Scratch, name: str) -> DataFrame:
     """Pairs (a, b) that link, by their whole sets, built again from the texts of the documents concerned.
 
-    Sets travel once to each of their pairs' ``b`` ("pivot"), whose comparisons are dealt over
-    as many groups as they need.
+    Pairs that hang together form clusters.  A cluster's sets are dealt into parts of about
+    PART_TOKENS tokens, and one task compares two parts: a set travels once to each pair of
+    parts that needs it, which for most clusters is once, however many pairs it is in.
     """
     spark = docs.sparkSession
-    groups = scratch.put(f"{name}-groups", pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_ROWS).cast("int").alias("parts")))
-    dealt = pairs.join(groups, "b").select(F.col("a").alias("row"), "b", F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
-    own = groups.select(F.col("b").alias("row"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
-    routes = scratch.put(f"{name}-routes", dealt.unionByName(own).join(leads.select("row", "doc_id", "key"), "row"))
-    wanted = routes.select("doc_id").distinct()
-    bits = Bits(spark, wanted, "doc_id", wanted.count())
+    clusters = components(pairs, scratch, f"{name}-cluster")
+    sized = clusters.join(leads.select(F.col("row").alias("node"), "n", "doc_id", "key"), "node")
+    parts = scratch.put(f"{name}-parts", sized.groupBy("label").agg(F.ceil(F.sum("n") / PART_TOKENS).cast("int").alias("parts")))
+    placed = scratch.put(f"{name}-placed", sized.join(parts, "label").select("node", "label", "doc_id", "key", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")))
+    of_a = placed.select(F.col("node").alias("a"), "label", F.col("part").alias("part_a"))
+    of_b = placed.select(F.col("node").alias("b"), F.col("part").alias("part_b"))
+    asked = pairs.join(of_a, "a").join(of_b, "b").select("label", F.least("part_a", "part_b").alias("low"), F.greatest("part_a", "part_b").alias("high"), "a", "b")
+    asked = scratch.put(f"{name}-asked", asked)
+    group = ["label", "low", "high"]
+    sent = asked.select(*group, F.explode(F.array("a", "b")).alias("node")).distinct()
+    routes = scratch.put(f"{name}-routes", sent.join(placed.select("node", "doc_id", "key"), "node"))
+    bits = Bits(spark, placed, "doc_id", placed.count())
     words = bits.words
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("tokens", pa.binary())])
 
@@ -215,28 +221,30 @@ def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, num: in
 
     found = docs.select("doc_id", "text", bits.place("doc_id").alias("at")).mapInArrow(sets, "doc_id long, key binary, tokens binary")
     met = routes.join(found, routes["doc_id"].eqNullSafe(found["doc_id"]) & (routes["key"] == found["key"]))
-    together = met.select("b", "part", F.col("row").alias("a"), "kind", "tokens").repartition("b", "part").sortWithinPartitions("b", "part", "kind")
+    held = met.select(*group, F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "tokens")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def check(batches):
-        of, pivot = None, None
+        now, sets_of = None, {}
         for batch in batches:
             a, b = [], []
-            cols = [batch.column(c).to_pylist() for c in ("b", "part", "a", "tokens", "kind")]
-            for y, part, x, tokens, kind in zip(*cols):
-                mine = np.frombuffer(tokens, U)
-                if not kind:
-                    of, pivot = (y, part), mine
+            for *of, x, y, tokens in zip(*(batch.column(c).to_pylist() for c in (*group, "a", "b", "tokens"))):
+                if of != now:
+                    now, sets_of = of, {}
+                if y is None:  # sets come before the pairs of their group
+                    sets_of[x] = np.frombuffer(tokens, U)
                     continue
-                assert of == (y, part), "a group's pivot comes first"
-                both = len(np.intersect1d(mine, pivot, assume_unique=True))
-                if den * both >= num * (len(mine) + len(pivot) - both):
+                mine, other = sets_of[x], sets_of[y]
+                both = len(np.intersect1d(mine, other, assume_unique=True))
+                if den * both >= num * (len(mine) + len(other) - both):
                     a.append(x)
                     b.append(y)
             yield batch_of(out, a, b)
 
+    together = held.unionByName(asked.withColumn("tokens", F.lit(None).cast("binary"))).repartition(*group)
+    together = together.sortWithinPartitions(*group, F.col("b").asc_nulls_first())
     linked = scratch.put(f"{name}-links", together.mapInArrow(check, "a long, b long"))
-    scratch.drop(f"{name}-groups", f"{name}-routes")
+    scratch.drop(*(f"{name}-{x}" for x in ("parts", "placed", "asked", "routes")))
     return linked
 
 
@@ -282,24 +290,16 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     lead_set = leads.select(F.col("row").alias("pivot"), F.col("set").alias("hub"))
     stars = index.select("row", "pivot").distinct().join(lead_set, "pivot").filter("row <> hub").select(F.greatest("row", "hub").alias("a"), F.least("row", "hub").alias("b"))
     stars = scratch.put("stars", stars.distinct())
-    tried = scratch.put("tried-0", stars.groupBy("a").agg(F.min("b").alias("b")).select("a", "b"))
-    links = settled(tried, "first")
-    labels = components(links, scratch, "after-first")
-
-    of_a, of_b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"group_{c}")) for c in "ab")
-    apart = stars.join(of_a, "a", "left").join(of_b, "b", "left").filter("not coalesce(group_a, a) <=> coalesce(group_b, b)").select("a", "b")
-    others = scratch.put("tried-1", apart.join(tried, ["a", "b"], "left_anti"))
-    tried = tried.unionByName(others)
-    links = links.unionByName(settled(others, "second"))
-    labels = components(links, scratch, "after-second")
+    links = settled(stars, "stars")
+    labels = components(links, scratch, "after-stars")
 
     placed = index.join(lead_set, "pivot").join(labels.withColumnRenamed("node", "row"), "row", "left").select("token", "row", "hub", F.coalesce("label", "row").alias("group"))
     hub_labels = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_group"))
     placed = scratch.put("placed", placed.join(hub_labels, "hub", "left").select("token", "row", "group", F.coalesce("hub_group", "hub").alias("main")).distinct())
-    scratch.drop("index", "stars")
+    scratch.drop("index")
     minor = scratch.put("minor", placed.filter("group <> main").select("token", F.col("row").alias("b"), F.col("group").alias("group_b")))
     rest = minor.join(placed, "token").filter("group <> group_b").select(F.greatest("row", "b").alias("a"), F.least("row", "b").alias("b")).distinct()
-    rest = scratch.put("tried-2", rest.join(tried, ["a", "b"], "left_anti"))
+    rest = scratch.put("rest", rest.join(stars, ["a", "b"], "left_anti"))
     scratch.drop("placed", "minor")
     links = links.unionByName(settled(rest, "rest"))
     labels = scratch.put("all-labels", components(links, scratch, "all"))
@@ -309,7 +309,7 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     rows = scratch.put("rows", sketches.select("doc_id", "digest", "n", "key").filter("key is not null").join(named, "key").select("doc_id", "digest", "n", "part", "n_same"))
     smallest = F.min(F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "digest")).alias("smallest")
     least = scratch.put("least", rows.groupBy("part").agg(smallest).select("part", "smallest.*").withColumnsRenamed({"doc_id": "component_id", "digest": "chief"}))
-    scratch.drop("leads", "tried-0", "tried-1", "tried-2")
+    scratch.drop("leads", "stars", "rest")
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("digest") == F.col("chief"))
     whole = rows.join(least, "part").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_same", "digest", first.alias("first"))
     empty = sketches.filter("key is null").select(

@@ -21,6 +21,10 @@ BLOCK_BYTES = 1 << 20
 FILTER_BITS, FILTER_MOST = 32, 1 << 26
 
 
+#: Folder of a local session that names none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 class Scratch:
     """Tables written once and read again, in the folder that ``spark.checkpoint.dir`` names.
 
@@ -34,8 +38,8 @@ class Scratch:
         if not base:
             if not spark.sparkContext.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-            base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-            spark.conf.set("spark.checkpoint.dir", base)
+            base = _LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="run-")
+            _LOCAL[spark.sparkContext.applicationId] = base
         self.spark = spark
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -8,9 +8,7 @@ CLASHING = ("row", "key", "n", "first", "at", "score", "kept", "label", "digest"
 
 
 @pytest.fixture(scope="session")
-def ready(spark, tmp_path_factory):
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+def ready(spark):
     ship(spark)
     return spark
 

@@ -57,7 +57,7 @@ def near_copies(seed, n):
 
 
 def test_equals_brute_force_with_groups_and_common_passages(ready, monkeypatch):
-    monkeypatch.setattr(ngram_join, "PIVOT_ROWS", 7)  # several groups a pivot
+    monkeypatch.setattr(ngram_join, "PART_TOKENS", 500)  # several parts a cluster
     rows = near_copies(5, 160)
     got = ngram_join.ngram_join(ready.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute(rows)
