@@ -13,6 +13,9 @@ CSV_NULL_TOKENS = ("", "**", "n/a", "N/A", "..", "-")
 # The same for workbook grids.
 GRID_NULL_TOKENS = ("", "**", "n/a", "N/A", "..", "...", "-", "x", "[x]")
 
+# Hyphen, non-breaking hyphen, figure dash, en dash, em dash, horizontal bar, minus sign.
+DASHES = "\u2010\u2011\u2012\u2013\u2014\u2015\u2212"
+
 # Characters treated as surrounding whitespace.
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
@@ -47,15 +50,6 @@ DEAD_TABLE_IDS = ("1.16.3.4", "1.16.3.5")
 # Level codes of places.
 LEVEL_COUNTRY, LEVEL_PROVINCE, LEVEL_METRO, LEVEL_DISTRICT, LEVEL_TRACT = 1, 2, 3, 4, 7
 
-# Province and territory codes.
-PROVINCE_CODES = (
-    ("Newfoundland and Labrador", "10"), ("Prince Edward Island", "11"),
-    ("Nova Scotia", "12"), ("New Brunswick", "13"), ("Quebec", "24"),
-    ("Ontario", "35"), ("Manitoba", "46"), ("Saskatchewan", "47"),
-    ("Alberta", "48"), ("British Columbia", "59"), ("Yukon", "60"),
-    ("Northwest Territories", "61"), ("Nunavut", "62"),
-)
-
 # --- metric inventory -------------------------------------------------------
 
 # Fixed values: (survey, series, metric name, market, unit); the position is the metric id.

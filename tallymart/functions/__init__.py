@@ -11,7 +11,6 @@ from tallymart.functions.periods import (
 from tallymart.functions.text import (
     blank_to_null,
     file_name_to_place,
-    name_variants,
     normalize_name,
     place_to_file_name,
     split_csv_line,
@@ -23,7 +22,7 @@ from tallymart.functions.web import asset_links, body_outcome, leaf_links, non_b
 
 __all__ = [
     "asset_links", "blank_to_null", "body_outcome", "file_name_to_place", "is_value_token",
-    "leaf_links", "name_variants", "non_blank_lines", "normalize_name", "page_title",
+    "leaf_links", "non_blank_lines", "normalize_name", "page_title",
     "parse_grid_number", "parse_grid_period", "parse_number", "parse_period", "period_label",
     "period_year", "place_to_file_name", "round_to_int", "split_csv_line", "strip",
     "subtitle_period", "url_file_name", "url_slug",

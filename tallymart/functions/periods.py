@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallymart.constants import EXTRA_MONTH_SPELLINGS, MONTH_NAMES, WHITESPACE
-from tallymart.functions.text import strip
+from tallymart.functions.text import split_words, strip
 
 _SPELLINGS = [*MONTH_NAMES, *(name[:3] for name in MONTH_NAMES), *EXTRA_MONTH_SPELLINGS]
 _MONTH_OF_PREFIX = {name[:3]: number for number, name in enumerate(MONTH_NAMES, start=1)}
@@ -55,7 +55,7 @@ def parse_period(col: Column) -> Column:
     text = strip(col)
     head = F.substring_index(text, "/", 1)
     tail = F.substring(text, F.length(head) + 2, F.length(text))
-    words = F.split(text, r"\s+")
+    words = split_words(text)
     first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
     return (
         F.when(F.contains(text, F.lit("/")), _date(_number(head), _quarter_month(tail)))
@@ -78,7 +78,7 @@ def parse_grid_period(col: Column) -> Column:
 
 def subtitle_period(line: Column) -> Column:
     """Period at the head of a subtitle: the whole line, then its 3, 2 and 1 first words."""
-    words = F.split(strip(line), r"\s+")
+    words = split_words(line)
     heads = F.array(line, *(F.array_join(F.slice(words, 1, n), " ") for n in (3, 2, 1)))
     # Bound one by one, so that a head is put together once and not per test.
     found = F.filter(F.transform(heads, parse_period), lambda p: p.isNotNull())

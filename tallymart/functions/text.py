@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymart.constants import WHITESPACE
+from tallymart.constants import DASHES, WHITESPACE
 
 # Line ends of an exported file; a lone CR, form feed or NEL ends a line too.
 LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85]"
@@ -26,13 +26,13 @@ def blank_to_null(col: Column) -> Column:
 
 
 def normalize_name(col: Column) -> Column:
-    """Canonical spelling of a compound place name: slashes become hyphens."""
-    return F.translate(col, "/", "-")
+    """Canonical spelling of a compound place name: slashes and dashes of any length become hyphens."""
+    return F.translate(col, "/" + DASHES, "-" * (1 + len(DASHES)))
 
 
-def name_variants(col: Column) -> Column:
-    """The printed and the canonical spelling, without repeats."""
-    return F.array_distinct(F.array(col, normalize_name(col)))
+def split_words(col: Column) -> Column:
+    """Words between runs of any whitespace, no-break spaces included (``\\s`` leaves those out)."""
+    return F.split(strip(col), f"[{WHITESPACE}]+")
 
 
 def place_to_file_name(col: Column) -> Column:

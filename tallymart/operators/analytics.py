@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import period_year, round_to_int
+from tallymart.operators.spread import join_facts
 
 
 def latest_per_group(df: DataFrame, keys: Sequence[str], values: Sequence[str], *,
@@ -86,7 +87,7 @@ def members_by_value(df: DataFrame, keys: Sequence[str], member: str) -> DataFra
     """
     distinct = df.select(*keys, member).distinct()
     sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_members"))
-    return distinct.join(sizes, list(keys))
+    return join_facts(distinct, sizes, keys)
 
 
 def outcomes_by(df: DataFrame, key: str, outcome: str) -> DataFrame:

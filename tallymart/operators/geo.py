@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import normalize_name, strip
+from tallymart.operators.spread import join_facts
 
 LEVELS = ("Province", "CMA", "CSD")  # Fixed values: level labels, by precedence.
 
@@ -76,20 +77,27 @@ def geo_id(level: Column, name: Column, csduid: Column, cma_uid: Column, provinc
     )
 
 
+def member_metros(metros: DataFrame, members: DataFrame) -> DataFrame:
+    """Metros that some member district belongs to: those of the province the members are of."""
+    return metros.join(members.select("metro_code").distinct(), "metro_code", "left_semi")
+
+
 def place_directory(provinces: DataFrame, metros: DataFrame, members: DataFrame, *districts: DataFrame,
                     province_id: Column) -> DataFrame:
     """One row per known place name: level, ids, parent metro, membership.
 
     Built from reference frames alone, so the fact meets it in a single join and
-    is never scanned for its places first.
+    is never scanned for its places first.  Only metros with a member district are known
+    places (``metros`` may list the whole country); any metro can be a district's parent.
     """
-    universe = level_universe(provinces, metros, *districts, members)
+    own_metros = member_metros(metros, members)
+    universe = level_universe(provinces, own_metros, *districts, members)
     by_district = district_parents(members, metros).select(
         "geo_name", F.lit("CSD").alias("geo_level"), "csduid",
         F.col("cma").alias("parent_cma"), F.col("cma_uid").alias("parent_uid"), F.lit(True).alias("member"),
     )
     by_metro = (
-        metros.groupBy(normalize_name(F.col("name")).alias("geo_name"))
+        own_metros.groupBy(normalize_name(F.col("name")).alias("geo_name"))
         .agg(F.max("metro_uid").alias("own_uid"))
         .withColumn("geo_level", F.lit("CMA"))
     )
@@ -109,7 +117,7 @@ def place_directory(provinces: DataFrame, metros: DataFrame, members: DataFrame,
 def tag_level(df: DataFrame, directory: DataFrame) -> DataFrame:
     """Canonical ``geo_name`` with level and id; rows of unknown places are dropped."""
     known = directory.select("geo_name", "geo_level", "geo_id")
-    return df.withColumn("geo_name", normalize_name(F.col("geo_name"))).join(known, "geo_name")
+    return join_facts(df.withColumn("geo_name", normalize_name(F.col("geo_name"))), known, ["geo_name"])
 
 
 def geography_dimension(fact: DataFrame, directory: DataFrame, *, province: Column,
@@ -160,11 +168,20 @@ def search_names(names: DataFrame, needle: str) -> DataFrame:
 def lookup_places(wanted: DataFrame, places: DataFrame) -> DataFrame:
     """Resolve (name) against (name, place_id, tier): the lowest tier wins, misses keep a null id."""
     best = places.groupBy("name").agg(F.min(F.struct("tier", "place_id")).alias("b"))
-    return wanted.join(best, "name", "left").select(
+    return join_facts(wanted, best, ["name"], "left").select(
         *wanted.columns, F.col("b.place_id").alias("place_id"), F.col("b.tier").alias("tier")
     )
 
 
+def all_places(country: DataFrame, provinces: DataFrame, metros: DataFrame) -> DataFrame:
+    """(name, place_id, tier) of the country, every province and every metro: what ``lookup_places`` looks up in.
+
+    Each frame is (name, place_id).  A name of several tiers is listed once for each.
+    """
+    tiers = [df.select("name", "place_id", F.lit(tier).alias("tier")) for tier, df in enumerate((country, provinces, metros))]
+    return tiers[0].unionByName(tiers[1]).unionByName(tiers[2])
+
+
 def choropleth(features: DataFrame, latest: DataFrame, key: str) -> DataFrame:
     """Every boundary feature with the value to colour it by; features without one stay."""
     return features.join(latest, key, "left")

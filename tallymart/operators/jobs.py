@@ -104,13 +104,15 @@ def filter_variants(catalogue: DataFrame) -> DataFrame:
 def diagnose_filters(outcomes: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, variant, removed, outcome) -> one verdict per key with the filters at fault."""
     ok = F.col("outcome") == "ok"
-    facts = outcomes.groupBy(*keys).agg(
+    flags = outcomes.groupBy(*keys).agg(
         F.coalesce(F.bool_or(F.when(F.col("variant") == "bare", ok)), F.lit(False)).alias("bare_ok"),
         F.coalesce(F.bool_or(F.when(F.col("variant") == "all", ok)), F.lit(False)).alias("all_ok"),
-        F.array_join(
-            F.array_sort(F.collect_set(F.when((F.col("variant") == "minus") & ok, F.col("removed")))), ", "
-        ).alias("recovering"),
     )
+    # Filters are listed for broken requests only; the flags of all keys are a plain hash aggregate.
+    broken_keys = flags.where(F.col("bare_ok") & ~F.col("all_ok")).select(*keys)
+    removed = outcomes.where((F.col("variant") == "minus") & ok & F.col("removed").isNotNull()).join(broken_keys, keys, "left_semi")
+    recovering = removed.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("removed")), ", ").alias("recovering"))
+    facts = flags.join(recovering, keys, "left").withColumn("recovering", F.coalesce("recovering", F.lit("")))
     broken = F.col("bare_ok") & ~F.col("all_ok")
     return facts.select(
         *keys,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallymart.constants import DIMENSION_COLUMNS, PROJECTED_METRICS
 from tallymart.functions import period_year
 from tallymart.operators import geo
+from tallymart.operators.spread import join_facts
 from tallymart.session import local_frame
 
 FACT_COLUMNS = (
@@ -88,7 +89,7 @@ def dimension_values(fact: DataFrame) -> DataFrame:
 
 def star(fact: DataFrame, metrics: DataFrame, geographies: DataFrame) -> DataFrame:
     """fact ⨝ metrics ⨝ geographies."""
-    return fact.join(metrics.drop("source_survey"), "metric_id").join(geographies, "geo_id")
+    return join_facts(fact.join(metrics.drop("source_survey"), "metric_id"), geographies, ["geo_id"])
 
 
 def project_metric(starred: DataFrame, spec: Projection) -> DataFrame:

@@ -103,6 +103,13 @@ def header_rows(grid: DataFrame) -> DataFrame:
     )
 
 
+def headerless_sheets(grid: DataFrame, tables: DataFrame) -> DataFrame:
+    """Selected sheets in which no row is a header: (file, sheet, reason); they yield no observation."""
+    chosen = select_sheets(grid.join(tables, "file"))
+    return chosen.select("file", "sheet").distinct().join(header_rows(chosen).select("file", "sheet"), ["file", "sheet"], "left_anti").withColumn(
+        "reason", F.lit("No header row found"))
+
+
 def _is_code(label: Column) -> Column:
     return F.coalesce(F.contains(F.lower(label), F.lower(F.col("code_label"))), F.lit(False))
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import blank_to_null, parse_number, strip
+from tallymart.operators.spread import join_facts
 
 LONG_COLUMNS = ("period", "sub_geography", "category", "value", "reliability")
 
@@ -121,13 +122,13 @@ def ragged_to_long(
 def drop_summary_rows(df: DataFrame, group: Sequence[str], index: str) -> DataFrame:
     """Drop blank-index rows of a group that also has indexed rows, else null the index.
 
-    The per-group flag is a partial aggregate joined back, so a group holding most
-    rows is never gathered in one task (a window would do that).
+    The per-group flag is a partial aggregate, joined back with a salt, so a group holding
+    most rows is never gathered in one task.
     """
     filled = F.coalesce(strip(F.col(index)) != "", F.lit(False))
     flags = df.groupBy(*group).agg(F.max(filled).alias("any_filled"))
     return (
-        df.join(flags, list(group))
+        join_facts(df, flags, group)
         .where(filled | ~F.col("any_filled"))
         .withColumn(index, F.when(filled, F.col(index)))
         .drop("any_filled")

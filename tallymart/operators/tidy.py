@@ -17,12 +17,14 @@ from tallymart.constants import PLACE_BREAKDOWNS
 from tallymart.functions import is_value_token, parse_period, split_csv_line, strip, subtitle_period
 from tallymart.functions.text import LINE_BREAK, drop_trailing_comma
 from tallymart.operators.reshape import LONG_COLUMNS, header_slots, ragged_to_long
+from tallymart.operators.spread import join_facts
 
 REJECT_REASON = "No data table found"
 
 
 def file_lines(content: Column) -> Column:
-    return F.split(F.decode(content, "ISO-8859-1"), LINE_BREAK)
+    """Lines of a file; a UTF-8 byte-order mark before the first is not part of it (the text source drops it too)."""
+    return F.split(F.regexp_replace(F.decode(content, "ISO-8859-1"), "^\u00ef\u00bb\u00bf", ""), LINE_BREAK)
 
 
 def first_position(flags: Column) -> Column:
@@ -156,6 +158,31 @@ def rejected_files(files: DataFrame, keys: list[str]) -> DataFrame:
 # --- one row per line ---------------------------------------------------------
 
 
+def rejected_lines(lines: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
+    """``rejected_files`` for files read by line."""
+    heads = lines.where(F.col("line").startswith(",")).select(*keys).distinct()
+    loose = join_facts(lines, heads, keys, "left_anti")
+    found = heads.unionByName(_snapshot_pairs(loose, keys).select(*keys))
+    return files.select(*keys).distinct().join(found, keys, "left_anti").select(*keys, F.lit(REJECT_REASON).alias("reason"))
+
+
+def _snapshot_pairs(loose: DataFrame, keys: list[str]) -> DataFrame:
+    """First header line directly over a line of values, per file.
+
+    Neighbouring lines meet on (file, pos): that key spreads a huge file over all tasks.
+    """
+    pos = F.col("pos")
+    return (
+        loose.select(*keys, "pos", F.col("line").alias("head_line"))
+        .join(loose.select(*keys, (pos - 1).alias("pos"), F.col("line").alias("data_line")), [*keys, "pos"])
+        .withColumn("head", _snapshot_cells(F.col("head_line")))
+        .withColumn("data", _snapshot_cells(F.col("data_line")))
+        .where(_is_snapshot_pair(F.col("head"), F.col("data"), F.col("head_line"), F.col("data_line")))
+        .groupBy(*keys)
+        .agg(F.min("pos").alias("at"), F.min_by(F.struct("head", "data"), F.col("pos")).alias("pair"))
+    )
+
+
 def tidy_lines(lines: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, pos, line) with gapless ``pos``, and (keys, breakdown) per file."""
     pos, line = F.col("pos"), F.col("line")
@@ -165,7 +192,7 @@ def tidy_lines(lines: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame
         .agg(F.min("pos").alias("start"), F.min_by(line, pos).alias("header_line"))
     )
     bounds = (
-        lines.join(heads, keys)
+        join_facts(lines, heads, keys)
         .groupBy(*keys, "start", "header_line")
         .agg(
             F.min(F.when(_is_blank(line) & (pos > F.col("start")), pos)).alias("end"),
@@ -176,28 +203,20 @@ def tidy_lines(lines: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame
         .drop("header_line", "subtitle")
     )
     block = (
-        lines.join(bounds, keys)
+        join_facts(lines, bounds, keys)
         .where((pos > F.col("start")) & (F.col("end").isNull() | (pos < F.col("end"))))
         .select(*keys, "slots", "file_period", split_csv_line(line).alias("cells"))
     )
     flags = block.groupBy(*keys).agg(F.max(_first_cell(F.col("cells")) != "").alias("any_filled"))
     places = files.select(*keys, _lists_places(F.col("breakdown")).alias("places"))
-    matrix = block.join(flags, keys).join(places.withColumn("dated", F.col("places")), keys)
+    facts = flags.join(places.withColumn("dated", F.col("places")), keys)
+    matrix = join_facts(block, facts, keys)
 
-    loose = lines.join(heads.select(*keys), keys, "left_anti")
-    # Neighbouring lines meet on (file, pos): that key spreads a huge file over all tasks.
-    pairs = (
-        loose.select(*keys, "pos", F.col("line").alias("head_line"))
-        .join(loose.select(*keys, (pos - 1).alias("pos"), F.col("line").alias("data_line")), [*keys, "pos"])
-        .withColumn("head", _snapshot_cells(F.col("head_line")))
-        .withColumn("data", _snapshot_cells(F.col("data_line")))
-        .where(_is_snapshot_pair(F.col("head"), F.col("data"), F.col("head_line"), F.col("data_line")))
-        .groupBy(*keys)
-        .agg(F.min("pos").alias("at"), F.min_by(F.struct("head", "data"), F.col("pos")).alias("pair"))
-    )
+    loose = join_facts(lines, heads.select(*keys), keys, "left_anti")
+    pairs = _snapshot_pairs(loose, keys)
     stamp = F.when(pos < F.col("at"), parse_period(line))
     snapshots = (
-        loose.join(pairs, keys)
+        join_facts(loose, pairs, keys)
         .groupBy(*keys)
         .agg(
             F.max_by(stamp, F.when(stamp.isNotNull(), pos)).alias("file_period"),

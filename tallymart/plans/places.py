@@ -252,7 +252,7 @@ def valid_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TRIED = """tried AS (SELECT DISTINCT s_name AS place, '2.' || replace(p_brand, 'Brand#', '') || '.' || length(p_type) || '.4' AS table_id,
     l_returnflag AS flag, max(l_shipdate) AS tried_at FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
-  WHERE l_quantity > 45 GROUP BY 1, 2, 3)"""
+  GROUP BY 1, 2, 3)"""
 
 
 @query(f"""WITH {_JOBS}, {_TRIED} SELECT place, table_id FROM jobs
@@ -261,7 +261,7 @@ WHERE (place, table_id) NOT IN (SELECT (place, table_id) FROM tried WHERE flag =
 def pending_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs neither done nor known empty; empty markers from before 1999 are tried again."""
     tried = (
-        inputs.table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > 45)
+        inputs.table(spark, sf_dir, "lineitem")
         .join(inputs.table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(inputs.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(

@@ -62,7 +62,7 @@ def tidy_long_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BARE = """bare AS (
   SELECT c.c_custkey, k.category, CASE k.category WHEN 'Balance' THEN CASE WHEN c_acctbal >= 0 THEN round(c_acctbal, 2) END
          WHEN 'Orders' THEN CAST(n AS DOUBLE) END AS value, CAST(date_trunc('month', first) AS DATE) AS period
-  FROM customer c JOIN (SELECT o_custkey, count(*) AS n, min(o_orderdate) AS first FROM orders GROUP BY 1) o ON o_custkey = c_custkey
+  FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n, min(o_orderdate) AS first FROM orders GROUP BY 1) o ON o_custkey = c_custkey
   CROSS JOIN (VALUES ('Balance'), ('Less Than $1,500'), ('Orders')) k(category))"""
 
 
@@ -77,10 +77,10 @@ def snapshot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat_ws(
         "\r\n", F.lit(" Title "), F.date_format("first", "yyyy MMMM"), F.lit("Some, remark"),
         F.lit('Balance,"Less Than $1,500",Orders,'),
-        F.concat(F.lit('"'), balance, F.lit('",n/a,'), F.col("n").cast("string"), F.lit(",")),
+        F.concat(F.lit('"'), balance, F.lit('",n/a,'), F.coalesce(F.col("n").cast("string"), F.lit("n/a")), F.lit(",")),
         F.lit(""), F.lit("Source,Agency"),
     )
-    files = inputs.table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
+    files = inputs.table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left").select(
         F.col("c_custkey").cast("string").alias("geography"), F.lit("Snapshot").alias("breakdown"),
         F.encode(text, "ISO-8859-1").alias("content"),
     )
@@ -113,7 +113,7 @@ def _subtitles(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = inputs.table(spark, sf_dir, "orders")
     date, kind = F.col("o_orderdate"), F.col("o_orderpriority")
     text = (
-        F.when(kind == "1-URGENT", F.date_format(date, "MMMM yyyy' Row / Apartment'"))
+        F.when(kind == "1-URGENT", F.date_format(date, "MMMM\u00a0yyyy'\u00a0Row / Apartment'"))
         .when(kind == "2-HIGH", F.concat(F.date_format(date, "MMM yyyy"), F.lit("  Bedroom Type - Total ")))
         .when(kind == "3-MEDIUM", F.date_format(date, "yyyy' to 2025 Row / Apartment'"))
         .when(kind == "4-NOT SPECIFIED", F.date_format(date, "yyyy/'Q'q' Row'"))
@@ -150,7 +150,8 @@ def csv_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {inputs.OBS}, sheets AS (
   SELECT DISTINCT geography || CASE province WHEN 'AFRICA' THEN ' ' || category ELSE '' END AS file,
          CASE province WHEN 'AFRICA' THEN 'Sheet1' WHEN 'ASIA' THEN category ELSE strftime(period, '%Y') || 'Q' || quarter(period) END AS sheet,
-         CASE province WHEN 'AFRICA' THEN 29 WHEN 'ASIA' THEN 57 ELSE 7 END AS n_cells FROM obs)
+         CASE province WHEN 'AFRICA' THEN 1 + n WHEN 'ASIA' THEN 1 + 2 * n ELSE 7 END AS n_cells
+  FROM obs, (SELECT 4 * (max(year(period)) - min(year(period)) + 1) AS n FROM obs))
 SELECT file, sheet, CAST(2 AS BIGINT) AS header_idx, CAST(n_cells AS INTEGER) AS n_cells FROM sheets""")
 def header_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The header row of every sheet, by marker or by its periods."""
@@ -160,7 +161,7 @@ def header_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {CELLS}, quarters AS (
-  SELECT CAST(range AS DATE) AS period FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 3 MONTH)),
+  SELECT CAST(unnest(range(CAST(date_trunc('year', min(period)) AS TIMESTAMP), CAST(date_trunc('year', max(period)) AS TIMESTAMP) + INTERVAL 1 YEAR, INTERVAL 3 MONTH)) AS DATE) AS period FROM obs),
 spread AS (
   SELECT k.province, k.geography, k.sub_geography, k.category, q.period, o.value, o.reliability
   FROM (SELECT DISTINCT province, geography, sub_geography, category FROM cells WHERE province IN ('AFRICA', 'ASIA')) k

@@ -65,14 +65,14 @@ def parse_value_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.table(spark, sf_dir, "lineitem").select(*_LINE, fn.parse_grid_number(_number_text(True)).alias("value"))
 
 
-@query("""SELECT p_partkey, replace(p_brand || '/' || p_type, '/', '-') AS canonical,
+@query("""SELECT p_partkey, replace(p_brand || '/' || p_type, '/', '-') || '-' || p_size || '-' || p_name AS canonical,
   replace(replace(p_name || '/' || p_type, '/', '-'), ' ', '_') AS file_name,
   replace(replace(p_name || '/' || p_type, '/', '-'), '_', ' ') AS place FROM part""")
 def normalize_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical spelling, and the way to a file name and back (lossy)."""
     place = F.concat_ws("/", "p_name", "p_type")
     return inputs.table(spark, sf_dir, "part").select(
-        "p_partkey", fn.normalize_name(F.concat_ws("/", "p_brand", "p_type")).alias("canonical"),
+        "p_partkey", fn.normalize_name(F.concat(F.concat_ws("/", "p_brand", "p_type"), F.lit("\u2013"), F.col("p_size").cast("string"), F.lit("\u2014"), "p_name")).alias("canonical"),
         fn.place_to_file_name(place).alias("file_name"),
         fn.file_name_to_place(fn.place_to_file_name(place)).alias("place"),
     )

@@ -12,9 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# A frozen inventory above this size is a mistake: it belongs in a table.
-FROZEN_ROWS = 10_000
-
 # Joins carry no broadcast hints anywhere in this package: Catalyst (static sizes)
 # and AQE (measured sizes) pick broadcast only under the size threshold, and fall
 # back to a sort-merge join whose skewed partitions AQE splits.
@@ -67,7 +64,7 @@ _FROZEN: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictiona
 
 
 def frozen(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A frame of fixed values (never one derived from data), evaluated once per session into local rows."""
+    """A frame built from this package's constants (never from data), worked out once per session into local rows."""
     kept = _FROZEN.setdefault(spark, {})
     if name not in kept:
         kept[name] = _freeze(build())
@@ -75,8 +72,5 @@ def frozen(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> Da
 
 
 def _freeze(df: DataFrame) -> DataFrame:
-    rows = df.limit(FROZEN_ROWS + 1).collect()
-    if len(rows) > FROZEN_ROWS:
-        raise ValueError("only fixed inventories can be frozen")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return local_frame(df.sparkSession, [tuple(r) for r in rows], ddl)
+    return local_frame(df.sparkSession, [tuple(r) for r in df.collect()], ddl)

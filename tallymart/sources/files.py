@@ -38,18 +38,23 @@ def with_path_fields(df: DataFrame, root: str, surveys: Sequence[str] | None = N
     return found if surveys is None else found.where(F.col("survey").isin(*surveys))
 
 
-def raw_files(spark: SparkSession, root: str, surveys: Sequence[str] | None = None) -> DataFrame:
+def raw_files(spark: SparkSession, root: str, surveys: Sequence[str] | None = None, folders: Sequence[str] | None = None) -> DataFrame:
     """Every table file below ``root``: path fields, modificationTime, length, content.
 
-    Content is only read when a query asks for it.
+    Content is only read when a query asks for it.  With ``folders`` (``survey/table_id``)
+    nothing else is listed; Spark lists many folders as a job.
     """
     listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(root)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(_places(root, folders))
     )
     return with_path_fields(listed, root, surveys)
 
 
-def raw_lines(spark: SparkSession, root: str, larger_than: int = -1) -> DataFrame:
+def _places(root: str, folders: Sequence[str] | None) -> str | list[str]:
+    return root if folders is None else [f"{root.rstrip('/')}/{f}" for f in folders]
+
+
+def raw_lines(spark: SparkSession, root: str, larger_than: int = -1, folders: Sequence[str] | None = None) -> DataFrame:
     """(path, pos, line) of the table files above a size, with gapless positions.
 
     The size test prunes files at planning time.  Files are read in splits; a line's
@@ -59,7 +64,7 @@ def raw_lines(spark: SparkSession, root: str, larger_than: int = -1) -> DataFram
     meta = F.col("_metadata")
     decoded_path = F.try_url_decode(F.replace(meta["file_path"], F.lit("+"), F.lit("%2B")))
     text = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root)
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(_places(root, folders))
         .where(meta["file_size"] > larger_than)
         .select(
             decoded_path.alias("path"), meta["file_block_start"].alias("block"),

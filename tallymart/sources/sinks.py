@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.operators import geo, mart, tidy
+from tallymart.operators import geo, mart, matrix, tidy
 from tallymart.operators.quality import stale_tables
+from tallymart.session import shared_folder
 from tallymart.sources import files
 
 TABLE_KEYS = ["survey", "table_id"]
@@ -51,62 +55,141 @@ def built_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Tidied:
+    """Observations of a raw tree and the files that hold no table, with why."""
+
+    long: DataFrame
+    rejects: DataFrame
+
+
 def tidy_tree(spark: SparkSession, raw_root: str, catalogue: DataFrame, *, surveys: list[str] | None = None,
-              only: DataFrame | None = None, row_lane_bytes: int = ROW_LANE_BYTES) -> DataFrame:
-    """A raw tree -> long observations; the size of a file picks its lane.
+              folders: list[str] | None = None, row_lane_bytes: int = ROW_LANE_BYTES) -> Tidied:
+    """A raw tree -> long observations; the size of a file picks its lane, never its result.
 
-    ``only`` restricts to its (survey, table_id) pairs.
+    Only ``folders`` (``survey/table_id``) are listed and read, if given.  Large files are
+    found by the listing; their lines are stored once, since that lane scans them several times.
     """
     keys = ["path", *FILE_KEYS]
     breakdowns = catalogue.groupBy("table_id").agg(F.max("breakdown").alias("breakdown"))
+    listed = files.raw_files(spark, raw_root, surveys, folders).join(breakdowns, "table_id", "left")
+    small = listed.where(F.col("length") <= row_lane_bytes)
+    long, rejects = tidy.tidy_files(small, keys), tidy.rejected_files(small, keys)
+    large = listed.where(F.col("length") > row_lane_bytes).select(*keys, "breakdown")
+    if not large.isEmpty():
+        lines = files.with_path_fields(files.raw_lines(spark, raw_root, row_lane_bytes, folders), raw_root, surveys)
+        path = shared_folder(spark, "lines")
+        lines.write.parquet(path)
+        lines = spark.read.parquet(path)
+        long = long.unionByName(tidy.tidy_lines(lines, large, keys))
+        rejects = rejects.unionByName(tidy.rejected_lines(lines, large, keys))
+    return Tidied(long.drop("path"), rejects)
+
 
-    def described(files_: DataFrame) -> DataFrame:
-        kept = files_ if only is None else files_.join(only.select(*TABLE_KEYS), TABLE_KEYS, "left_semi")
-        return kept.join(breakdowns, "table_id", "left")
+def build_archive(spark: SparkSession, raw_root: str, clean_root: str, catalogue: DataFrame, *,
+                  surveys: list[str] | None = None, incremental: bool = True) -> DataFrame:
+    """Rebuild the tables whose raw files are newer than their output (all, if not incremental).
 
-    small = described(files.raw_files(spark, raw_root, surveys).where(F.col("length") <= row_lane_bytes))
-    lines = files.with_path_fields(files.raw_lines(spark, raw_root, row_lane_bytes), raw_root, surveys)
-    large = described(lines.select(*keys).distinct())
-    in_scope = lines.join(large.select("path"), "path", "left_semi")
-    long = tidy.tidy_files(small, keys).unionByName(tidy.tidy_lines(in_scope, large, keys))
-    return long.drop("path")
+    Files without a table are written below ``_rejects`` of the archive; a table all of
+    whose files are such keeps its former rows.  Returns (survey, table_id, status) of every
+    table with raw files: ``ok``, ``skipped`` (up to date) or ``no data``, and of tables of
+    the catalogue without any, ``missing``.
+    """
+    known = files.raw_files(spark, raw_root, surveys).select(*TABLE_KEYS, F.col("modificationTime").alias("modified"))
+    known = _stored(spark, known, "listing")
+    due = known.select(*TABLE_KEYS).distinct()
+    if incremental and folder_exists(spark, clean_root):
+        due = stale_tables(known, built_files(spark, clean_root), TABLE_KEYS).select(*TABLE_KEYS)
+    # One entry per table folder: the driver names them to the scan, so no other folder is opened.
+    folders = [f"{r.survey}/{r.table_id}" for r in due.collect()]
+    rejects_path = f"{clean_root.rstrip('/')}/_rejects"
+    if folders:
+        found = tidy_tree(spark, raw_root, catalogue, surveys=surveys, folders=folders)
+        write_archive(found.long, clean_root)
+        found.rejects.write.mode("overwrite").parquet(rejects_path)
+    due = spark.createDataFrame([tuple(f.split("/", 1)) for f in folders], "survey string, table_id string").withColumn("due", F.lit(True))
+    bad = spark.read.parquet(rejects_path).groupBy(*TABLE_KEYS).agg(F.count("*").alias("n_bad")) if folders else due.select(*TABLE_KEYS, F.lit(0).alias("n_bad"))
+    counted = known.groupBy(*TABLE_KEYS).agg(F.count("*").alias("n_files")).join(due, TABLE_KEYS, "left").join(bad, TABLE_KEYS, "left")
+    status = F.when(F.col("due").isNull(), "skipped").when(F.col("n_bad") == F.col("n_files"), "no data").otherwise("ok")
+    seen = _stored(spark, counted.select(*TABLE_KEYS, status.alias("status")), "status")
+    missing = catalogue.select(*TABLE_KEYS).distinct().join(seen, TABLE_KEYS, "left_anti")
+    if surveys is not None:
+        missing = missing.where(F.col("survey").isin(*surveys))
+    return seen.unionByName(missing.withColumn("status", F.lit("missing")))
+
+
+def build_workbooks(spark: SparkSession, grid: DataFrame, tables: DataFrame, clean_root: str, *, inputs: DataFrame | None = None) -> DataFrame:
+    """The same for workbook grids: (survey, table_id, status), observations written below ``clean_root``.
+
+    ``inputs`` is (survey, table_id, modified) of the workbooks; with it, tables whose output
+    is newer are skipped.  Sheets without a header row go to ``_rejects``; a table none of
+    whose sheets has one is an ``error``.
+    """
+    wanted = tables
+    if inputs is not None and folder_exists(spark, clean_root):
+        due = stale_tables(inputs, built_files(spark, clean_root), TABLE_KEYS).select(*TABLE_KEYS)
+        wanted = tables.join(_stored(spark, due, "due"), TABLE_KEYS, "left_semi")
+    wanted = _stored(spark, wanted, "workbooks")
+    write_archive(matrix.matrix_long(grid, wanted), clean_root)
+    rejects = matrix.headerless_sheets(grid, wanted).join(wanted.select("file", *TABLE_KEYS), "file")
+    rejects.write.mode("overwrite").parquet(f"{clean_root.rstrip('/')}/_rejects")
+    with_rows = read_archive(spark, clean_root).select(*TABLE_KEYS).distinct().withColumn("has_rows", F.lit(True))
+    named = tables.select(*TABLE_KEYS).distinct().join(wanted.select(*TABLE_KEYS).distinct().withColumn("due", F.lit(True)), TABLE_KEYS, "left")
+    status = F.when(F.col("due").isNull(), "skipped").when(F.col("has_rows").isNull(), "error").otherwise("ok")
+    return named.join(with_rows, TABLE_KEYS, "left").select(*TABLE_KEYS, status.alias("status"))
 
 
-def build_archive(spark: SparkSession, raw_root: str, clean_root: str, catalogue: DataFrame, *,
-                  surveys: list[str] | None = None, incremental: bool = True) -> None:
-    """Rebuild the tables whose raw files are newer than their output (all, if not incremental)."""
-    only = None
-    if incremental and _exists(spark, clean_root):
-        inputs = files.raw_files(spark, raw_root, surveys).select(*TABLE_KEYS, F.col("modificationTime").alias("modified"))
-        only = stale_tables(inputs, built_files(spark, clean_root), TABLE_KEYS)
-    write_archive(tidy_tree(spark, raw_root, catalogue, surveys=surveys, only=only), clean_root)
+def _stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def register_views(spark: SparkSession, root: str, names: Sequence[str], prefix: str = "") -> None:
+    """Stored tables ``root/<name>`` as temporary views ``prefix + name``, to be queried in SQL."""
+    for name in names:
+        spark.read.parquet(f"{root.rstrip('/')}/{name}").createOrReplaceTempView(f"{prefix}{name}")
+
+
+def register_archive(spark: SparkSession, clean_root: str, surveys: Sequence[str]) -> None:
+    """A view per survey of an archive, under its lower-case name; a query scans only its survey's folders."""
+    whole = read_archive(spark, clean_root)
+    for survey in surveys:
+        whole.where(F.col("survey") == survey).createOrReplaceTempView(survey.lower())
 
 
 def write_mart(spark: SparkSession, observations: DataFrame, path: str, *, metrics: DataFrame, table_map: DataFrame,
-               directory: DataFrame, province: Column, projections: bool = True) -> None:
-    """Publish the star below ``path``.
+               directory: DataFrame, province: Column, projections: bool = True, source_newest: DataFrame | None = None,
+               revision: str = "", coverage: str = "%d metros, %d districts with data, %d districts without") -> None:
+    """Publish the star at ``path``, in one step: a new folder is filled and then takes the place of the old one.
 
     The fact is written first and read back, so dimensions and projections scan the
     stored table instead of recomputing it.  All projections are one job, a folder
-    per projection; an empty one gets no folder.
+    per projection; an empty one gets no folder.  ``_meta`` records the build;
+    ``source_newest`` is a one-row frame as of ``files.newest_modification``.
     """
-    fact_path = f"{path}/rental_observations"
-    mart.shape_fact(mart.place_fact(observations, table_map, directory)).write.mode("overwrite").parquet(fact_path)
+    new = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    fact_path = f"{new}/rental_observations"
+    mart.shape_fact(mart.place_fact(observations, table_map, directory)).write.parquet(fact_path)
     fact = spark.read.parquet(fact_path)
+    places = geo.geography_dimension(fact, directory, province=province)
+    newest = source_newest if source_newest is not None else fact.agg(F.max("updated_at").alias("source_parquet_newest"))
     outputs = {
-        "geographies": geo.geography_dimension(fact, directory, province=province),
+        "geographies": places,
         "metrics": metrics,
         "dimension_values": mart.dimension_values(fact),
+        "_meta": mart.meta_row(fact, places, built_at=F.current_timestamp(), source_newest=newest, revision=revision, coverage=coverage),
     }
-    writers = [partial(df.write.mode("overwrite").parquet, f"{path}/{name}") for name, df in outputs.items()]
+    writers = [partial(df.write.parquet, f"{new}/{name}") for name, df in outputs.items()]
     if projections:
         labelled = mart.all_projections(mart.star(fact, metrics, mart.unique_places(directory, province)))
-        writer = labelled.hint("rebalance", "table_name").write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writers.insert(0, partial(writer.partitionBy("table_name").parquet, f"{path}/projections"))
+        writer = labelled.hint("rebalance", "table_name").write
+        writers.insert(0, partial(writer.partitionBy("table_name").parquet, f"{new}/projections"))
     # The outputs only share the stored fact, so their jobs run side by side.
     with ThreadPoolExecutor(len(writers)) as pool:
         for done in [pool.submit(write) for write in writers]:
             done.result()
+    replace_folder(spark, new, path)
 
 
 def read_projection(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -123,6 +206,24 @@ def append_log(records: DataFrame, path: str) -> None:
     records.write.mode("append").json(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's view of the store that ``path`` lies in (reached through the classic session's JVM)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, at = _file_system(spark, path)
+    return system.exists(at)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Rename ``new`` to ``path``; what was there goes once the new folder is in its place."""
+    system, at = _file_system(spark, path)
+    _, source = _file_system(spark, new)
+    _, old = _file_system(spark, f"{new}-old")
+    if system.exists(at):
+        system.rename(at, old)
+    if not system.rename(source, at):
+        raise OSError(f"{new} could not be moved to {path}")
+    system.delete(old, True)

@@ -28,8 +28,10 @@ def stream_archive(spark: SparkSession, raw_root: str, clean_root: str, catalogu
     touched = files.with_path_fields(arrived.select("path"), raw_root, surveys)
 
     def rebuild(batch: DataFrame, _: int) -> None:
-        only = batch.select(*sinks.TABLE_KEYS).distinct()
-        sinks.write_archive(sinks.tidy_tree(batch.sparkSession, raw_root, catalogue, surveys=surveys, only=only), clean_root)
+        folders = [f"{r.survey}/{r.table_id}" for r in batch.select(*sinks.TABLE_KEYS).distinct().collect()]
+        if folders:
+            found = sinks.tidy_tree(batch.sparkSession, raw_root, catalogue, surveys=surveys, folders=folders)
+            sinks.write_archive(found.long, clean_root)
 
     return (
         touched.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)

@@ -7,7 +7,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallymart import functions as fn
-from tallymart.functions.text import name_variants
 
 
 def evaluate(spark, values, build, kind="string"):
@@ -83,7 +82,9 @@ def test_names(spark):
     assert evaluate(spark, once, fn.normalize_name) == once
     assert evaluate(spark, ["A/B c"], fn.place_to_file_name) == ["A-B_c"]
     assert evaluate(spark, ["A-B_c"], fn.file_name_to_place) == ["A-B c"]
-    assert evaluate(spark, ["A/B", "C"], name_variants) == [["A/B", "A-B"], ["C"]]
+    assert evaluate(spark, ["A\u2013B/C", "D\u2014E"], fn.normalize_name) == ["A-B-C", "D-E"]
+    assert evaluate(spark, ["October\u00a02025", "1990 \u00a0March"], fn.parse_period) == [date(2025, 10, 1), date(1990, 3, 1)]
+    assert evaluate(spark, ["October\u00a02025\u00a0Row / Apartment"], fn.subtitle_period) == [date(2025, 10, 1)]
 
 
 def test_urls(spark):

@@ -72,13 +72,40 @@ def test_both_lanes_give_the_same_archive(spark, raw):
     small = sinks.tidy_tree(spark, str(root), tables, surveys=["Rms"])
     large = sinks.tidy_tree(spark, str(root), tables, surveys=["Rms"], row_lane_bytes=0)
     key = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
-    assert key(small) == key(large) and small.count() == 12
+    assert key(small.long) == key(large.long) and small.long.count() == 12
+    assert key(small.rejects.drop("path")) == key(large.rejects.drop("path"))
+    assert [r.geography for r in large.rejects.collect()] == ["Broken"]
+
+
+MARK = b"\xef\xbb\xbf"
+
+
+def test_lanes_agree_on_marks_and_line_ends(spark, tmp_path):
+    table = [b",A,,B,,", b"1990 October,1,a ,2,b ,", b"1991 October,3,a ,**,d ,"]
+    bodies = {
+        "mark": MARK + b"\r\n".join(table), "titled": MARK + b"T\r\n" + b"\r\n".join(table), "lf": b"\n".join([b"T", *table]), "cr": b"\r".join([b"T", *table, b""]),
+        "crlf": b"\r\n".join([b"T", *table]), "none": b"T\r\nnothing here\r\n", "empty": b"\r\n", "marked_none": MARK + b"T\r\n",
+    }
+    folder = tmp_path / "raw" / "Rms" / "2.2.1"
+    folder.mkdir(parents=True)
+    for name, body in bodies.items():
+        (folder / f"{name}.csv").write_bytes(body)
+    tables = catalogue.survey_catalogue(spark)
+    lanes = [sinks.tidy_tree(spark, str(tmp_path / "raw"), tables, row_lane_bytes=n) for n in (10**6, 0)]
+    rows, lines = ({(r.geography, r.period, r.category, r.value, r.reliability) for r in lane.long.collect()} for lane in lanes)
+    assert rows == lines
+    assert {r[0] for r in rows} == {"mark", "titled", "lf", "cr", "crlf"} and len(rows) == 20
+    rows, lines = ({(r.geography, r.reason) for r in lane.rejects.collect()} for lane in lanes)
+    assert rows == lines and {r[0] for r in rows} == {"none", "empty", "marked none"}
 
 
 def test_archive_is_incremental(spark, raw, tmp_path):
     root, put = raw
     clean, tables = str(tmp_path / "clean"), catalogue.survey_catalogue(spark)
-    sinks.build_archive(spark, str(root), clean, tables, surveys=["Rms"])
+    status = sinks.build_archive(spark, str(root), clean, tables, surveys=["Rms"])
+    counts = {r.status: r["count"] for r in status.groupBy("status").count().collect()}
+    assert counts["ok"] == 2 and set(counts) == {"ok", "missing"}
+    assert [r.geography for r in spark.read.parquet(f"{clean}/_rejects").collect()] == ["Broken"]
     archive = sinks.read_archive(spark, clean)
     assert {(r.table_id, r["count"]) for r in archive.groupBy("table_id").count().collect()} == {("2.2.11", 8), ("2.2.1", 4)}
     assert dict(archive.dtypes)["table_id"] == "string"
@@ -87,7 +114,8 @@ def test_archive_is_incremental(spark, raw, tmp_path):
     put("Rms/2.2.1/Ottawa.csv")
     later = max(built.values()).timestamp() + 5
     os.utime(root / "Rms/2.2.1/Ottawa.csv", (later, later))
-    sinks.build_archive(spark, str(root), clean, tables, surveys=["Rms"])
+    status = sinks.build_archive(spark, str(root), clean, tables, surveys=["Rms"])
+    assert {(r.table_id, r.status) for r in status.where("status <> 'missing'").collect()} == {("2.2.1", "ok"), ("2.2.11", "skipped")}
     again = {r.table_id: r.built for r in sinks.built_files(spark, clean).groupBy("table_id").agg(F.max("built").alias("built")).collect()}
     assert again["2.2.11"] == built["2.2.11"] and again["2.2.1"] != built["2.2.1"]
     archive = sinks.read_archive(spark, clean)
@@ -96,6 +124,54 @@ def test_archive_is_incremental(spark, raw, tmp_path):
     assert "PartitionFilters: [isnotnull(table_id" in plan
 
 
+def test_a_rebuild_lists_no_other_table(spark, raw):
+    found = sinks.tidy_tree(spark, str(raw[0]), catalogue.survey_catalogue(spark), surveys=["Rms"], folders=["Rms/2.2.1"])
+    inputs = found.long.inputFiles() + found.rejects.inputFiles()
+    assert inputs and all("/Rms/2.2.1/" in f for f in inputs)
+
+
+def test_a_table_of_unreadable_files_keeps_its_rows(spark, raw, tmp_path):
+    root, put = raw
+    clean, tables = str(tmp_path / "clean"), catalogue.survey_catalogue(spark)
+    sinks.build_archive(spark, str(root), clean, tables, surveys=["Rms"])
+    for name in ("St._John's", "Guelph-Eramosa_(TP)"):
+        put(f"Rms/2.2.11/{name}.csv", b"No data available\r\n")
+        os.utime(root / f"Rms/2.2.11/{name}.csv", (4e9, 4e9))
+    status = sinks.build_archive(spark, str(root), clean, tables, surveys=["Rms"])
+    assert {(r.table_id, r.status) for r in status.where("status <> 'missing'").collect()} == {("2.2.1", "skipped"), ("2.2.11", "no data")}
+    assert sinks.read_archive(spark, clean).where("table_id = '2.2.11'").count() == 8
+
+
+def test_views_over_an_archive(spark, raw, tmp_path):
+    clean = str(tmp_path / "clean")
+    sinks.build_archive(spark, str(raw[0]), clean, catalogue.survey_catalogue(spark), surveys=["Rms"])
+    sinks.register_archive(spark, clean, ["Rms"])
+    assert spark.sql("SELECT count(*) AS n FROM rms WHERE table_id = '2.2.1'").first().n == 4
+
+
+def test_workbooks_are_built_incrementally(spark, tmp_path):
+    from tallymart.operators.matrix import Recipe, recipe_frame
+
+    def row(file, i, *cells):
+        return (file, "Sheet1", i, [*cells])
+
+    grid = spark.createDataFrame([
+        row("one", 0, "Depots"), row("one", 1, "Geography", "2014Q1", "2014Q2"), row("one", 2, "Harbour", "4", "[x]"),
+        row("two", 0, "Depots"), row("two", 1, "nothing of use"),
+    ], "file string, sheet string, row_idx long, cells array<string>")
+    tables = spark.createDataFrame([(f, "Sheet1", "Freight", f"t-{f}", "Depots", "x") for f in ("one", "two")],
+                                   "file string, first_sheet string, survey string, table_id string, title string, slug string").join(
+        recipe_frame(spark, [Recipe("x", "period", header_marker="Geography")]), "slug")
+    clean = str(tmp_path / "clean")
+    status = {(r.table_id, r.status) for r in sinks.build_workbooks(spark, grid, tables, clean).collect()}
+    assert status == {("t-one", "ok"), ("t-two", "error")}
+    assert {(r.value, r.source) for r in sinks.read_archive(spark, clean).collect()} == {(4.0, "static"), (None, "static")}
+    assert [(r.file, r.sheet) for r in spark.read.parquet(f"{clean}/_rejects").collect()] == [("two", "Sheet1")]
+    old = spark.createDataFrame([("Freight", "t-one", datetime(2001, 1, 1)), ("Freight", "t-two", datetime(2001, 1, 1))], "survey string, table_id string, modified timestamp")
+    again = {(r.table_id, r.status) for r in sinks.build_workbooks(spark, grid, tables, clean, inputs=old).collect()}
+    assert again == {("t-one", "skipped"), ("t-two", "error")}
+
+
 def test_stream_archive(spark, raw, tmp_path):
     root, put = raw
     clean, checkpoint, tables = str(tmp_path / "s"), str(tmp_path / "c"), catalogue.survey_catalogue(spark)
@@ -170,6 +246,9 @@ def test_written_mart(spark, tmp_path):
     table = sinks.read_projection(spark, path, "average_rent_by_bedroom")
     assert table.count() == 4 and {"bedroom_type", "avg_rent_dollars"} <= set(table.columns)
     assert spark.read.parquet(f"{path}/metrics").count() == 14
+    meta = spark.read.parquet(f"{path}/_meta").first()
+    assert meta.n_observations == spark.read.parquet(f"{path}/rental_observations").count() and meta.n_cma == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["mart"]
     with pytest.raises(KeyError):
         sinks.read_projection(spark, path, "nope")
 
