@@ -24,10 +24,11 @@ def parse_number(col: Column, null_tokens: Iterable[str] = CSV_NULL_TOKENS) -> C
     return F.when(~text.isin(*null_tokens), _to_double(F.replace(text, F.lit(","), F.lit(""))))
 
 
-def parse_grid_number(col: Column, null_tokens: Iterable[str] = GRID_NULL_TOKENS) -> Column:
-    """As ``parse_number``, but null tokens are tested after commas go."""
+def parse_grid_number(col: Column, null_tokens: Iterable[str] | Column = GRID_NULL_TOKENS) -> Column:
+    """As ``parse_number``, but null tokens (a fixed list, or an array column) are tested after commas go."""
     text = F.replace(strip(col), F.lit(","), F.lit(""))
-    return F.when(~text.isin(*null_tokens), _to_double(text))
+    is_null = F.array_contains(null_tokens, text) if isinstance(null_tokens, Column) else text.isin(*null_tokens)
+    return F.when(~is_null, _to_double(text))
 
 
 def is_value_token(col: Column) -> Column:

@@ -272,6 +272,26 @@ def page_catalogue(raw: DataFrame) -> DataFrame:
     )
 
 
+def downloadable(pages: DataFrame) -> DataFrame:
+    """Pages of a catalogue that have a file."""
+    return pages.where(F.col("asset_url").isNotNull())
+
+
+def asset_status(pages: DataFrame) -> DataFrame:
+    """Per survey: pages, those with a file, those without, bytes to download."""
+    has = F.col("asset_url").isNotNull()
+    return pages.groupBy("survey").agg(
+        F.count(F.lit(1)).alias("n_pages"), F.count_if(has).alias("n_downloadable"), F.count_if(~has).alias("n_missing"),
+        F.sum(F.when(has, F.col("size_bytes"))).alias("n_bytes"),
+    )
+
+
+def pages_by_slug(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (slug, ...) with the page of each slug; ``known`` is false where there is none."""
+    named = pages.withColumnRenamed("table_id", "slug").withColumn("known", F.lit(True))
+    return wanted.join(named, "slug", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
 def fill_from_second_pass(first: DataFrame, second: DataFrame) -> DataFrame:
     """Pages without assets take those of a second discovery pass; ``discovery`` records the origin."""
     later = second.select("page_url", F.col("assets").alias("later"))

@@ -103,6 +103,12 @@ def project_metric(starred: DataFrame, spec: Projection) -> DataFrame:
     )
 
 
+def tables_of(table_map: DataFrame, metrics: DataFrame, spec: Projection) -> DataFrame:
+    """The publication tables of one projection, so that its fact holds nothing else."""
+    named = metrics.where(F.col("metric_name") == spec.metric).select("metric_id")
+    return table_map.where(F.col("dimension") == spec.dimension).join(named, "metric_id", "left_semi")
+
+
 def projection_frame(spark: SparkSession) -> DataFrame:
     return local_frame(
         spark, [(p.name, p.metric, p.dimension) for p in projections()],

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallymart.constants import (
     CODE_COLUMN_LABEL,
+    GRID_NULL_TOKENS,
     SHEET_PER_CATEGORY_SLUGS,
     SHEET_PER_PERIOD_SLUGS,
     SINGLE_SHEET_SLUGS,
@@ -42,11 +43,12 @@ class Recipe:
     header_marker: str | None = None       # first cell of the header row; None = look for periods
     code_label: str | None = None          # part of a code column's header
     metric: str | None = None              # fixed category; None = the table's title
+    null_tokens: tuple[str, ...] = GRID_NULL_TOKENS  # cells that mean "no number here"
 
 
 RECIPE_SCHEMA = (
     "slug string, axis string, sheet_name string, sheet_dimension string, "
-    "skip_sheets array<string>, header_marker string, code_label string, metric string"
+    "skip_sheets array<string>, header_marker string, code_label string, metric string, null_tokens array<string>"
 )
 
 
@@ -135,7 +137,7 @@ def matrix_long(grid: DataFrame, tables: DataFrame) -> DataFrame:
         .withColumn("sheet_label", label)
         .withColumn("slots", header_slots(F.col("header"), _is_code, _is_kept))
         .select(
-            "file", "sheet", "header_idx", "survey", "table_id",
+            "file", "sheet", "header_idx", "survey", "table_id", "null_tokens",
             F.transform("slots", lambda s: F.struct(
                 F.when(by_period, parse_grid_period(s["category"])).otherwise(F.col("sheet_period")).alias("period"),
                 F.when(by_period, F.col("sheet_label")).otherwise(s["category"]).alias("category"),
@@ -145,11 +147,14 @@ def matrix_long(grid: DataFrame, tables: DataFrame) -> DataFrame:
     )
     body = (
         grid.join(sheets, ["file", "sheet"]).where(F.col("row_idx") > F.col("header_idx"))
-        .select("file", "sheet", "survey", "table_id", strip(F.get("cells", F.lit(0))).alias("geography"), "slots", "cells")
+        .select("file", "sheet", "survey", "table_id", "null_tokens", strip(F.get("cells", F.lit(0))).alias("geography"), "slots", "cells")
     )
-    any_value = F.exists("slots", lambda s: parse_grid_number(F.get("cells", s["at"])).isNotNull())
+    # A recipe without tokens of its own keeps the usual ones.
+    tokens = F.coalesce(F.col("null_tokens"), F.array(*(F.lit(t) for t in GRID_NULL_TOKENS)))
+    number = lambda cell: parse_grid_number(cell, tokens)
+    any_value = F.exists("slots", lambda s: number(F.get("cells", s["at"])).isNotNull())
     placed = drop_dividers(body, ["file", "sheet", "geography"], any_value)
-    return ragged_to_long(placed, parse_value=parse_grid_number, carry=("period", "category")).select(
+    return ragged_to_long(placed, parse_value=number, carry=("period", "category")).select(
         "period", F.lit(None).cast("string").alias("sub_geography"), "category", "value", "reliability",
         "survey", "table_id", "geography", F.lit("static").alias("source"),
     )

@@ -285,7 +285,7 @@ def workbook(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             "file", F.when(F.col("sheet_dimension").isNull(), "Sheet1").otherwise("Notes").alias("first_sheet"),
             F.lit("Household Characteristics").alias("survey"), F.col("slug").alias("table_id"),
             F.concat(F.lit("Title of "), F.col("file")).alias("title"),
-            "axis", "sheet_name", "sheet_dimension", "skip_sheets", "header_marker", "code_label", "metric",
+            "axis", "sheet_name", "sheet_dimension", "skip_sheets", "header_marker", "code_label", "metric", "null_tokens",
         )
     )
     # Sheets are read more than once, so they are stored like the workbooks they stand for.

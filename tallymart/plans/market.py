@@ -36,9 +36,10 @@ def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def market_mart(spark: SparkSession, sf_dir: str) -> mart.Mart:
+def market_mart(spark: SparkSession, sf_dir: str, spec: mart.Projection | None = None) -> mart.Mart:
+    tables = table_map(spark) if spec is None else mart.tables_of(table_map(spark), metric_table(spark), spec)
     return mart.build_mart(
-        inputs.market(spark, sf_dir), metrics=metric_table(spark), table_map=table_map(spark),
+        inputs.market(spark, sf_dir), metrics=metric_table(spark), table_map=tables,
         directory=directory(spark, sf_dir), province=F.lit("Home"),
     )
 
@@ -154,7 +155,7 @@ def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _metric_table(spec: mart.Projection):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return mart.project_metric(market_mart(spark, sf_dir).star(), spec)
+        return mart.project_metric(market_mart(spark, sf_dir, spec).star(), spec)
 
     run.__doc__ = f"{spec.metric} by {spec.dimension}."
     return run
