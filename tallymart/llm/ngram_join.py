@@ -4,7 +4,8 @@ A document is the set of its distinct word n-grams.  Two sets with
 ``den * |A & B| >= num * |A | B|`` share at least ``ceil(num * |A| / den)`` tokens, so
 under *any* order of all tokens they share one among the first ``|A| - ceil(..) + 1``
 tokens of each.  Candidates must do so under every one of ``ORDERS`` orders; only then
-are whole sets compared, exactly.
+are whole sets compared: first a few bits of every token, which rules out most pairs that
+do not link at a quarter of the traffic, then the tokens themselves.
 
 Each order ranks tokens by how common they are (a class), then by its own hash: common
 passages come last, so they are in a prefix only where a document holds hardly anything
@@ -43,8 +44,10 @@ ORDERS = 3
 TASK_COUNT, COMMON_COUNT = 8, 32
 #: At most so many common tokens (the most frequent ones) are sent to the tasks: 16 bytes each.
 COMMON_TOKENS = 200_000
-#: Tokens of the sets that one part of a cluster holds, about.
-PART_TOKENS = 400_000
+#: Comparisons with one pivot that one group of rows holds.
+PIVOT_ROWS = 2000
+#: Sets of more tokens are outlined with 32 bits a token, smaller ones with 16.
+WIDE_FROM = 4096
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], dtype=np.uint64)
 
 
@@ -184,26 +187,40 @@ def cross_orders(pairs: DataFrame, sketches: DataFrame, bits: Bits) -> DataFrame
     return both.select("a", "b")
 
 
-def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, num: int, den: int, scratch: Scratch, name: str) -> DataFrame:
-    """Pairs (a, b) that link, by their whole sets, built again from the texts of the documents concerned.
+def packed(tokens: np.ndarray) -> bytes:
+    """16 bits (32 of large sets) of every token, after a byte that says which."""
+    wide = len(tokens) > WIDE_FROM
+    return bytes([wide]) + tokens.astype(np.uint32 if wide else np.uint16).tobytes()
 
-    Pairs that hang together form clusters.  A cluster's sets are dealt into parts of about
-    PART_TOKENS tokens, and one task compares two parts: a set travels once to each pair of
-    parts that needs it, which for most clusters is once, however many pairs it is in.
+
+def may_link(mine: bytes, other: bytes, num: int, den: int) -> bool:
+    """False only if the sets cannot link: tokens are at most as many in common as their bits are."""
+    a, b = (np.frombuffer(x, np.uint32 if x[0] else np.uint16, offset=1) for x in (mine, other))
+    if a.dtype != b.dtype:
+        a, b = a.astype(np.uint16), b.astype(np.uint16)
+    both = int(min(np.isin(a, b).sum(), np.isin(b, a).sum()))
+    return den * both >= num * (len(a) + len(b) - both)
+
+
+def link(mine: bytes, other: bytes, num: int, den: int) -> bool:
+    a, b = np.frombuffer(mine, U), np.frombuffer(other, U)
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return den * both >= num * (len(a) + len(b) - both)
+
+
+def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, encode, test, scratch: Scratch, name: str) -> DataFrame:
+    """Pairs (a, b) for which ``test`` holds of their encoded sets, built again from the texts of the documents concerned.
+
+    A set travels once to each of its pairs' ``b`` ("pivot"), whose comparisons are dealt
+    over as many groups as they need.
     """
     spark = docs.sparkSession
-    clusters = components(pairs, scratch, f"{name}-cluster")
-    sized = clusters.join(leads.select(F.col("row").alias("node"), "n", "doc_id", "key"), "node")
-    parts = scratch.put(f"{name}-parts", sized.groupBy("label").agg(F.ceil(F.sum("n") / PART_TOKENS).cast("int").alias("parts")))
-    placed = scratch.put(f"{name}-placed", sized.join(parts, "label").select("node", "label", "doc_id", "key", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")))
-    of_a = placed.select(F.col("node").alias("a"), "label", F.col("part").alias("part_a"))
-    of_b = placed.select(F.col("node").alias("b"), F.col("part").alias("part_b"))
-    asked = pairs.join(of_a, "a").join(of_b, "b").select("label", F.least("part_a", "part_b").alias("low"), F.greatest("part_a", "part_b").alias("high"), "a", "b")
-    asked = scratch.put(f"{name}-asked", asked)
-    group = ["label", "low", "high"]
-    sent = asked.select(*group, F.explode(F.array("a", "b")).alias("node")).distinct()
-    routes = scratch.put(f"{name}-routes", sent.join(placed.select("node", "doc_id", "key"), "node"))
-    bits = Bits(spark, placed, "doc_id", placed.count())
+    groups = scratch.put(f"{name}-groups", pairs.groupBy("b").agg(F.ceil(F.count("*") / PIVOT_ROWS).cast("int").alias("parts")))
+    dealt = pairs.join(groups, "b").select(F.col("a").alias("row"), "b", F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"))
+    own = groups.select(F.col("b").alias("row"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
+    routes = scratch.put(f"{name}-routes", dealt.unionByName(own).join(leads.select("row", "doc_id", "key"), "row"))
+    wanted = routes.select("doc_id").distinct()
+    bits = Bits(spark, wanted, "doc_id", wanted.count())
     words = bits.words
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("tokens", pa.binary())])
 
@@ -215,37 +232,32 @@ def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, num: in
                 row = (doc, set_key(tokens))
                 if row[1] and row not in seen:  # a repeated row is sent once by each task
                     seen.add(row)
-                    rows.append((*row, tokens.tobytes()))
+                    rows.append((*row, encode(tokens)))
             if rows:
                 yield batch_of(schema, *(list(c) for c in zip(*rows)))
 
     found = docs.select("doc_id", "text", bits.place("doc_id").alias("at")).mapInArrow(sets, "doc_id long, key binary, tokens binary")
     met = routes.join(found, routes["doc_id"].eqNullSafe(found["doc_id"]) & (routes["key"] == found["key"]))
-    held = met.select(*group, F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "tokens")
+    together = met.select("b", "part", F.col("row").alias("a"), "kind", "tokens").repartition("b", "part").sortWithinPartitions("b", "part", "kind")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def check(batches):
-        now, sets_of = None, {}
+        of, pivot = None, None
         for batch in batches:
             a, b = [], []
-            for *of, x, y, tokens in zip(*(batch.column(c).to_pylist() for c in (*group, "a", "b", "tokens"))):
-                if of != now:
-                    now, sets_of = of, {}
-                if y is None:  # sets come before the pairs of their group
-                    sets_of[x] = np.frombuffer(tokens, U)
+            for y, part, x, kind, tokens in zip(*(batch.column(c).to_pylist() for c in ("b", "part", "a", "kind", "tokens"))):
+                if not kind:  # a group's pivot comes first
+                    of, pivot = (y, part), tokens
                     continue
-                mine, other = sets_of[x], sets_of[y]
-                both = len(np.intersect1d(mine, other, assume_unique=True))
-                if den * both >= num * (len(mine) + len(other) - both):
+                assert of == (y, part), "a pair without its pivot"
+                if test(tokens, pivot):
                     a.append(x)
                     b.append(y)
             yield batch_of(out, a, b)
 
-    together = held.unionByName(asked.withColumn("tokens", F.lit(None).cast("binary"))).repartition(*group)
-    together = together.sortWithinPartitions(*group, F.col("b").asc_nulls_first())
-    linked = scratch.put(f"{name}-links", together.mapInArrow(check, "a long, b long"))
-    scratch.drop(*(f"{name}-{x}" for x in ("parts", "placed", "asked", "routes")))
-    return linked
+    kept = scratch.put(f"{name}-kept", together.mapInArrow(check, "a long, b long").distinct())
+    scratch.drop(f"{name}-groups", f"{name}-routes")
+    return kept
 
 
 def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -282,8 +294,9 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
         rows = sized.select(F.col("a").alias("row")).union(sized.select(F.col("b").alias("row"))).distinct()
         bits = Bits(spark, rows, "row", sized.count())
         left = scratch.put(f"{name}-left", cross_orders(sized, sketches, bits))
-        found = compare(left, chief, docs, k, num, den, scratch, name)
-        scratch.drop(f"{name}-sized", f"{name}-left")
+        likely = compare(left, chief, docs, k, packed, lambda a, b: may_link(a, b, num, den), scratch, f"{name}-likely")
+        found = compare(likely, chief, docs, k, lambda tokens: tokens.tobytes(), lambda a, b: link(a, b, num, den), scratch, f"{name}-links")
+        scratch.drop(f"{name}-sized", f"{name}-left", f"{name}-likely-kept")
         return found
 
     scratch.drop("pivots")

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tallymart.llm import ngram_join
@@ -57,7 +58,7 @@ def near_copies(seed, n):
 
 
 def test_equals_brute_force_with_groups_and_common_passages(ready, monkeypatch):
-    monkeypatch.setattr(ngram_join, "PART_TOKENS", 500)  # several parts a cluster
+    monkeypatch.setattr(ngram_join, "PIVOT_ROWS", 7)  # several groups a pivot
     rows = near_copies(5, 160)
     got = ngram_join.ngram_join(ready.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute(rows)
@@ -83,6 +84,19 @@ def test_linked_sets_share_enough(n):
     assert 100 * least >= 85 * n > 100 * (least - 1)
 
 
+def test_outline_never_rules_out_a_link():
+    rng = np.random.default_rng(0)
+    for size in (3, 40, 900, 5000):
+        for changed in (0, size // 20, size // 12, size // 3):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**64, changed, dtype=np.uint64)]))
+            exact = ngram_join.link(a.tobytes(), b.tobytes(), 85, 100)
+            assert ngram_join.may_link(ngram_join.packed(a), ngram_join.packed(b), 85, 100) or not exact
+    a = np.arange(4000, dtype=np.uint64) * np.uint64(7919)
+    b = np.append(a, np.arange(200, dtype=np.uint64) * np.uint64(104729) + np.uint64(1))
+    assert ngram_join.may_link(ngram_join.packed(a), ngram_join.packed(b), 85, 100)  # 16 and 32 bits meet
+
+
 def test_components_of_a_chain_and_a_star(ready):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)]
     got = components(ready.createDataFrame(edges, "a long, b long"), Scratch(ready, "test"), "c").collect()
