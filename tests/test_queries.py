@@ -17,6 +17,8 @@ SAMPLE = (
     "wide_to_long", "tidy_long", "tidy_long_by_line", "snapshot_long", "matrix_long", "header_row", "csv_cells", "parse_period",
     "parse_number", "star_fact", "geo_dim", "meta_row", "metric_table_average_rent_by_bedroom", "latest_per_group",
     "dedup_row_number", "valid_jobs", "filter_diagnosis", "json_catalogue", "geojson_features", "sink_roundtrip", "log_latency_stream",
+    "rejected_files", "headerless_sheets", "workbook_archive", "stored_views", "all_places", "asset_status", "page_lookup", "province_scope",
+    "mart_roundtrip", "log_roundtrip", "lookup_roundtrip", "pending_jobs", "build_status_counts", "normalize_name", "subtitle_period",
 )
 
 
