@@ -99,9 +99,10 @@ class Common:
         return np.where(self.tokens[at] == tokens, self.level[at], U(0))
 
     def prefix(self, tokens: np.ndarray, size: int, order: int) -> np.ndarray:
-        """The ``size`` first tokens under one of the orders."""
+        """The ``size`` first tokens under one of the orders, in that order."""
         rank = (self.levels(tokens) << U(58)) | (mix(tokens ^ SEEDS[order]) >> U(6))
-        return tokens[np.argpartition(rank, size - 1)[:size]] if size < len(tokens) else tokens
+        near = np.argpartition(rank, size - 1)[:size] if size < len(tokens) else np.arange(len(tokens))
+        return tokens[near[np.argsort(rank[near])]]
 
 
 def common_tokens(docs: DataFrame, k: int) -> Common:
@@ -280,10 +281,10 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     sets = scratch.put("sets", sketches.filter("key is not null").groupBy("key").agg(
         F.min(F.when(F.col("first").isNotNull(), F.col("row"))).alias("set"), F.count("*").alias("n_same")))
     leads = scratch.put("leads", sketches.filter("first is not null").select("row", "doc_id", "n", "key").join(sets.select("key", "set"), "key"))
-    tokens = sketches.filter("first is not null").select(F.explode("first").alias("token"), "row")
+    tokens = sketches.filter("first is not null").select(F.posexplode("first").alias("at", "token"), "row")
     pivots = scratch.put("pivots", tokens.groupBy("token").agg(F.count("*").alias("holders"), F.min("row").alias("pivot")).filter("holders > 1"))
-    index = tokens.join(pivots, "token").select("token", "row", "pivot")
-    index = scratch.put("index", index.join(leads.select("row", "set"), "row").select("token", F.col("set").alias("row"), "pivot"))
+    index = tokens.join(pivots, "token").select("token", "row", "at", "pivot")
+    index = scratch.put("index", index.join(leads.select("row", "set", "n"), "row").select("token", F.col("set").alias("row"), "at", "n", "pivot"))
     chief = leads.filter("row = set").select("row", "doc_id", "n", "key")
 
     def settled(pairs: DataFrame, name: str) -> DataFrame:
@@ -306,12 +307,17 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     links = settled(stars, "stars")
     labels = components(links, scratch, "after-stars")
 
-    placed = index.join(lead_set, "pivot").join(labels.withColumnRenamed("node", "row"), "row", "left").select("token", "row", "hub", F.coalesce("label", "row").alias("group"))
+    placed = index.join(lead_set, "pivot").join(labels.withColumnRenamed("node", "row"), "row", "left").select("token", "row", "at", "n", "hub", F.coalesce("label", "row").alias("group"))
     hub_labels = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_group"))
-    placed = scratch.put("placed", placed.join(hub_labels, "hub", "left").select("token", "row", "group", F.coalesce("hub_group", "hub").alias("main")).distinct())
+    placed = scratch.put("placed", placed.join(hub_labels, "hub", "left").select("token", "row", "at", "n", "group", F.coalesce("hub_group", "hub").alias("main")).distinct())
     scratch.drop("index")
-    minor = scratch.put("minor", placed.filter("group <> main").select("token", F.col("row").alias("b"), F.col("group").alias("group_b")))
-    rest = minor.join(placed, "token").filter("group <> group_b").select(F.greatest("row", "b").alias("a"), F.least("row", "b").alias("b")).distinct()
+    minor = scratch.put("minor", placed.filter("group <> main").select("token", F.col("row").alias("b"), F.col("group").alias("group_b"), F.col("at").alias("at_b"), F.col("n").alias("n_b")))
+    # The first token that two sets share has all they share at or behind it, so it must leave room for
+    # what a link takes: ceil(num * (n + n_b) / (num + den)) tokens.  Pairs that fail here meet no link
+    # at this token; if they have one, they meet at an earlier token too.
+    room = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
+    enough = (room * (num + den) >= (F.col("n") + F.col("n_b")) * num) & (F.least("n", "n_b") * den >= F.greatest("n", "n_b") * num)
+    rest = minor.join(placed, "token").filter((F.col("group") != F.col("group_b")) & enough).select(F.greatest("row", "b").alias("a"), F.least("row", "b").alias("b")).distinct()
     rest = scratch.put("rest", rest.join(stars, ["a", "b"], "left_anti"))
     scratch.drop("placed", "minor")
     links = links.unionByName(settled(rest, "rest"))
