@@ -30,7 +30,7 @@ EPOCHS, BATCH, RATE, SEED = 6, 16, 0.5, 11
 #: Of the calibration rows that are predicted rightly this share may fall under the rejection score.
 RIGHT_REJECTED = 0.001
 #: And no score is rejected that lies further than this on the way from chance to certainty.
-NEAR_CHANCE = 0.15
+NEAR_CHANCE = 0.02
 UNKNOWN = "und"
 OUTPUT = ("lang_pred", "score", "rejected")
 
