@@ -16,9 +16,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram Jaccard join."""
+    """One document of each component of the Jaccard join over five words, linked from a similarity of 0.8."""
     ship(spark)
-    return ngram_join.keep_first(docs)
+    return ngram_join.keep_first(docs, k=5, num=80, den=100)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+import re
 from collections import Counter
 
 import pytest
@@ -49,3 +51,38 @@ def test_stages_take_no_rows(ready, no_docs, stage):
 def test_masked_text_has_no_span_left():
     text = "write x@y.zz or 4532015112830366, call +1 (555) 010-9999"
     assert pii.find(pii.masked(text, pii.find(text))) == []
+
+
+def five_words(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_duplicates_are_those_of_five_words_and_four_fifths(ready):
+    rng = random.Random(4)
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{rng.randrange(300)}" for _ in range(rng.randrange(60, 160))]
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(4):
+            words = list(base)
+            for _ in range(rng.randrange(1, 5)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(900)}"
+            rows.append((len(rows), " ".join(words)))
+    sets = [five_words(t) for _, t in rows]
+    part = list(range(len(rows)))
+    between = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            alike = shared / (len(sets[a]) + len(sets[b]) - shared)
+            between += 0.8 <= alike < 0.85
+            if alike >= 0.8:
+                old, new = part[a], part[b]
+                part = [new if p == old else p for p in part]
+    least = {}
+    for i, p in enumerate(part):
+        least.setdefault(p, i)
+    docs = ready.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](ready, docs, SF)
+    assert between and sorted(r["doc_id"] for r in kept.collect()) == sorted(least.values())
