@@ -26,7 +26,9 @@ from tallymart.llm.words import Texts
 DIGIT = re.compile("[0-9]")
 #: A run of so many characters that keys are written in; it counts as a candidate if it holds a digit.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{16,}+")
-DICTIONARY_WORDS, BLOCK_COUNT = 5000, 5
+DICTIONARY_WORDS = 5000
+#: Distinct words that a task holds before it reports their counts so far.
+PORTION_WORDS = 200_000
 #: Labelled findings that the forest is fitted to at most.
 TRAIN_ROWS = 6000
 TREES, DEPTH, SEED = 20, 6, 17
@@ -46,24 +48,27 @@ FEATURES = (
 def dictionary(docs: DataFrame) -> list[tuple[str, int]]:
     """The most frequent words of three letters and more over all texts, with counts (at most DICTIONARY_WORDS).
 
-    Every task counts all its words; of a block of text it reports those seen BLOCK_COUNT times or more.
+    Every task counts all its words and reports them in portions of PORTION_WORDS; the sums are those of the whole table.
     """
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def work(batches):
+        total: Counter = Counter()
         for block in blocks(batches, "text"):
             texts = Texts.of(block.column("text"))
             words = texts.words()
             hashes = words.hashes(lower=True)
             _, first, n = np.unique(hashes, return_index=True, return_counts=True)
             data = texts.data.tobytes()
-            rows = []
-            for i, c in zip(first[n >= BLOCK_COUNT], n[n >= BLOCK_COUNT]):
+            for i, c in zip(first.tolist(), n.tolist()):
                 word = data[words.begin[i] : words.end[i]].decode().lower().strip(".,;:!?\"'()")
                 if 3 <= len(word) <= 20 and word.isalpha():
-                    rows.append((word, int(c)))
-            if rows:
-                yield batch_of(schema, *(list(c) for c in zip(*rows)))
+                    total[word] += c
+            if len(total) >= PORTION_WORDS:
+                yield batch_of(schema, list(total), list(total.values()))
+                total.clear()
+        if total:
+            yield batch_of(schema, list(total), list(total.values()))
 
     found = docs.select("text").mapInArrow(work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [(r["word"], r["n"]) for r in found.orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).collect()]

@@ -163,3 +163,13 @@ def test_top_k_of_few_and_none(ready):
     few = ready.createDataFrame([(0, [1.0]), (1, [0.5]), (2, [-3.0])], "vec_id long, embedding array<double>")
     assert sorted(tuple(r) for r in topk_search.top_k(few, F.col("vec_id") == 0).collect()) == [(0, 1, 1, 256 * 128), (0, 2, 2, 256 * -768)]
     assert topk_search.top_k(few.filter("false"), F.col("vec_id") == 0).count() == 0
+
+
+def test_dictionary_counts_every_word(ready):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(2, 6))) + rng.choice(["", ",", "."]) for _ in range(300)) for _ in range(40)]
+    texts = [t + f" seldom{chr(97 + i % 3)}" for i, t in enumerate(texts)] + ["Once", None, ""]
+    want = Counter(w for t in texts if t for x in t.split() if len(w := x.lower().strip(".,")) >= 3)
+    docs = ready.createDataFrame([(t,) for t in texts], "text string")
+    got = [secret_scan.dictionary(docs.repartition(n)) for n in (1, 7)]
+    assert got[0] == got[1] == sorted(want.items(), key=lambda x: (-x[1], x[0]))[: secret_scan.DICTIONARY_WORDS]
