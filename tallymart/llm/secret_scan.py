@@ -77,6 +77,12 @@ def dictionary(docs: DataFrame) -> list[tuple[str, int]]:
 class Lexicon:
     def __init__(self, words: list[tuple[str, int]]):
         self.words = {w for w, _ in words}
+        #: The lengths of the words that begin with three letters, the longest first.
+        self.sizes: dict[str, list[int]] = {}
+        for w in self.words:
+            self.sizes.setdefault(w[:3], []).append(len(w))
+        for head, found in self.sizes.items():
+            self.sizes[head] = sorted(set(found), reverse=True)
         pairs: Counter = Counter()
         for w, n in words:
             for a, b in zip(w, w[1:]):
@@ -94,7 +100,7 @@ class Lexicon:
         """Share of characters in dictionary words, the longest first from left to right."""
         low, at, inside = text.lower(), 0, 0
         while at < len(low):
-            size = next((k for k in range(min(20, len(low) - at), 2, -1) if low[at : at + k] in self.words), 0)
+            size = next((k for k in self.sizes.get(low[at : at + 3], ()) if low[at : at + k] in self.words), 0)
             inside += size
             at += size or 1
         return inside / max(1, len(low))
@@ -106,9 +112,7 @@ def kind(c: str) -> str:
 
 def described(text: str, start: int, end: int, path: str, lexicon: Lexicon) -> list[float]:
     """The numbers of FEATURES for one candidate."""
-    # Of very long candidates (embedded files, say) the first and last stretch are enough to describe them.
-    whole = text[start:end]
-    held = whole if len(whole) <= 512 else whole[:256] + whole[-256:]
+    held = text[start:end]
     count = Counter(held)
     entropy = -sum(n / len(held) * math.log2(n / len(held)) for n in count.values())
     kinds = [kind(c) for c in held]
@@ -116,7 +120,7 @@ def described(text: str, start: int, end: int, path: str, lexicon: Lexicon) -> l
     near = re.findall(r"[a-z]+", before.lower().replace("_", " "))
     around = re.findall(r"[^\W\d_]+", (before + " " + after).lower())
     return [
-        float(len(whole)), len(count) / len(held), entropy, sum(a != b for a, b in zip(kinds, kinds[1:])) / len(held),
+        float(len(held)), len(count) / len(held), entropy, sum(a != b for a, b in zip(kinds, kinds[1:])) / len(held),
         kinds.count("0") / len(held), kinds.count("A") / len(held), lexicon.rarity(held), lexicon.covered(held),
         float(any(m in path.lower() for m in MOCK_PATHS)), float(len(path)), float(any(w in NAMES for w in near[-3:])),
         float(bool(re.search(r"[=:]\s*[\"']?$", before))), float(before[-1:] in ("'", '"') and after[:1] in ("'", '"')),

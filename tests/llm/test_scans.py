@@ -173,3 +173,12 @@ def test_dictionary_counts_every_word(ready):
     docs = ready.createDataFrame([(t,) for t in texts], "text string")
     got = [secret_scan.dictionary(docs.repartition(n)) for n in (1, 7)]
     assert got[0] == got[1] == sorted(want.items(), key=lambda x: (-x[1], x[0]))[: secret_scan.DICTIONARY_WORDS]
+
+
+def test_long_candidates_are_described_whole():
+    lexicon = secret_scan.Lexicon([("needle", 3), ("need", 2)])
+    ends, middle = "0123456789abcdef" * 16, "NeedleNeed" * 400
+    f = dict(zip(secret_scan.FEATURES, secret_scan.described(ends + middle + ends, 0, 4512, "", lexicon)))
+    count = Counter(ends + middle + ends)
+    assert f["length"] == 4512 and f["distinct"] == len(count) / 4512
+    assert f["covered"] == 4000 / 4512 and f["upper"] == 800 / 4512 and f["digits"] == 320 / 4512
