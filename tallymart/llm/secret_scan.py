@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from tallymart.llm.tables import Scratch, batch_of, blocks, strings_of
 from tallymart.llm.words import Texts
 
-DIGIT = re.compile("[0-9]")
-#: A run of so many characters that keys are written in; it counts as a candidate if it holds a digit.
+#: A run of so many characters that keys are written in.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{16,}+")
 DICTIONARY_WORDS = 5000
 #: Distinct words that a task holds before it reports their counts so far.
@@ -36,6 +35,17 @@ KEPT_FROM = 0.5
 AROUND = 32
 #: Words before an assignment that name a secret.
 NAMES = ("token", "secret", "password", "passwd", "key", "api", "apikey", "auth", "credential", "access", "private", "bearer")
+NAME = re.compile("|".join(NAMES), re.IGNORECASE)
+#: From a name of NAMES on: the rest of its identifier, an assignment, and a value, quoted or up to the next blank.
+VALUE = re.compile(
+    r"""[\w.\-]{0,64}+["'`\])]{0,3}+[ \t]{0,16}+(?:=>|:=|={1,3}|:)[ \t]{0,16}+(?:(?:bearer|basic)[ \t]{1,16}+)?"""
+    r"""(?:"((?:[^"\\\r\n]|\\.){6,}+)"|'((?:[^'\\\r\n]|\\.){6,}+)'|`([^`\r\n]{6,}+)`|([^\s"'`]\S{5,}+))""",
+    re.IGNORECASE,
+)
+#: The same inside an address.
+PAIR = re.compile(r"[\w.\-]{0,64}+=([^&#\s]*+)")
+#: What ends an unquoted value and does not belong to it.
+TAIL = ",;"
 #: Beginnings of well-known key formats.
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "xoxb-", "xoxp-", "sk_live_", "sk-", "eyJ", "AIza", "glpat-")
 #: Parts of a path under which keys are seldom real.
@@ -110,8 +120,40 @@ def kind(c: str) -> str:
     return "0" if c.isdigit() else "A" if c.isupper() else "a" if c.islower() else "-"
 
 
-def described(text: str, start: int, end: int, path: str, lexicon: Lexicon) -> list[float]:
-    """The numbers of FEATURES for one candidate."""
+def assigned_values(text: str) -> list[tuple[int, int]]:
+    """Where the values lie that are assigned to a name of NAMES; a value ends where the text is read on.
+
+    An address may hold assignments of its own (?token=..&key=..), which are read too.
+    """
+    out, at = [], 0
+    while named := NAME.search(text, at):
+        found = VALUE.match(text, named.end())
+        if not found:
+            at = named.end()
+            continue
+        start, end = found.span(found.lastindex)
+        if found.lastindex == 4:
+            end = start + len(text[start:end].rstrip(TAIL))
+        if end - start >= 6:
+            out.append((start, end))
+        value, inner = text[start:end], 0
+        while "://" in value and (named := NAME.search(value, inner)):
+            pair = PAIR.match(value, named.end())
+            inner = pair.end() if pair else named.end()
+            if pair and len(pair[1]) >= 6:
+                out.append((start + pair.start(1), start + pair.end(1)))
+        at = max(end, start)
+    return out
+
+
+def spans(text: str) -> list[tuple[int, int, bool]]:
+    """Start and end of every candidate in order, and whether it is the value of a name of NAMES."""
+    values = set(assigned_values(text))
+    return sorted({(*m.span(), m.span() in values) for m in CANDIDATE.finditer(text)} | {(a, b, True) for a, b in values})
+
+
+def described(text: str, start: int, end: int, path: str, lexicon: Lexicon, value: bool = False) -> list[float]:
+    """The numbers of FEATURES for one candidate; ``value``: it is known to be the value of a name of NAMES."""
     held = text[start:end]
     count = Counter(held)
     entropy = -sum(n / len(held) * math.log2(n / len(held)) for n in count.values())
@@ -122,8 +164,8 @@ def described(text: str, start: int, end: int, path: str, lexicon: Lexicon) -> l
     return [
         float(len(held)), len(count) / len(held), entropy, sum(a != b for a, b in zip(kinds, kinds[1:])) / len(held),
         kinds.count("0") / len(held), kinds.count("A") / len(held), lexicon.rarity(held), lexicon.covered(held),
-        float(any(m in path.lower() for m in MOCK_PATHS)), float(len(path)), float(any(w in NAMES for w in near[-3:])),
-        float(bool(re.search(r"[=:]\s*[\"']?$", before))), float(before[-1:] in ("'", '"') and after[:1] in ("'", '"')),
+        float(any(m in path.lower() for m in MOCK_PATHS)), float(len(path)), float(value or any(w in NAMES for w in near[-3:])),
+        float(value or bool(re.search(r"[=:]\s*[\"']?$", before))), float(before[-1:] in ("'", '"') and after[:1] in ("'", '"')),
         sum(w in lexicon.words for w in around) / max(1, len(around)),
     ]
 
@@ -131,8 +173,10 @@ def described(text: str, start: int, end: int, path: str, lexicon: Lexicon) -> l
 def rule_label(whole: str, features: list[float]) -> int | None:
     """1 or 0 where a finding is beyond doubt by its form, else None: the stand-in for findings labelled by people."""
     f = dict(zip(FEATURES, features))
-    if whole.startswith(PREFIXES) or (f["named"] and f["assigned"] and f["digits"] < 1 and f["entropy"] > 2.5):
+    if whole.startswith(PREFIXES) or (f["named"] and f["assigned"] and f["digits"] < 1 and f["entropy"] > 2.5 and f["covered"] <= 0.6):
         return 1
+    if f["named"] and f["assigned"] and f["quoted"] and f["digits"] < 1 and f["entropy"] > 2.5:
+        return None  # words in quotes after such a name: a passphrase or a remark
     if f["digits"] == 1 or f["covered"] > 0.6 or f["distinct"] < 0.15 or (not f["assigned"] and not f["named"] and f["entropy"] < 3):
         return 0
     return None
@@ -147,12 +191,9 @@ def candidates(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         for block in blocks(batches, "text"):
             rows = []
             for doc, text, path in zip(block.column("doc_id").to_pylist(), strings_of(block.column("text")), strings_of(block.column("path"))):
-                if not DIGIT.search(text):
-                    continue
-                for m in CANDIDATE.finditer(text):
-                    if DIGIT.search(m[0]):
-                        f = described(text, *m.span(), path, held.value)
-                        rows.append((doc, *m.span(), m[0], *f, rule_label(m[0], f)))
+                for start, end, value in spans(text):
+                    f = described(text, start, end, path, held.value, value)
+                    rows.append((doc, start, end, text[start:end], *f, rule_label(text[start:end], f)))
             if rows:
                 yield batch_of(schema, *(list(c) for c in zip(*rows)))
 

@@ -182,3 +182,24 @@ def test_long_candidates_are_described_whole():
     count = Counter(ends + middle + ends)
     assert f["length"] == 4512 and f["distinct"] == len(count) / 4512
     assert f["covered"] == 4000 / 4512 and f["upper"] == 800 / 4512 and f["digits"] == 320 / 4512
+
+
+def test_values_of_names_and_runs_without_digits_are_proposed():
+    cases = {
+        'password = "Tr0ub4dor&3"': ["Tr0ub4dor&3"], "DB_PASSWD=p@ss!w$rd, next": ["p@ss!w$rd"], '{"apiKey": "a.b:c d?e"}': ["a.b:c d?e"],
+        "secret := 'it\\'s me'": ["it\\'s me"], "Authorization: Bearer ab.cd.ef.gh": ["ab.cd.ef.gh"], "see abcdefghijklmnopqrstuv there": ["abcdefghijklmnopqrstuv"],
+        "token=https://a.b/?key=s3cr.t!&x=1": ["https://a.b/?key=s3cr.t!&x=1", "s3cr.t!"], "password: short": [], "colour = 'Tr0ub4dor&3'": [], "the key to it": [],
+        "key=" * 5 + "0123456789abcdef": ["key=" * 4 + "0123456789abcdef", "key=" * 5 + "0123456789abcdef"],
+    }
+    for text, want in cases.items():
+        assert sorted(text[a:b] for a, b, _ in secret_scan.spans(text)) == sorted(want), text
+    for text in ("key=" * 100_000, "key" * 100_000, 'key="' * 80_000, "key=http://" * 40_000, "key: '\\" * 50_000):
+        secret_scan.spans(text)
+
+
+def test_short_and_digitless_secrets_are_kept(ready):
+    rng = random.Random(5)
+    mark = lambda: "".join(rng.choice("abcXYZ!@$.:&") for _ in range(11))
+    rows = [(i, f"lorem ipsum dolor sit {i} " + (f'password = "{mark()}" amet' if i % 3 == 0 else f"order {rng.randrange(10**15, 10**16)} amet"), "src") for i in range(120)]
+    found = secret_scan.scan(ready.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r["doc_id"] for r in found if r["kept"]} == {i for i in range(0, 120, 3)}
