@@ -27,14 +27,30 @@ DIMENSIONS = 16
 #: Labelled rows that are learned from, and further ones for temperature and rejection.
 TRAIN_ROWS, CALIBRATION_ROWS = 3000, 1500
 EPOCHS, BATCH, RATE, SEED = 6, 16, 0.5, 11
-#: Of the calibration rows that are predicted rightly this share may fall under the rejection score.
+#: Of the calibration rows this share may fall under the limit of the score, and of familiarity.
 RIGHT_REJECTED = 0.001
-#: And no score is rejected that lies further than this on the way from chance to certainty.
-NEAR_CHANCE = 0.02
+#: Bytes of the stretches whose scores are compared: a text in two learned languages is sure of each by itself.
+STRETCH = 256
+#: The familiarity of a text with few n-grams is drawn to that of learned texts as if it had so many more.
+PRIOR = 24
 UNKNOWN = "und"
 OUTPUT = ("lang_pred", "score", "rejected")
 
 
+#: Digits and signs tell nothing of a language.
+WORDY = BLANK | (np.arange(256) >= 128) | np.isin(np.arange(256) | 32, np.arange(97, 123))
+
+
+def wordy(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and texts of the n-grams without digits and signs."""
+    found, valid = buckets(texts, size)
+    plain = WORDY[texts.data]
+    for j in range(size if len(found) else 0):
+        valid = valid & plain[j : len(found) + j]
+    at = np.flatnonzero(valid)
+    return found[at], np.searchsorted(texts.start, at, "right") - 1
+
+
 def buckets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of the n-gram that begins at each byte, and whether there is one (BUCKETS where not)."""
     n = len(texts.data) - size + 1
@@ -63,8 +79,29 @@ class Model:
     langs: list[str]
     table: np.ndarray
     bias: np.ndarray
+    #: Log share of each bucket in the texts that were learned from, in all languages together.
+    common: np.ndarray
     temperature: float = 1.0
     least: float = 0.0
+    usual: float = 0.0
+    familiar: float = -np.inf
+
+    def measures(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """For each text the score of its surest stretch, and how common its n-grams are (mean log share)."""
+        size = np.diff(texts.start)
+        pieces = np.maximum(1, size // STRETCH)
+        owner = np.repeat(np.arange(len(texts)), pieces)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = np.append(texts.start[:-1][owner] + place * size[owner] // pieces[owner], texts.start[-1])
+        sure = self.probabilities(self.logits(Texts(texts.data, start))).max(axis=1)
+        best = np.zeros(len(texts))
+        np.maximum.at(best, owner, sure)
+        total, count = np.zeros(len(texts)), np.zeros(len(texts))
+        for n in SIZES:
+            found, of = wordy(texts, n)
+            total += np.bincount(of, self.common[found], len(texts))
+            count += np.bincount(of, minlength=len(texts))
+        return best, (total + PRIOR * self.usual) / (count + PRIOR)
 
     def logits(self, texts: Texts) -> np.ndarray:
         total = np.zeros((len(texts), len(self.langs)))
@@ -89,9 +126,9 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
-def examples(docs: DataFrame, use: Column, rows: int) -> pa.Table:
-    """lang, and distinct buckets with counts of the whole text, of ``rows`` labelled rows in the order of a hash."""
-    schema = pa.schema([("lang", pa.string()), ("bucket", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
+def examples(docs: DataFrame, use: Column, rows: int, whole: bool = False) -> pa.Table:
+    """lang, text (only if ``whole``), and distinct buckets with counts of the whole text, of ``rows`` labelled rows in the order of a hash."""
+    schema = pa.schema([("lang", pa.string()), ("text", pa.string()), ("bucket", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
 
     def work(batches):
         for block in blocks(batches, "text"):
@@ -102,21 +139,24 @@ def examples(docs: DataFrame, use: Column, rows: int) -> pa.Table:
                 u, n = np.unique(np.concatenate([f[a:b] for f in found]), return_counts=True)
                 held.append(u[u < BUCKETS])
                 times.append(n[u < BUCKETS])
-            yield batch_of(schema, block.column("lang"), *(list_array(np.concatenate(x).astype(np.int32), np.cumsum([len(y) for y in x])) for x in (held, times)))
+            kept = block.column("text") if whole else pa.nulls(block.num_rows, pa.string())
+            yield batch_of(schema, block.column("lang"), kept, *(list_array(np.concatenate(x).astype(np.int32), np.cumsum([len(y) for y in x])) for x in (held, times)))
 
     labelled = docs.filter(use & F.col("lang").isNotNull()).withColumn("draw", F.xxhash64("doc_id", F.lit(SEED)))
     # Only about twice as many rows as are wanted reach the sort, whatever the number of tasks.
     share = min(1.0, (2 * rows + 200) / max(1, labelled.select("draw").count()))
     near = labelled.filter((F.pmod("draw", F.lit(1 << 30)) < int(share * (1 << 30))) & F.col("text").isNotNull())
     sample = near.withColumn("tie", F.crc32(F.encode("text", "UTF-8"))).orderBy(F.pmod("draw", F.lit(1 << 30)), "draw", "tie", "lang").limit(rows)
-    return sample.select("lang", "text").mapInArrow(work, "lang string, bucket array<int>, times array<int>").toArrow()
+    return sample.select("lang", "text").mapInArrow(work, "lang string, text string, bucket array<int>, times array<int>").toArrow()
 
 
 class Examples:
     def __init__(self, table: pa.Table, langs: list[str]):
         self.label = np.array([langs.index(x) if x in langs else -1 for x in table["lang"].to_pylist()])
         table = table.combine_chunks()
+        self.text = table["text"].to_pylist()
         self.bucket = [np.asarray(x.values) for x in table["bucket"]]
+        self.times = [np.asarray(x.values) for x in table["times"]]
         self.weight = [np.asarray(x.values) / max(1, np.asarray(x.values).sum()) for x in table["times"]]
 
     def batch(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,6 +172,33 @@ class Examples:
         return out
 
 
+def calibrate(model: Model, texts: list[str], right: np.ndarray) -> None:
+    """Limits of score and familiarity from held-out texts, and from the same texts with random letters in their place.
+
+    A limit lets all but RIGHT_REJECTED of the texts that are predicted rightly pass.  That of
+    the score also lets pass pairs of them that alternate word by word; that of familiarity lies halfway to those of random letters, which are no language, if they lie lower.
+    """
+    real = Texts.of(pa.array(texts, pa.string()))
+    counts = sum((np.bincount(wordy(real, s)[1], minlength=len(real)) for s in SIZES), np.zeros(len(real), int))
+    long = counts >= 4 * PRIOR
+    model.usual = 0.0
+    raw = model.measures(real)[1] * (counts + PRIOR)
+    model.usual = float(raw[right].sum() / max(1, counts[right].sum()))
+    best, known = model.measures(real)
+    if not right.any():
+        return
+    # A clean text that changes its language with every word is the least sure one.
+    turns = [" ".join(w for pair in zip(a.split(), b.split()) for w in pair) for a, b in zip(texts, texts[1:] + texts[:1])]
+    turned = model.measures(Texts.of(pa.array([t for t in turns if t], pa.string())))[0]
+    model.least = min(float(np.quantile(x, RIGHT_REJECTED)) for x in (best[right], turned) if len(x))
+    model.familiar = float(np.quantile(known[right], RIGHT_REJECTED))
+    rng = np.random.default_rng(SEED)
+    mixed = rng.integers(97, 123, len(real.data)).astype(np.uint8)
+    noise = model.measures(Texts(np.where(BLANK[real.data], real.data, mixed), real.start))[1]
+    if long.any():
+        model.familiar = min(model.familiar, (model.familiar + float(np.quantile(noise[long], 1 - RIGHT_REJECTED))) / 2)
+
+
 def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
     """A model from rows (doc_id, text, lang) where ``learn`` holds, calibrated on those where ``check`` holds.
 
@@ -141,7 +208,7 @@ def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
     langs = sorted(set(found["lang"].to_pylist()))
     if not langs:
         return None
-    data, held = Examples(found, langs), Examples(examples(docs, check, CALIBRATION_ROWS), langs)
+    data, held = Examples(found, langs), Examples(examples(docs, check, CALIBRATION_ROWS, whole=True), langs)
     rng = np.random.default_rng(SEED)
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     weight = np.zeros((DIMENSIONS, len(langs)))
@@ -165,18 +232,17 @@ def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
             # A bucket's gradient is its share of a text; scaling it up to the text's length keeps steps even.
             np.subtract.at(embed, bucket, (rate * 50 * share)[:, None] * back[place])
     table = np.vstack([embed @ weight, np.zeros(len(langs))])
-    model = Model(langs, table, bias)
+    seen = np.full(BUCKETS, 0.5)
+    for bucket, times in zip(data.bucket, data.times):
+        seen[bucket] += times
+    model = Model(langs, table, bias, np.append(np.log(seen / seen.sum()), 0.0))
     known = np.flatnonzero(held.label >= 0)
     if len(known):
         logits = held.means(table, known) + bias
         truth = held.label[known]
         losses = {t: -np.log(softmax(logits / t)[np.arange(len(known)), truth] + 1e-12).mean() for t in np.geomspace(0.02, 10, 120)}
         model.temperature = float(min(losses, key=losses.get))
-        sure = model.probabilities(logits)
-        right = sure.argmax(axis=1) == truth
-        if right.any():
-            chance = 1 / len(langs)
-            model.least = float(min(np.quantile(sure.max(axis=1)[right], RIGHT_REJECTED), chance + NEAR_CHANCE * (1 - chance)))
+        calibrate(model, [held.text[i] for i in known], model.probabilities(logits).argmax(axis=1) == truth)
     return model
 
 
@@ -197,12 +263,14 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             letters = np.array(block.column("lang_pred").to_pylist()) == "true"
             best = np.zeros(block.num_rows, int)
             score = np.zeros(block.num_rows)
+            surest, known_as = score, score
             if m is not None:
+                surest, known_as = m.measures(Texts.of(block.column("text")))
                 sure = m.probabilities(m.logits(Texts.of(block.column("text"))))
                 best, score = sure.argmax(axis=1), sure.max(axis=1)
             known = letters & (m is not None)
             score = np.where(known, score, 0.0)
-            rejected = ~known | (score < (m.least if m else 0))
+            rejected = ~known | (surest < (m.least if m else 0)) | (known_as < (m.familiar if m else 0))
             names = [m.langs[b] if k else UNKNOWN for b, k in zip(best, known)]
             columns = [block.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(score), pa.array(rejected)], names=[*kept, *OUTPUT])

@@ -124,3 +124,16 @@ def test_mixing_edges(edge_docs, no_docs, ready):
     assert all(n in (0, held[x]) for x, n in Counter((r["doc_id"], r["text"]) for r in drawn.collect()).items())
     assert mixing.draw_by_rate(no_docs, labels, mixing.TARGETS).count() == 0
     assert mixing.mix_rates(edge_docs, labels.filter("false"), mixing.TARGETS).count() == edge_docs.count()
+
+
+def test_other_scripts_and_gibberish_are_rejected_and_mixed_texts_stay(ready):
+    rng = np.random.default_rng(2)
+    docs = documents(ready, SF).select("doc_id", "text", "lang")
+    part = F.pmod(langid.crc_of_id("doc_id"), F.lit(5))
+    model = langid.train(docs, part.isin(2, 3, 4), part == 1)
+    odd = ["".join(rng.choice(list(x), n)) for x in ("абвгдежзиклмнопрст ", "これは日本語の文章 ", "qzxvkjwbpy ") for n in (60, 400, 3000)]
+    long = {x: [r["text"] for r in docs.filter(f"lang = '{x}' and length(text) > 300 and doc_id % 5 != 1").orderBy("doc_id").limit(19).collect()] for x in ("en", "de")}
+    mixed = [a[:150] + " " + b[:150] for a, b in zip(long["en"], long["de"])] + [b + " " + a for a, b in zip(long["en"], long["de"])]
+    rows = [(i, t) for i, t in enumerate(odd + mixed)]
+    found = {r["doc_id"]: r["rejected"] for r in langid.predict(ready.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert len(mixed) == 38 and all(found[i] == (i < len(odd)) for i in found)
