@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import langid, line_crf, mixing, quality_rules, secret_scan, topk_search, warc
+from tallymart.llm import filter_audit, langid, line_crf, mixing, quality_rules, secret_scan, sharding, topk_search, warc
 from tallymart.llm.ngram_join import ngram_join
 from tallymart.llm.packing import pack
 from tallymart.llm.pii import find_pii
@@ -90,3 +90,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op6_quality_rules"] = quality_rules.SQL
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+SQL["op12_filter_audit"] = filter_audit.SQL
