@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import filter_audit, langid, line_crf, mixing, quality_rules, secret_scan, sharding, topk_search, warc
+from tallymart.llm import filter_audit, hard_negatives, langid, line_crf, mixing, quality_rules, secret_scan, sharding, topk_search, warc
 from tallymart.llm.ngram_join import ngram_join
 from tallymart.llm.packing import pack
 from tallymart.llm.pii import find_pii
@@ -103,3 +103,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op12_filter_audit"] = filter_audit.SQL
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+SQL["op13_hard_negatives"] = hard_negatives.SQL
