@@ -12,6 +12,7 @@ from tallymart.plans.registry import query
 from tallymart.plans.sourcing import PAGES, json_catalogue
 from tallymart.session import shared_folder
 from tallymart.sources import files, sinks
+from tallymart.sources import manifest as manifests
 
 
 def _customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,3 +156,40 @@ def lookup_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "lookup")
     inputs.metros(spark, sf_dir).write.option("header", "true").csv(path)
     return files.lookup(spark, path)
+
+
+@query("""WITH f AS (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2),
+t AS (SELECT *, o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AS grown, o_orderstatus = 'O' AND o_orderpriority = '2-HIGH' AS gone FROM f)
+SELECT o_orderstatus AS survey, o_orderpriority AS table_id, 'added' AS first_change,
+  CASE WHEN grown THEN 'grown' WHEN gone THEN 'removed' ELSE 'same' END AS second_change, grown AS listed,
+  CAST(CASE WHEN grown THEN 2 * n WHEN gone THEN 0 ELSE n END AS BIGINT) AS rows_now
+FROM t""")
+def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw tree (a folder per order status and priority) compared with its manifest twice.
+
+    Between the runs one folder gets more files and another goes; the second run lists the
+    files of the grown folder alone and finds the removed one from the manifest.
+    """
+    root, store = shared_folder(spark, "raw-tree"), shared_folder(spark, "manifest")
+    folders = ["o_orderstatus", "o_orderpriority"]
+    orders = inputs.table(spark, sf_dir, "orders").select(*folders, "o_orderkey", "o_totalprice")
+    orders.write.partitionBy(*folders).csv(root)
+    first = manifests.diff(spark, root, store, run="first")
+    grown = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+    orders.where(grown).write.mode("append").partitionBy(*folders).csv(root)
+    sinks.remove_folder(spark, f"{root}/o_orderstatus=O/o_orderpriority=2-HIGH")
+    second = manifests.diff(spark, root, store, run="second")
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumns({k: F.regexp_replace(k, "^[^=]*=", "") for k in ("survey", "table_id")})
+
+    before = named(first.changes).groupBy("survey", "table_id").agg(F.max("change").alias("first_change"))
+    moved = named(second.changes).groupBy("survey", "table_id").agg(
+        F.when(F.max(F.col("change") == "removed"), "removed").when(F.max(F.col("change") == "added"), "grown").otherwise("same").alias("second_change"))
+    listed = named(spark.createDataFrame(second.listed, "survey string, table_id string")).withColumn("listed", F.lit(True))
+    now = spark.read.csv(root).groupBy(F.col("o_orderstatus").alias("survey"), F.col("o_orderpriority").alias("table_id")).agg(F.count(F.lit(1)).alias("rows_now"))
+    return (
+        before.join(moved, ["survey", "table_id"], "left").join(listed, ["survey", "table_id"], "left").join(now, ["survey", "table_id"], "left")
+        .select("survey", "table_id", "first_change", F.coalesce("second_change", F.lit("same")).alias("second_change"),
+                F.coalesce("listed", F.lit(False)).alias("listed"), F.coalesce("rows_now", F.lit(0)).cast("long").alias("rows_now"))
+    )

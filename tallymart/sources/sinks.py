@@ -8,13 +8,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators import geo, mart, matrix, tidy
 from tallymart.operators.quality import stale_tables
 from tallymart.session import shared_folder
 from tallymart.sources import files
+from tallymart.sources import manifest as manifests
 
 TABLE_KEYS = ["survey", "table_id"]
 FILE_KEYS = [*TABLE_KEYS, "geography"]
@@ -23,17 +24,44 @@ FILE_KEYS = [*TABLE_KEYS, "geography"]
 ROW_LANE_BYTES = 16 * 1024 * 1024
 
 
-def write_archive(long: DataFrame, path: str) -> None:
+def write_archive(long: DataFrame, path: str) -> dict:
     """All tables in one job, a folder per survey and table; only written tables are replaced.
 
     Rows are spread by AQE's rebalancing: small tables share tasks, a table holding
-    most rows is split over many files.
+    most rows is split over many files.  Returns what the writing job itself counted:
+    ``rows`` and ``tables``, the (survey, table_id) that received rows (one entry per
+    table, not per row), so that no second scan of the output is needed.
     """
+    seen = Observation("archive")
     (
-        long.hint("rebalance", *TABLE_KEYS)
+        long.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(*TABLE_KEYS)).alias("tables"))
+        .hint("rebalance", *TABLE_KEYS)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*TABLE_KEYS).parquet(path)
     )
+    # A plan that Catalyst proves empty runs no collecting node, and leaves an empty row.
+    got = seen.get if seen._jo.getRow().length() else {}
+    return {"rows": got.get("rows", 0), "tables": {(t["survey"], t["table_id"]) for t in got.get("tables") or []}}
+
+
+def write_rejects(spark: SparkSession, rejects: DataFrame, path: str, due: list[tuple[str, str]]) -> None:
+    """Rejects in a folder per survey and table: those of the tables due are replaced, all others stay.
+
+    The folders of the due tables are removed first, so a table that has no rejects any
+    more loses its old ones; then this build's rejects are added.
+    """
+    system, _ = _file_system(spark, path)
+    for survey, table_id in due:
+        _, at = _file_system(spark, f"{path.rstrip('/')}/survey={survey}/table_id={table_id}")
+        system.delete(at, True)
+    rejects.write.mode("append").partitionBy(*TABLE_KEYS).parquet(path)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rejects of all tables; table ids stay text."""
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], "survey string, table_id string")
+    return read_archive(spark, path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -87,28 +115,42 @@ def tidy_tree(spark: SparkSession, raw_root: str, catalogue: DataFrame, *, surve
 
 
 def build_archive(spark: SparkSession, raw_root: str, clean_root: str, catalogue: DataFrame, *,
-                  surveys: list[str] | None = None, incremental: bool = True) -> DataFrame:
+                  surveys: list[str] | None = None, incremental: bool = True, manifest: str | None = None) -> DataFrame:
     """Rebuild the tables whose raw files are newer than their output (all, if not incremental).
 
-    Files without a table are written below ``_rejects`` of the archive; a table all of
-    whose files are such keeps its former rows.  Returns (survey, table_id, status) of every
-    table with raw files: ``ok``, ``skipped`` (up to date) or ``no data``, and of tables of
-    the catalogue without any, ``missing``.
+    Files without a table are written below ``_rejects`` of the archive, in a folder per
+    table, replaced only for the tables rebuilt; a table all of whose files are such keeps
+    its former rows.  Returns (survey, table_id, status) of every table with raw files:
+    ``ok``, ``skipped`` (up to date) or ``no data``, and of tables of the catalogue without
+    any, ``missing``.
+
+    With ``manifest`` (a folder of its own), the tree is compared with the stored manifest
+    instead of being listed as a whole: only table folders whose time moved are listed, and a
+    table is due when a file of it was added, changed or removed (see ``sources.manifest``).
     """
-    known = files.raw_files(spark, raw_root, surveys).select(*TABLE_KEYS, F.col("modificationTime").alias("modified"))
-    known = _stored(spark, known, "listing")
-    due = known.select(*TABLE_KEYS).distinct()
-    if incremental and folder_exists(spark, clean_root):
-        due = stale_tables(known, built_files(spark, clean_root), TABLE_KEYS).select(*TABLE_KEYS)
+    if manifest is not None:
+        diff = manifests.diff(spark, raw_root, manifest, surveys=surveys, full=not incremental, glob="*.csv")
+        stored = manifests.files_of(spark, manifest)
+        listed = files.with_path_fields(stored.select("path", "modified"), raw_root, surveys)
+        known = listed.select(*TABLE_KEYS, "modified")
+        moved = diff.changes.where(F.col("change") != "same") if incremental else diff.changes
+        due = moved.select(*TABLE_KEYS).distinct()
+    else:
+        known = files.raw_files(spark, raw_root, surveys).select(*TABLE_KEYS, F.col("modificationTime").alias("modified"))
+        known = _stored(spark, known, "listing")
+        due = known.select(*TABLE_KEYS).distinct()
+        if incremental and folder_exists(spark, clean_root):
+            due = stale_tables(known, built_files(spark, clean_root), TABLE_KEYS).select(*TABLE_KEYS)
     # One entry per table folder: the driver names them to the scan, so no other folder is opened.
-    folders = [f"{r.survey}/{r.table_id}" for r in due.collect()]
+    due_keys = [(r.survey, r.table_id) for r in due.collect()]
+    folders = [f"{s}/{t}" for s, t in due_keys]
     rejects_path = f"{clean_root.rstrip('/')}/_rejects"
     if folders:
         found = tidy_tree(spark, raw_root, catalogue, surveys=surveys, folders=folders)
         write_archive(found.long, clean_root)
-        found.rejects.write.mode("overwrite").parquet(rejects_path)
-    due = spark.createDataFrame([tuple(f.split("/", 1)) for f in folders], "survey string, table_id string").withColumn("due", F.lit(True))
-    bad = spark.read.parquet(rejects_path).groupBy(*TABLE_KEYS).agg(F.count("*").alias("n_bad")) if folders else due.select(*TABLE_KEYS, F.lit(0).alias("n_bad"))
+        write_rejects(spark, found.rejects, rejects_path, due_keys)
+    due = spark.createDataFrame(due_keys, "survey string, table_id string").withColumn("due", F.lit(True))
+    bad = read_rejects(spark, rejects_path).groupBy(*TABLE_KEYS).agg(F.count("*").alias("n_bad"))
     counted = known.groupBy(*TABLE_KEYS).agg(F.count("*").alias("n_files")).join(due, TABLE_KEYS, "left").join(bad, TABLE_KEYS, "left")
     status = F.when(F.col("due").isNull(), "skipped").when(F.col("n_bad") == F.col("n_files"), "no data").otherwise("ok")
     seen = _stored(spark, counted.select(*TABLE_KEYS, status.alias("status")), "status")
@@ -122,21 +164,23 @@ def build_workbooks(spark: SparkSession, grid: DataFrame, tables: DataFrame, cle
     """The same for workbook grids: (survey, table_id, status), observations written below ``clean_root``.
 
     ``inputs`` is (survey, table_id, modified) of the workbooks; with it, tables whose output
-    is newer are skipped.  Sheets without a header row go to ``_rejects``; a table none of
-    whose sheets has one is an ``error``.
+    is newer are skipped.  Sheets without a header row go to ``_rejects`` (a folder per
+    table, replaced for the tables built).  A status is that of this build, as the writing
+    job counted it: ``ok`` if the table received rows, ``error`` if it was due and received
+    none (its former rows, if any, stay), ``skipped`` if it was not due.
     """
     wanted = tables
     if inputs is not None and folder_exists(spark, clean_root):
         due = stale_tables(inputs, built_files(spark, clean_root), TABLE_KEYS).select(*TABLE_KEYS)
         wanted = tables.join(_stored(spark, due, "due"), TABLE_KEYS, "left_semi")
     wanted = _stored(spark, wanted, "workbooks")
-    write_archive(matrix.matrix_long(grid, wanted), clean_root)
+    due_keys = [(r.survey, r.table_id) for r in wanted.select(*TABLE_KEYS).distinct().collect()]  # one row per table
+    written = write_archive(matrix.matrix_long(grid, wanted), clean_root)["tables"] if due_keys else set()
     rejects = matrix.headerless_sheets(grid, wanted).join(wanted.select("file", *TABLE_KEYS), "file")
-    rejects.write.mode("overwrite").parquet(f"{clean_root.rstrip('/')}/_rejects")
-    with_rows = read_archive(spark, clean_root).select(*TABLE_KEYS).distinct().withColumn("has_rows", F.lit(True))
-    named = tables.select(*TABLE_KEYS).distinct().join(wanted.select(*TABLE_KEYS).distinct().withColumn("due", F.lit(True)), TABLE_KEYS, "left")
-    status = F.when(F.col("due").isNull(), "skipped").when(F.col("has_rows").isNull(), "error").otherwise("ok")
-    return named.join(with_rows, TABLE_KEYS, "left").select(*TABLE_KEYS, status.alias("status"))
+    write_rejects(spark, rejects, f"{clean_root.rstrip('/')}/_rejects", due_keys)
+    built = spark.createDataFrame([(s, t, (s, t) in written) for s, t in due_keys], "survey string, table_id string, has_rows boolean")
+    status = F.when(F.col("has_rows").isNull(), "skipped").when(~F.col("has_rows"), "error").otherwise("ok")
+    return tables.select(*TABLE_KEYS).distinct().join(built, TABLE_KEYS, "left").select(*TABLE_KEYS, status.alias("status"))
 
 
 def _stored(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
@@ -217,6 +261,11 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(at)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, at = _file_system(spark, path)
+    system.delete(at, True)
+
+
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Rename ``new`` to ``path``; what was there goes once the new folder is in its place."""
     system, at = _file_system(spark, path)

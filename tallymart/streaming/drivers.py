@@ -19,7 +19,8 @@ def stream_archive(spark: SparkSession, raw_root: str, clean_root: str, catalogu
                    surveys: list[str] | None = None) -> StreamingQuery:
     """Rebuild the tables that got new raw files.
 
-    A table is rebuilt from all its files, because its folder is replaced as a whole.
+    A table is rebuilt from all its files, because its folder is replaced as a whole; its
+    rejects below ``_rejects`` are replaced alike, those of other tables stay.
     """
     arrived = (
         spark.readStream.format("binaryFile").schema(spark.read.format("binaryFile").load(raw_root).schema)
@@ -28,10 +29,11 @@ def stream_archive(spark: SparkSession, raw_root: str, clean_root: str, catalogu
     touched = files.with_path_fields(arrived.select("path"), raw_root, surveys)
 
     def rebuild(batch: DataFrame, _: int) -> None:
-        folders = [f"{r.survey}/{r.table_id}" for r in batch.select(*sinks.TABLE_KEYS).distinct().collect()]
-        if folders:
-            found = sinks.tidy_tree(batch.sparkSession, raw_root, catalogue, surveys=surveys, folders=folders)
+        due = [(r.survey, r.table_id) for r in batch.select(*sinks.TABLE_KEYS).distinct().collect()]
+        if due:
+            found = sinks.tidy_tree(batch.sparkSession, raw_root, catalogue, surveys=surveys, folders=[f"{s}/{t}" for s, t in due])
             sinks.write_archive(found.long, clean_root)
+            sinks.write_rejects(batch.sparkSession, found.rejects, f"{clean_root.rstrip('/')}/_rejects", due)
 
     return (
         touched.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
