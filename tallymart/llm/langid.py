@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallymart.llm.tables import batch_of, blocks, crc_of_id, list_array
+from tallymart.llm.tables import batch_of, blocks, crc_of_id, list_array, strings_of
 from tallymart.llm.words import BLANK, LOWER, Texts, U
 
 SIZES = (2, 3, 4)
@@ -27,6 +27,10 @@ DIMENSIONS = 16
 #: Labelled rows that are learned from, and further ones for temperature and rejection.
 TRAIN_ROWS, CALIBRATION_ROWS = 3000, 1500
 EPOCHS, BATCH, RATE, SEED = 6, 16, 0.5, 11
+#: Steps of gradient descent at least: a small table is passed over more often, so that it is learned as well as a large one.
+MIN_STEPS = 800
+#: Bytes of whole calibration texts that reach the driver; rows past them count for the temperature (by their buckets) alone.
+CALIBRATION_BYTES = 4 << 20
 #: Of the calibration rows this share may fall under the limit of the score, and of familiarity.
 RIGHT_REJECTED = 0.001
 #: Bytes of the stretches whose scores are compared: a text in two learned languages is sure of each by itself.
@@ -130,6 +134,8 @@ def examples(docs: DataFrame, use: Column, rows: int, whole: bool = False) -> pa
     """lang, text (only if ``whole``), and distinct buckets with counts of the whole text, of ``rows`` labelled rows in the order of a hash."""
     schema = pa.schema([("lang", pa.string()), ("text", pa.string()), ("bucket", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
 
+    sent = [0]
+
     def work(batches):
         for block in blocks(batches, "text"):
             texts = Texts.of(block.column("text"))
@@ -139,7 +145,11 @@ def examples(docs: DataFrame, use: Column, rows: int, whole: bool = False) -> pa
                 u, n = np.unique(np.concatenate([f[a:b] for f in found]), return_counts=True)
                 held.append(u[u < BUCKETS])
                 times.append(n[u < BUCKETS])
-            kept = block.column("text") if whole else pa.nulls(block.num_rows, pa.string())
+            kept = pa.nulls(block.num_rows, pa.string())
+            if whole:  # whole texts up to CALIBRATION_BYTES in all; the sample is one task after its limit
+                size = np.cumsum([len(t.encode()) for t in strings_of(block.column("text"))]) + sent[0]
+                kept = pa.array([t if n <= CALIBRATION_BYTES else None for t, n in zip(block.column("text").to_pylist(), size)], pa.string())
+                sent[0] = int(size[-1]) if len(size) else sent[0]
             yield batch_of(schema, block.column("lang"), kept, *(list_array(np.concatenate(x).astype(np.int32), np.cumsum([len(y) for y in x])) for x in (held, times)))
 
     labelled = docs.filter(use & F.col("lang").isNotNull()).withColumn("draw", F.xxhash64("doc_id", F.lit(SEED)))
@@ -172,6 +182,17 @@ class Examples:
         return out
 
 
+def _one_stretch(words) -> str:
+    """Words joined by blanks, as many as fit in STRETCH bytes."""
+    out, size = [], 0
+    for w in words:
+        size += len(w.encode()) + 1
+        if size > STRETCH and out:
+            break
+        out.append(w)
+    return " ".join(out)
+
+
 def calibrate(model: Model, texts: list[str], right: np.ndarray) -> None:
     """Limits of score and familiarity from held-out texts, and from the same texts with random letters in their place.
 
@@ -187,8 +208,8 @@ def calibrate(model: Model, texts: list[str], right: np.ndarray) -> None:
     best, known = model.measures(real)
     if not right.any():
         return
-    # A clean text that changes its language with every word is the least sure one.
-    turns = [" ".join(w for pair in zip(a.split(), b.split()) for w in pair) for a, b in zip(texts, texts[1:] + texts[:1])]
+    # A clean text that changes its language with every word, within one stretch, is the least sure one.
+    turns = [_one_stretch(w for pair in zip(a.split(), b.split()) for w in pair) for a, b in zip(texts, texts[1:] + texts[:1])]
     turned = model.measures(Texts.of(pa.array([t for t in turns if t], pa.string())))[0]
     model.least = min(float(np.quantile(x, RIGHT_REJECTED)) for x in (best[right], turned) if len(x))
     model.familiar = float(np.quantile(known[right], RIGHT_REJECTED))
@@ -214,8 +235,10 @@ def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
     weight = np.zeros((DIMENSIONS, len(langs)))
     weight[:] = rng.normal(0, 0.1, weight.shape)
     bias = np.zeros(len(langs))
-    steps, step = EPOCHS * (len(data.label) // BATCH + 1), 0
-    for _ in range(EPOCHS):
+    per_pass = len(data.label) // BATCH + 1
+    passes = max(EPOCHS, -(-MIN_STEPS // per_pass))
+    steps, step = passes * per_pass, 0
+    for _ in range(passes):
         order = rng.permutation(len(data.label))
         for i in range(0, len(order), BATCH):
             rows = order[i : i + BATCH]
@@ -242,7 +265,9 @@ def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
         truth = held.label[known]
         losses = {t: -np.log(softmax(logits / t)[np.arange(len(known)), truth] + 1e-12).mean() for t in np.geomspace(0.02, 10, 120)}
         model.temperature = float(min(losses, key=losses.get))
-        calibrate(model, [held.text[i] for i in known], model.probabilities(logits).argmax(axis=1) == truth)
+        whole = np.array([held.text[i] is not None for i in known], bool)
+        right = model.probabilities(logits).argmax(axis=1) == truth
+        calibrate(model, [held.text[i] for i in known[whole]], right[whole])
     return model
 
 

@@ -137,3 +137,12 @@ def test_other_scripts_and_gibberish_are_rejected_and_mixed_texts_stay(ready):
     rows = [(i, t) for i, t in enumerate(odd + mixed)]
     found = {r["doc_id"]: r["rejected"] for r in langid.predict(ready.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert len(mixed) == 38 and all(found[i] == (i < len(odd)) for i in found)
+
+
+def test_a_small_table_is_learned(ready):
+    """200 documents: every held-out labelled text is named rightly and none with letters is rejected."""
+    docs = documents(ready, "/root/testdata/sf0.001").select("doc_id", "text", "lang")
+    found = langid.identify(docs).filter(langid.held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).toPandas()
+    assert len(found) > 20
+    assert (found["lang_pred"] == found["lang"]).mean() > 0.95
+    assert not found["rejected"].any()
