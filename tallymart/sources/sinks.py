@@ -10,6 +10,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tallymart.operators import geo, mart, matrix, tidy
 from tallymart.operators.quality import stale_tables
@@ -214,15 +215,20 @@ def write_mart(spark: SparkSession, observations: DataFrame, path: str, *, metri
     """
     new = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     fact_path = f"{new}/rental_observations"
-    mart.shape_fact(mart.place_fact(observations, table_map, directory)).write.parquet(fact_path)
+    gates = Observation("fact")
+    shaped = mart.shape_fact(mart.place_fact(observations, table_map, directory))
+    shaped.observe(gates, *mart.fact_gates(), F.max("updated_at").alias("source_parquet_newest")).write.parquet(fact_path)
     fact = spark.read.parquet(fact_path)
+    # the writing job counted the fact; _meta reads those figures instead of scanning it again
+    seen = gates.get if gates._jo.getRow().length() else {}
+    counted = spark.createDataFrame([(seen.get("n_observations", 0), seen.get("n_suppressed", 0))], "n_observations long, n_suppressed long")
     places = geo.geography_dimension(fact, directory, province=province)
-    newest = source_newest if source_newest is not None else fact.agg(F.max("updated_at").alias("source_parquet_newest"))
+    newest = source_newest if source_newest is not None else spark.createDataFrame([(seen.get("source_parquet_newest"),)], StructType([StructField("source_parquet_newest", shaped.schema["updated_at"].dataType)]))
     outputs = {
         "geographies": places,
         "metrics": metrics,
         "dimension_values": mart.dimension_values(fact),
-        "_meta": mart.meta_row(fact, places, built_at=F.current_timestamp(), source_newest=newest, revision=revision, coverage=coverage),
+        "_meta": mart.meta_row(counted, places, built_at=F.current_timestamp(), source_newest=newest, revision=revision, coverage=coverage),
     }
     writers = [partial(df.write.parquet, f"{new}/{name}") for name, df in outputs.items()]
     if projections:

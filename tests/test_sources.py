@@ -248,6 +248,8 @@ def test_written_mart(spark, tmp_path):
     assert spark.read.parquet(f"{path}/metrics").count() == 14
     meta = spark.read.parquet(f"{path}/_meta").first()
     assert meta.n_observations == spark.read.parquet(f"{path}/rental_observations").count() and meta.n_cma == 1
+    stored = spark.read.parquet(f"{path}/rental_observations").agg(F.count_if("is_suppressed").alias("n"), F.max("updated_at").alias("newest")).first()
+    assert (meta.n_suppressed, meta.source_parquet_newest) == (stored.n, stored.newest)  # counted by the writing job, equal to a scan
     assert [p.name for p in tmp_path.iterdir()] == ["mart"]
     with pytest.raises(KeyError):
         sinks.read_projection(spark, path, "nope")
