@@ -31,6 +31,8 @@ EPOCHS, BATCH, RATE, SEED = 6, 16, 0.5, 11
 MIN_STEPS = 800
 #: Bytes of whole calibration texts that reach the driver; rows past them count for the temperature (by their buckets) alone.
 CALIBRATION_BYTES = 4 << 20
+#: Characters of calibration texts measured at once on the driver.
+CALIBRATION_BLOCK = 1 << 18
 #: Of the calibration rows this share may fall under the limit of the score, and of familiarity.
 RIGHT_REJECTED = 0.001
 #: Bytes of the stretches whose scores are compared: a text in two learned languages is sure of each by itself.
@@ -193,29 +195,56 @@ def _one_stretch(words) -> str:
     return " ".join(out)
 
 
+def _parts(texts: list[str], most: int = CALIBRATION_BLOCK) -> list[list[str]]:
+    """The texts in runs of about ``most`` bytes (a longer text is a run of its own)."""
+    runs, run, size = [], [], 0
+    for t in texts:
+        if run and size + len(t) > most:
+            runs.append(run)
+            run, size = [], 0
+        run.append(t)
+        size += len(t)
+    return runs + [run] if run else runs
+
+
+def _measured(model: Model, texts: list[str], rng: np.random.Generator | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Surest stretch, familiarity and count of wordy n-grams of each text, a run of texts at a time.
+
+    With ``rng`` the letters of the texts are first replaced by random ones.
+    """
+    out = [], [], []
+    for part in _parts(texts):
+        real = Texts.of(pa.array(part, pa.string()))
+        if rng is not None:
+            real = Texts(np.where(BLANK[real.data], real.data, rng.integers(97, 123, len(real.data)).astype(np.uint8)), real.start)
+        best, known = model.measures(real)
+        counts = sum((np.bincount(wordy(real, n)[1], minlength=len(real)) for n in SIZES), np.zeros(len(real), int))
+        for into, x in zip(out, (best, known, counts)):
+            into.append(x)
+    return tuple(np.concatenate(x) if x else np.zeros(0) for x in out)
+
+
 def calibrate(model: Model, texts: list[str], right: np.ndarray) -> None:
     """Limits of score and familiarity from held-out texts, and from the same texts with random letters in their place.
 
     A limit lets all but RIGHT_REJECTED of the texts that are predicted rightly pass.  That of
     the score also lets pass pairs of them that alternate word by word; that of familiarity lies halfway to those of random letters, which are no language, if they lie lower.
+    Texts are measured in runs of CALIBRATION_BLOCK bytes, so the driver's memory is bounded by that, not by the sample.
     """
-    real = Texts.of(pa.array(texts, pa.string()))
-    counts = sum((np.bincount(wordy(real, s)[1], minlength=len(real)) for s in SIZES), np.zeros(len(real), int))
-    long = counts >= 4 * PRIOR
     model.usual = 0.0
-    raw = model.measures(real)[1] * (counts + PRIOR)
+    _, plain, counts = _measured(model, texts)
+    long = counts >= 4 * PRIOR
+    raw = plain * (counts + PRIOR)
     model.usual = float(raw[right].sum() / max(1, counts[right].sum()))
-    best, known = model.measures(real)
+    best, known, _ = _measured(model, texts)
     if not right.any():
         return
     # A clean text that changes its language with every word, within one stretch, is the least sure one.
     turns = [_one_stretch(w for pair in zip(a.split(), b.split()) for w in pair) for a, b in zip(texts, texts[1:] + texts[:1])]
-    turned = model.measures(Texts.of(pa.array([t for t in turns if t], pa.string())))[0]
+    turned = _measured(model, [t for t in turns if t])[0]
     model.least = min(float(np.quantile(x, RIGHT_REJECTED)) for x in (best[right], turned) if len(x))
     model.familiar = float(np.quantile(known[right], RIGHT_REJECTED))
-    rng = np.random.default_rng(SEED)
-    mixed = rng.integers(97, 123, len(real.data)).astype(np.uint8)
-    noise = model.measures(Texts(np.where(BLANK[real.data], real.data, mixed), real.start))[1]
+    noise = _measured(model, texts, np.random.default_rng(SEED))[1]
     if long.any():
         model.familiar = min(model.familiar, (model.familiar + float(np.quantile(noise[long], 1 - RIGHT_REJECTED))) / 2)
 
