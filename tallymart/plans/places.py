@@ -10,7 +10,9 @@ from tallymart.operators import analytics, catalogue, geo, jobs, quality
 from tallymart.plans import inputs
 from tallymart.plans.inputs import DISTRICTS, OBS
 from tallymart.plans.registry import query
-from tallymart.session import local_frame
+from tallymart.session import local_frame, shared_folder
+from tallymart.sources.sinks import folder_exists
+from tallymart.streaming import attempts
 
 
 def _in(values) -> str:
@@ -274,3 +276,33 @@ def pending_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     done, empties = (tried.where(F.col("l_returnflag") == f) for f in ("A", "N"))
     fresh = F.col("tried_at") >= F.lit("1999-01-01").cast("date")
     return jobs.pending_jobs(plan_jobs(spark, sf_dir), done, empties, ["place", "table_id"], fresh).select("place", "table_id")
+
+
+@query(f"""WITH {_JOBS}, {_TRIED}, newest AS (SELECT max(l_shipdate) AS at FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)
+SELECT place, table_id FROM jobs
+WHERE (place, table_id) NOT IN (SELECT (place, table_id) FROM tried WHERE flag = 'A')
+  AND (place, table_id) NOT IN (SELECT (place, table_id) FROM tried, newest WHERE flag = 'N' AND tried_at >= newest.at - INTERVAL 395 DAY)""")
+def stream_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending jobs from the attempt log read as a stream: keyed state per (place, table), empty markers expire by timer.
+
+    Every shipped line is an attempt (A: ok, N: empty, else an error); the watermark trails
+    by 30 days and an empty answer counts for 365 days after it.
+    """
+    log, out, checkpoint = (shared_folder(spark, p) for p in ("attempts", "statuses", "attempts-checkpoint"))
+    outcome = F.when(F.col("l_returnflag") == "A", "ok").when(F.col("l_returnflag") == "N", "empty").otherwise("error")
+    (
+        inputs.table(spark, sf_dir, "lineitem")
+        .join(inputs.table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(inputs.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            F.col("s_name").alias("place"),
+            F.concat_ws(".", F.lit("2"), F.replace("p_brand", F.lit("Brand#"), F.lit("")), F.length("p_type").cast("string"), F.lit("4")).alias("table_id"),
+            outcome.alias("outcome"), F.col("l_shipdate").cast("timestamp").alias("tried_at"),
+        )
+        .write.parquet(log)
+    )
+    attempts.stream_statuses(spark, log, out, checkpoint, delay="30 days", ttl_ms=365 * 86_400_000).awaitTermination()
+    if not folder_exists(spark, out):  # an empty log changes no status
+        return plan_jobs(spark, sf_dir).select("place", "table_id")
+    known = attempts.latest_statuses(spark, out).where(F.col("status") != "pending")
+    return plan_jobs(spark, sf_dir).join(known, ["place", "table_id"], "left_anti").select("place", "table_id")
