@@ -10,6 +10,7 @@ from tallymart.plans import inputs
 from tallymart.plans.inputs import FACT, GEOGRAPHIES
 from tallymart.plans.registry import query
 from tallymart.session import frozen
+from tallymart.sources import bucketed
 
 PUBLISHER = "Agency"
 COVERAGE = "%d metros, %d districts with data, %d districts without"
@@ -169,3 +170,14 @@ for _spec in mart.projections():
 FROM fact f JOIN geographies g USING (geo_id) WHERE metric_id = {_id} AND dimension = '{_spec.dimension}'""",
         name=f"metric_table_{_spec.name}",
     )(_metric_table(_spec))
+
+
+@query(f"""WITH {GEOGRAPHIES}, r AS (SELECT *, row_number() OVER (PARTITION BY geo_id, metric_id, dimension, category, table_id ORDER BY period DESC) AS rn FROM fact)
+SELECT r.geo_id, g.geo_name, metric_id, dimension, category, table_id, period, value FROM r JOIN geographies g ON r.geo_id = g.geo_id WHERE rn = 1""")
+def bucketed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each place's newest value per metric and category, over the star stored in buckets of geo_id."""
+    built = market_mart(spark, sf_dir)
+    stored = bucketed.store(built.rental_observations, built.geographies)
+    keys = ["geo_id", "metric_id", "dimension", "category", "table_id"]
+    return bucketed.latest(spark, stored, keys, ["value"], place_columns=["geo_name"]).select(
+        "geo_id", "geo_name", "metric_id", "dimension", "category", "table_id", "period", "value")
