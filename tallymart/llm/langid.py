@@ -31,6 +31,8 @@ EPOCHS, BATCH, RATE, SEED = 6, 16, 0.5, 11
 MIN_STEPS = 800
 #: Bytes of whole calibration texts that reach the driver; rows past them count for the temperature (by their buckets) alone.
 CALIBRATION_BYTES = 4 << 20
+#: Bytes of text predicted at once inside a task.
+PREDICT_BLOCK = 1 << 19
 #: Characters of calibration texts measured at once on the driver.
 CALIBRATION_BLOCK = 1 << 18
 #: Of the calibration rows this share may fall under the limit of the score, and of familiarity.
@@ -119,7 +121,8 @@ class Model:
             inside = begin < len(found)
             rows = np.flatnonzero(full)[inside]
             if len(rows):
-                total[rows] += np.add.reduceat(self.table[found], begin[inside], axis=0)
+                for lang in range(len(self.langs)):  # a column at a time: 8 bytes a text byte, not 8 per language
+                    total[rows, lang] += np.add.reduceat(self.table[found, lang], begin[inside])
                 count[rows] += np.add.reduceat(valid.astype(np.int64), begin[inside])
         return total / np.maximum(count, 1)[:, None] + self.bias
 
@@ -313,7 +316,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def work(batches):
         m = held.value
-        for block in blocks(batches, "text", 1 << 20):
+        for block in blocks(batches, "text", PREDICT_BLOCK):
             letters = np.array(block.column("lang_pred").to_pylist()) == "true"
             best = np.zeros(block.num_rows, int)
             score = np.zeros(block.num_rows)
