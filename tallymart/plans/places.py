@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.constants import DEAD_TABLE_IDS, METRO_SCOPED_BREAKDOWNS, NATIONAL_GEO_FILTERS, SUB_METRO_BREAKDOWNS
-from tallymart.operators import analytics, catalogue, geo, jobs, quality
+from tallymart.operators import analytics, catalogue, geo, jobs, names, quality
 from tallymart.plans import inputs
 from tallymart.plans.inputs import DISTRICTS, OBS
 from tallymart.plans.registry import query
@@ -306,3 +306,24 @@ def stream_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plan_jobs(spark, sf_dir).select("place", "table_id")
     known = attempts.latest_statuses(spark, out).where(F.col("status") != "pending")
     return plan_jobs(spark, sf_dir).join(known, ["place", "table_id"], "left_anti").select("place", "table_id")
+
+
+_TYPO = """CASE s_suppkey % 3
+    WHEN 0 THEN substr(s_name, 1, s_suppkey % 9) || substr(s_name, s_suppkey % 9 + 2)
+    WHEN 1 THEN substr(s_name, 1, s_suppkey % 7 + 2) || 'x' || substr(s_name, s_suppkey % 7 + 4)
+    ELSE s_name END"""
+
+
+@query(f"""WITH q AS (SELECT DISTINCT lower(trim({_TYPO})) AS query FROM supplier WHERE trim({_TYPO}) <> ''),
+l AS (SELECT DISTINCT lower(trim(s_name)) AS known, s_suppkey AS uid FROM supplier),
+c AS (SELECT query, uid, levenshtein(query, known) AS d FROM q, l
+      WHERE levenshtein(query, known) <= least(CASE WHEN length(query) >= 8 THEN 2 WHEN length(query) >= 4 THEN 1 ELSE 0 END,
+                                               CASE WHEN length(known) >= 8 THEN 2 WHEN length(known) >= 4 THEN 1 ELSE 0 END)),
+b AS (SELECT query, d, count(DISTINCT uid) AS n_best, min(uid) AS uid FROM c WHERE (query, d) IN (SELECT (query, min(d)) FROM c GROUP BY query) GROUP BY query, d)
+SELECT q.query, CASE WHEN n_best = 1 THEN b.uid END AS uid, b.d AS distance, COALESCE(n_best, 0) AS n_best, COALESCE(n_best > 1, FALSE) AS ambiguous
+FROM q LEFT JOIN b USING (query)""")
+def tolerant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier names with a typing error in two of three (a letter dropped or replaced) found again by tolerant matching."""
+    supplier = inputs.table(spark, sf_dir, "supplier")
+    typed = supplier.select(F.expr(_TYPO).alias("name"))
+    return names.tolerant_uids(typed, "name", supplier.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("uid")))
