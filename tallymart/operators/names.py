@@ -63,3 +63,31 @@ def tolerant_uids(queries: DataFrame, name: str, lookup: DataFrame) -> DataFrame
     found = at_best.select("query", F.when(F.col("n_best") == 1, F.col("uid")).alias("uid"), "distance", "n_best", (F.col("n_best") > 1).alias("ambiguous"))
     return asked.join(found, "query", "left").select(
         "query", "uid", "distance", F.coalesce("n_best", F.lit(0)).alias("n_best"), F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"))
+
+
+#: Letters of the grams of the substring index; shorter needles use grams of their own length.
+GRAM = 3
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """Distinct substrings of ``size`` letters of ``text`` (none if it is shorter)."""
+    n = F.length(text)
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: text.substr(i, size)))
+
+
+def search_many(names: DataFrame, needles: DataFrame) -> DataFrame:
+    """Every (needle, name) where the name holds the needle, case aside: needle, name, rank (0: equal, 1: inside).
+
+    Names are indexed by their distinct grams of 1 to GRAM letters; a needle meets the
+    postings of its rarest gram of min(GRAM, its length) letters only, and each candidate is
+    verified by ``contains``.  Equal to testing every pair, without forming them.  A null or
+    empty needle matches nothing.
+    """
+    named = names.select(F.col("name")).where(F.col("name").isNotNull()).distinct().withColumn("low", F.lower("name"))
+    postings = named.select("name", "low", F.explode(F.flatten(F.array(*[_grams(F.col("low"), F.lit(s)) for s in range(1, GRAM + 1)]))).alias("gram"))
+    frequency = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    asked = needles.select(F.col("needle")).where(F.length("needle") > 0).distinct().withColumn("want", F.lower("needle"))
+    grams = asked.select("needle", "want", F.explode(_grams(F.col("want"), F.least(F.length("want"), F.lit(GRAM)))).alias("gram"))
+    rarest = grams.join(frequency, "gram").groupBy("needle", "want").agg(F.min(F.struct("df", "gram"))["gram"].alias("gram"))
+    found = rarest.join(postings, "gram").where(F.contains("low", "want"))
+    return found.select("needle", "name", F.when(F.col("low") == F.col("want"), 0).otherwise(1).alias("rank"))

@@ -327,3 +327,14 @@ def tolerant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = inputs.table(spark, sf_dir, "supplier")
     typed = supplier.select(F.expr(_TYPO).alias("name"))
     return names.tolerant_uids(typed, "name", supplier.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("uid")))
+
+
+_NEEDLE = "substr(split_part(p_name, ' ', 1), 2, p_partkey % 5)"
+
+
+@query(f"""WITH n AS (SELECT DISTINCT {_NEEDLE} AS needle FROM part WHERE p_partkey % 5 > 0), h AS (SELECT DISTINCT p_name AS name FROM part)
+SELECT needle, name, CASE WHEN lower(name) = lower(needle) THEN 0 ELSE 1 END AS rank FROM n, h WHERE contains(lower(name), lower(needle))""")
+def needle_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of one to four letters of part names, each found in every part name that holds it."""
+    part = inputs.table(spark, sf_dir, "part")
+    return names.search_many(part.select(F.col("p_name").alias("name")), part.select(F.expr(_NEEDLE).alias("needle")))

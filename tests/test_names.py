@@ -51,3 +51,13 @@ def test_equal_to_all_pairs(spark):
 def test_neighbourhood_sizes(spark):
     row = spark.createDataFrame([("abcdefgh",)], "w string").select(names.neighbourhood(F.col("w"), names.edits_allowed(F.length("w"))).alias("n")).first()
     assert len(row.n) == 1 + 8 + 28 and "cdefgh" in row.n and "abcdefgh" in row.n
+
+
+def test_many_needles_equal_contains_on_all_pairs(spark):
+    rng = random.Random(4)
+    hay = ["".join(rng.choice("abcAB ") for _ in range(rng.randrange(0, 14))) for _ in range(150)] + ["Ottawa", "ottawa", None]
+    needles = ["".join(rng.choice("abcAB ") for _ in range(rng.randrange(0, 5))) for _ in range(80)] + ["OTTAWA", "t", "", None]
+    got = names.search_many(spark.createDataFrame([(h,) for h in hay], "name string"), spark.createDataFrame([(n,) for n in needles], "needle string"))
+    want = {(n, h, 0 if h.lower() == n.lower() else 1) for n in needles if n for h in hay if h is not None and n.lower() in h.lower()}
+    assert {tuple(r) for r in got.collect()} == want
+    assert any(len(n) < 3 for n, _, _ in want)

@@ -19,7 +19,7 @@ SAMPLE = (
     "dedup_row_number", "valid_jobs", "filter_diagnosis", "json_catalogue", "geojson_features", "sink_roundtrip", "log_latency_stream",
     "rejected_files", "headerless_sheets", "workbook_archive", "stored_views", "all_places", "asset_status", "page_lookup", "province_scope",
     "mart_roundtrip", "log_roundtrip", "lookup_roundtrip", "pending_jobs", "build_status_counts", "normalize_name", "subtitle_period",
-    "manifest_diff", "stream_pending", "bucketed_latest", "tolerant_names",
+    "manifest_diff", "stream_pending", "bucketed_latest", "tolerant_names", "needle_search",
 )
 
 
