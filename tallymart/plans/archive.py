@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.operators import catalogue, geo, mart, matrix, tidy
+from tallymart.operators import catalogue, geo, latency, mart, matrix, tidy
 from tallymart.plans import inputs, market
 from tallymart.plans.inputs import FACT, OBS
 from tallymart.plans.registry import query
@@ -193,3 +193,18 @@ def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("survey", "table_id", "first_change", F.coalesce("second_change", F.lit("same")).alias("second_change"),
                 F.coalesce("listed", F.lit(False)).alias("listed"), F.coalesce("rows_now", F.lit(0)).cast("long").alias("rows_now"))
     )
+
+
+@query()
+def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of latency per outcome from day sketches; the later half of the days is processed twice and counts once.
+
+    No SQL twin: quantiles come from sketches; tests hold them against exact ranks and the counts against SQL.
+    """
+    path = shared_folder(spark, "latency-sketches")
+    log = inputs.table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("outcome"), F.col("value").alias("latency_s"))
+    middle = log.agg(F.percentile_approx(F.to_date("ts"), 0.5).alias("m")).first()["m"]  # a day: re-runs take whole days
+    later = log.where(F.to_date("ts") >= F.lit(middle))
+    latency.store_days(latency.day_sketches(log), path)
+    latency.store_days(latency.day_sketches(later), path)  # a re-run of those days replaces their sketches
+    return latency.quantiles(spark, path)
