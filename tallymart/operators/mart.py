@@ -74,16 +74,25 @@ def shape_fact(fact: DataFrame) -> DataFrame:
 def dimension_values(fact: DataFrame) -> DataFrame:
     """(dimension, category) with a 1-based index over their global order.
 
-    Labels are numbered within their dimension, in parallel, and shifted by the sizes
-    of the dimensions before it; only those few sizes meet in one task.
+    No window holds a whole dimension: the distinct labels are cut into ranges of
+    (dimension, category), which splits a dimension holding most labels over many tasks;
+    each range counts its labels per dimension, those few counts are summed along the
+    ranges and the dimensions, and a label's index is its range's base plus its place in
+    the range.
     """
     labels = fact.where(F.col("dimension").isNotNull()).select("dimension", "category").distinct()
-    sizes = labels.groupBy("dimension").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("dimension").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("dimension", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    place = F.row_number().over(Window.partitionBy("dimension").orderBy("category"))
-    return labels.withColumn("place", place).join(shifts, "dimension").select(
-        "dimension", "category", (F.col("shift") + F.col("place")).cast("smallint").alias("sort_order")
+    ranged = (
+        labels.repartitionByRange("dimension", "category").sortWithinPartitions("dimension", "category")
+        .withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    )
+    counts = ranged.groupBy("part", "dimension").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    inside = Window.partitionBy("dimension").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = counts.groupBy("dimension").agg(F.sum("n").alias("size"))
+    before = Window.orderBy("dimension").rowsBetween(Window.unboundedPreceding, -1)  # one row per dimension
+    shifts = sizes.select("dimension", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("shift"))
+    bases = counts.select("part", "dimension", "first", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("base")).join(shifts, "dimension")
+    return ranged.join(bases, ["part", "dimension"]).select(
+        "dimension", "category", (F.col("shift") + F.col("base") + F.col("at") - F.col("first") + 1).cast("smallint").alias("sort_order")
     )
 
 

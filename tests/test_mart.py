@@ -160,3 +160,18 @@ def test_hot_place_plans_have_no_window(spark, built):
     for frame in (analytics.latest_per_group(df, ["g"], ["value"]), analytics.dedup_paths(df, ["g"])):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan and "partial_" in plan
+
+
+def test_dimension_values_by_ranges_equal_a_window(spark):
+    from pyspark.sql import Window, functions as F
+
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 5 != 0, "big").otherwise(F.concat(F.lit("d"), (F.col("id") % 7).cast("string"))).alias("dimension"),
+        F.when(F.col("id") % 997 == 0, F.lit(None)).otherwise(F.format_string("c%05d", "id")).alias("category"))
+    rows = rows.unionByName(rows.limit(50)).unionByName(spark.createDataFrame([(None, "x")], "dimension string, category string"))
+    got = mart.dimension_values(rows)
+    labels = rows.where("dimension is not null").select("dimension", "category").distinct()
+    want = labels.select("dimension", "category", F.row_number().over(Window.orderBy("dimension", "category")).cast("smallint").alias("sort_order"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(dimension" in plan.lower()
