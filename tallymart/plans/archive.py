@@ -195,11 +195,12 @@ def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
 def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantiles of latency per outcome from day sketches; the later half of the days is processed twice and counts once.
 
-    No SQL twin: quantiles come from sketches; tests hold them against exact ranks and the counts against SQL.
+    Not a registered query, since every registered one has an SQL twin and quantiles of a
+    sketch have none; ``tests/test_latency.py`` holds them against exact ranks and the counts
+    against SQL.
     """
     path = shared_folder(spark, "latency-sketches")
     log = inputs.table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("outcome"), F.col("value").alias("latency_s"))

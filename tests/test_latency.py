@@ -3,13 +3,13 @@
 import duckdb
 import numpy as np
 
-import __spark_entry__ as entry
+from tallymart.plans.archive import latency_quantiles
 
 SF = "/root/testdata/sf0.01"
 
 
 def test_quantiles_within_rank_error(spark):
-    got = {r.outcome: r for r in entry.queries()["latency_quantiles"](spark, SF).collect()}
+    got = {r.outcome: r for r in latency_quantiles(spark, SF).collect()}
     rows = duckdb.sql(f"SELECT event_type, value FROM '{SF}/events.parquet' WHERE value IS NOT NULL AND ts IS NOT NULL").fetchall()
     assert set(got) == {o for o, _ in rows}
     for outcome, r in got.items():
