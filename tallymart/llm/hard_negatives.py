@@ -28,7 +28,6 @@ own subtree gives each query a k-th distance that bounds the routing of the seco
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -50,9 +49,11 @@ SPLITS, SAMPLE_ROWS = 16, 4096
 #: Rows of a chunk (a child of the top level, cut by hash), queries met by a chunk at once.
 LEAF_ROWS, QUERY_ROWS = 2048, 512
 #: Local trees: split points of a node, and rows of a leaf scanned exactly.
-ARITY, NODE_LEAF = 6, 24
+ARITY, NODE_LEAF = 6, 128
 #: Relative slack of float distances; pruning is loosened by it, never tightened.
 SLACK = 1e-9
+#: Stands for no score yet.
+_LOWEST = -(1 << 63)
 
 
 def prepared(emb: DataFrame) -> DataFrame:
@@ -106,28 +107,41 @@ def farthest_first(points: np.ndarray, k: int) -> np.ndarray:
     return np.array(chosen, np.int64)
 
 
+def _products(x: np.ndarray, q: np.ndarray, size: float) -> np.ndarray:
+    """Exact inner products (queries x rows) of integer vectors; ``size`` bounds the product of two norms.
+
+    Sums below 2^53 are exact as floats in any order, sums below 2^63 as longs; beyond, Python's integers.
+    """
+    if size < 2.0**52:
+        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
+    if size < 2.0**62:
+        return q @ x.T
+    return q.astype(object) @ x.astype(object).T
+
+
 class Tree:
-    """A local GNAT over rows (ids, labels, integer vectors), searched exactly."""
+    """A local GNAT over rows (ids, labels, integer vectors), searched exactly by many queries at once."""
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, x: np.ndarray, m2: float):
         order = np.lexsort((np.arange(len(ids)), ids))  # rows by vec_id, so that splits do not hang on arrival
         self.ids, self.labels, self.x, self.m2 = ids[order], labels[order], x[order], m2
         self.y = _lift(self.x, m2)
+        self.norm = math.sqrt((self.x.astype(np.float64) ** 2).sum(1).max(initial=0.0))
         self.nodes: list[tuple] = []
         self.root = self._build(np.arange(len(self.ids)))
 
     def _build(self, rows: np.ndarray) -> int:
         at = len(self.nodes)
         self.nodes.append(None)
-        if len(rows) <= NODE_LEAF:
-            self.nodes[at] = ("leaf", rows)
-            return at
-        split = rows[farthest_first(self.y[rows], ARITY)]
+        split = rows[:0] if len(rows) <= NODE_LEAF else rows[farthest_first(self.y[rows], ARITY)]
+        if len(split) >= 2:
+            d = _dists(self.y[rows], self.y[split])  # rows x splits
+            child = np.argmin(d, 1)
+            used = np.unique(child)  # of equal points, told apart by rounding alone, some get no rows
+            split, d, child = split[used], d[:, used], np.searchsorted(used, child)
         if len(split) < 2:
-            self.nodes[at] = ("leaf", rows)  # all points equal: no split can part them
+            self.nodes[at] = ("leaf", rows)  # few points, or all equal: no split can part them
             return at
-        d = _dists(self.y[rows], self.y[split])  # rows x splits
-        child = np.argmin(d, 1)
         ranges = np.zeros((len(split), len(split), 2))
         kids = []
         for j in range(len(split)):
@@ -138,43 +152,81 @@ class Tree:
         return at
 
     def search(self, q: np.ndarray, r_lo: float, r_hi: float, k: int, keep) -> list[tuple[int, int]]:
-        """Up to k (score, row) pairs, best first (higher score, then smaller vec_id), among rows that ``keep`` accepts.
-
-        ``keep(ids, labels, scores)`` is the exact test (label, own id, integer window); ``r_lo`` and
-        ``r_hi`` bound the distances of the rows it can accept, loosened by the slack.
+        """One query's (score, row) pairs, best first, among rows that ``keep(ids, labels, scores)`` accepts."""
+        one = lambda at, ids, labels, scores: np.asarray(keep(ids, labels, scores[0]), bool)[None, :]
+        _, scores, rows = self.search_many(q[None, :], np.array([r_lo]), np.array([r_hi]), np.array([k]), one)
+        return list(zip(scores.tolist(), rows.tolist()))
+
+    def search_many(self, q: np.ndarray, r_lo: np.ndarray, r_hi: np.ndarray, k: np.ndarray, keep, least: np.ndarray | None = None):
+        """Each query's first ``k`` rows (higher score, then smaller vec_id): arrays (query, score, row), best first.
+
+        ``keep(queries, ids, labels, scores)`` is the exact test (label, own id, integer window) as a mask
+        of queries x rows; ``r_lo`` and ``r_hi`` bound the distances of the rows it can accept, loosened by
+        the slack.  Rows scoring under ``least`` are not wanted.  A node is met by all queries whose annulus
+        meets one of its children, a leaf scanned for all that reach it; each query's own k-th score shrinks
+        its annulus on the way.
         """
-        qy = np.append(q.astype(np.float64), 0.0)
-        q2 = float(qy @ qy)
-        best: list[tuple[int, int, int]] = []  # heap of (score, -vec_id, row): the worst on top
-        todo = [(0.0, self.root)]
+        m = len(q)
+        y = np.hstack([q.astype(np.float64), np.zeros((m, 1))])
+        q2 = (y * y).sum(1)
+        size = self.norm * math.sqrt(q2.max(initial=0.0))
+        floor = np.full(m, _LOWEST, np.int64) if least is None else least.astype(np.int64)
+        reach = np.minimum(r_hi, _reach(q2, self.m2, floor))
+        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        todo = [(self.root, np.flatnonzero(r_lo <= r_hi), np.zeros(m))]
         while todo:
-            bound, at = heapq.heappop(todo)
-            if bound > r_hi:
-                break
-            if len(best) >= k and bound > _radius(q2, self.m2, best[0][0], up=True):
-                break
+            at, mine, bound = todo.pop()
+            mine = mine[bound[mine] <= reach[mine]]
+            if not len(mine):
+                continue
             node = self.nodes[at]
             if node[0] == "leaf":
                 rows = node[1]
-                scores = self.x[rows] @ q
-                ok = keep(self.ids[rows], self.labels[rows], scores)
-                for r, s in zip(rows[ok], scores[ok]):
-                    item = (int(s), -int(self.ids[r]), int(r))
-                    if len(best) < k:
-                        heapq.heappush(best, item)
-                    elif item > best[0]:
-                        heapq.heapreplace(best, item)
+                scores = _products(self.x[rows], q[mine], size)
+                ok = keep(mine, self.ids[rows], self.labels[rows], scores) & (scores >= floor[mine][:, None]).astype(bool)
+                a, r = np.nonzero(ok)
+                if not len(a):
+                    continue
+                found = scores[a, r]
+                if found.dtype == object and max(abs(int(s)) for s in found) >= 1 << 63:
+                    raise OverflowError("a score does not fit a long")
+                touched = np.zeros(m, bool)
+                touched[mine[a]] = True
+                old = touched[best[0]]
+                whose = np.concatenate([best[0][old], mine[a]])
+                score = np.concatenate([best[1][old], found.astype(np.int64)])
+                row = np.concatenate([best[2][old], rows[r]])
+                order = np.lexsort((row, self.ids[row], ~score, whose))
+                whose, score, row = whose[order], score[order], row[order]
+                place = np.arange(len(whose)) - np.searchsorted(whose, whose)
+                last = place == k[whose] - 1
+                floor[whose[last]] = score[last]
+                changed = whose[last]
+                reach[changed] = np.minimum(reach[changed], _reach(q2[changed], self.m2, floor[changed]))
+                kept = place < k[whose]
+                best = tuple(np.concatenate([b[~old], n[kept]]) for b, n in zip(best, (whose, score, row)))
                 continue
             _, points, ranges, kids = node
-            dq = _dists(qy[None, :], points)[0]
-            hi = r_hi if len(best) < k else min(r_hi, _radius(q2, self.m2, best[0][0], up=True))
-            lo_need = np.maximum(dq - hi, r_lo - dq)[:, None]
-            hi_need = (dq + hi)[:, None]
-            meets = ((lo_need <= ranges[:, :, 1]) & (hi_need >= ranges[:, :, 0])).all(0)
-            lower = np.maximum(np.maximum(ranges[:, :, 0] - dq[:, None], dq[:, None] - ranges[:, :, 1]), 0).max(0)
-            for j in np.flatnonzero(meets):
-                heapq.heappush(todo, (max(float(lower[j]), r_lo), kids[j]))
-        return [(s, r) for s, _, r in sorted(best, reverse=True)]
+            dq = _dists(y[mine], points)[:, :, None]  # queries x splits x 1
+            low, high = ranges[None, :, :, 0], ranges[None, :, :, 1]
+            hi = reach[mine][:, None, None]
+            meets = ((np.maximum(dq - hi, r_lo[mine][:, None, None] - dq) <= high) & (dq + hi >= low)).all(1)
+            lower = np.maximum(np.maximum(low - dq, dq - high), 0).max(1)
+            for j in np.argsort(-lower.mean(0), kind="stable"):  # the nearest child is popped first
+                if meets[:, j].any():
+                    further = np.zeros(m)
+                    further[mine] = np.maximum(lower[:, j], r_lo[mine])
+                    todo.append((kids[j], mine[meets[:, j]], further))
+        order = np.lexsort((best[2], self.ids[best[2]], ~best[1], best[0]))
+        return tuple(b[order] for b in best)
+
+
+def _reach(q2: np.ndarray, m2: float, score: np.ndarray) -> np.ndarray:
+    """Per query, the distance of a row of this score, loosened outward; without end where there is no score yet."""
+    s = score.astype(np.float64)
+    slack = SLACK * (q2 + m2 + np.abs(s) + 1.0)
+    return np.where(score == _LOWEST, math.inf, np.sqrt(np.maximum(q2 + m2 - 2.0 * s, 0.0) + slack) + slack)
+
 
 def _radius(q2: float, m2: float, score: float, up: bool) -> float:
     """The distance of a row of this score from the query, loosened outward (``up``) or inward by the slack."""
@@ -193,17 +245,24 @@ def _annulus(q2: float, m2: float, lo: float | None, hi: float | None) -> tuple[
 QUERY = "qid long, v array<long>, label long, own long, same boolean, k int, ps long"
 
 
-def _keep(query):
-    """The exact test of a query: label, own id, and the integer window of a negative."""
+def _limits(ps) -> tuple[int, int]:
+    """The least and greatest score in a positive's window, as integers: a hundredfold score need not fit a long."""
+    return -(-LOW_PCT * int(ps) // 100), HIGH_PCT * int(ps) // 100
+
 
-    def keep(ids, labels, scores):
-        ok = (labels == query.label) if query.same else (labels != query.label)
-        if query.own is not None and not pd.isna(query.own):
-            ok &= ids != query.own
-        if query.ps is not None and not pd.isna(query.ps):
-            ps = int(query.ps)
-            ok &= (LOW_PCT * ps <= 100 * scores) & (100 * scores <= HIGH_PCT * ps)
-        return ok
+def _keep(queries: pd.DataFrame):
+    """The exact test of queries against rows: label, own id, and the integer window of a negative."""
+    label, same = queries["label"].to_numpy(np.int64), queries["same"].to_numpy(bool)
+    has_own, has_ps = queries["own"].notna().to_numpy(), queries["ps"].notna().to_numpy()
+    own = np.array([int(o) if h else 0 for o, h in zip(queries["own"], has_own)], np.int64)
+    limits = [_limits(p) if h else (_LOWEST, -_LOWEST - 1) for p, h in zip(queries["ps"], has_ps)]
+    low, high = (np.array([w[i] for w in limits], np.int64) for i in (0, 1))
+
+    def keep(at, ids, labels, scores):
+        ok = (labels[None, :] == label[at][:, None]) == same[at][:, None]
+        ok &= ~has_own[at][:, None] | (ids[None, :] != own[at][:, None])
+        window = (scores >= low[at][:, None]) & (scores <= high[at][:, None])
+        return ok & (~has_ps[at][:, None] | window.astype(bool))
 
     return keep
 
@@ -211,8 +270,7 @@ def _keep(query):
 def _window(query, q2: float, m2: float) -> tuple[float, float]:
     if query.ps is None or pd.isna(query.ps):
         return 0.0, math.inf
-    ps = int(query.ps)
-    lo, hi = LOW_PCT * ps / 100, HIGH_PCT * ps / 100
+    lo, hi = _limits(query.ps)
     return (1.0, 0.0) if lo > hi else _annulus(q2, m2, lo, hi)
 
 
@@ -220,22 +278,14 @@ def _search_chunks(dim: int, m2: float):
     """cogroup function: one chunk's rows and a block of its queries, each query's best k in the chunk."""
 
     def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = {"qid": [], "vec_id": [], "score": []}
         if rows.empty or queries.empty:
-            return pd.DataFrame(out, dtype="int64")
+            return pd.DataFrame({"qid": [], "vec_id": [], "score": []}, dtype="int64")
         tree = Tree(rows["vec_id"].to_numpy(np.int64), rows["label"].to_numpy(np.int64), _matrix(rows["v"], dim), m2)
-        for query in queries.itertuples(index=False):
-            q = _matrix(pd.Series([query.v]), dim)[0]
-            r_lo, r_hi = _window(query, float(q @ q), m2)
-            if query.bound is not None and not pd.isna(query.bound):
-                r_hi = min(r_hi, _radius(float(q @ q), m2, query.bound, up=True))
-            if r_lo > r_hi:
-                continue
-            for score, r in tree.search(q, r_lo, r_hi, int(query.k), _keep(query)):
-                out["qid"].append(query.qid)
-                out["vec_id"].append(tree.ids[r])
-                out["score"].append(score)
-        return pd.DataFrame(out, dtype="int64")
+        who, scores, found = tree.search_many(
+            _matrix(queries["v"], dim), queries["r_lo"].to_numpy(np.float64), queries["r_hi"].to_numpy(np.float64),
+            queries["k"].to_numpy(np.int64), _keep(queries), queries["bound"].to_numpy(np.int64),
+        )
+        return pd.DataFrame({"qid": queries["qid"].to_numpy(np.int64)[who], "vec_id": tree.ids[found], "score": scores})
 
     return run
 
@@ -249,9 +299,9 @@ def _route(points: np.ndarray, ranges: np.ndarray, dim: int, m2: float):
                 continue
             x = _matrix(batch["v"], dim)
             dq = _dists(np.hstack([x.astype(np.float64), np.zeros((len(x), 1))]), points)  # queries x splits
-            homes, meets, lows, highs = [], [], [], []
+            homes, meets, lows, highs, norms = [], [], [], [], []
             for r, query in enumerate(batch.itertuples(index=False)):
-                q2 = float(x[r] @ x[r])
+                q2 = float((x[r].astype(np.float64) ** 2).sum())
                 r_lo, r_hi = _window(query, q2, m2)
                 lo_need = np.maximum(dq[r] - r_hi, r_lo - dq[r])[:, None]
                 hi_need = (dq[r] + r_hi)[:, None]
@@ -260,7 +310,8 @@ def _route(points: np.ndarray, ranges: np.ndarray, dim: int, m2: float):
                 meets.append(np.flatnonzero(ok).astype(np.int64).tolist())
                 lows.append(r_lo)
                 highs.append(r_hi)
-            yield batch.assign(home=homes, dq=list(dq), meets=meets, r_lo=lows, r_hi=highs)
+                norms.append(q2)
+            yield batch.assign(home=homes, dq=list(dq), meets=meets, r_lo=lows, r_hi=highs, q2=norms)
 
     return run
 
@@ -276,20 +327,21 @@ def search(index: dict, queries: DataFrame, scratch: Scratch, name: str) -> Data
     dim, m2, chunks, rows = index["dim"], index["m2"], index["chunks"], index["rows"]
     more = T.StructType(queries.schema.fields + [
         T.StructField("home", T.IntegerType()), T.StructField("dq", T.ArrayType(T.DoubleType())), T.StructField("meets", T.ArrayType(T.LongType())),
-        T.StructField("r_lo", T.DoubleType()), T.StructField("r_hi", T.DoubleType()),
+        T.StructField("r_lo", T.DoubleType()), T.StructField("r_hi", T.DoubleType()), T.StructField("q2", T.DoubleType()),
     ])
     routed = queries.mapInPandas(_route(index["points"], index["ranges"], dim, m2), more)
     routed = scratch.put(f"{name}-routed", routed)
+    asked = ["qid", "v", "label", "own", "same", "k", "ps", "r_lo", "r_hi"]
 
     def searched(pairs: DataFrame, tag: str) -> DataFrame:
         """Results of queries met with chunks: pairs (query columns, j, c, bound)."""
-        pairs = scratch.put(f"{name}-{tag}-pairs", pairs.select("j", "c", "qid", "v", "label", "own", "same", "k", "ps", "bound"))
+        pairs = scratch.put(f"{name}-{tag}-pairs", pairs.select("j", "c", *asked, F.coalesce("bound", F.lit(_LOWEST)).alias("bound")))
         blocks = pairs.groupBy("j", "c").agg(F.count(F.lit(1)).alias("n")).select("j", "c", F.ceil(F.col("n") / QUERY_ROWS).cast("int").alias("blocks"))
         pairs = pairs.join(blocks, ["j", "c"]).withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int"))
         copies = rows.join(blocks, ["j", "c"]).select("j", "c", "vec_id", "label", "v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("qb"))
         found = (
             copies.groupBy("j", "c", "qb")
-            .cogroup(pairs.select("j", "c", "qb", "qid", "v", "label", "own", "same", "k", "ps", "bound").groupBy("j", "c", "qb"))
+            .cogroup(pairs.select("j", "c", "qb", *asked, "bound").groupBy("j", "c", "qb"))
             .applyInPandas(_search_chunks(dim, m2), "qid long, vec_id long, score long")
         )
         return scratch.put(f"{name}-{tag}", found)
@@ -311,8 +363,8 @@ def search(index: dict, queries: DataFrame, scratch: Scratch, name: str) -> Data
         .filter(F.col("j") != F.col("home"))
         .join(chunks, "j")
     )
-    q2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    slack = F.lit(SLACK) * (q2 + F.lit(m2) + 1.0)
+    q2 = F.col("q2")
+    slack = F.lit(SLACK) * (q2 + F.lit(m2) + F.abs("bound") + 1.0)
     reach = F.when(F.col("bound").isNull(), F.lit(math.inf)).otherwise(F.sqrt(F.greatest(q2 + F.lit(m2) - 2.0 * F.col("bound"), F.lit(0.0)) + slack) + slack)
     rest = rest.filter(_chunk_meets(F.col("r_lo"), F.least(F.col("r_hi"), reach), F.col("dq"), F.col("lo"), F.col("hi")))
     second = searched(rest, "rest")
@@ -324,7 +376,7 @@ def build_index(rows: DataFrame, scratch: Scratch) -> dict | None:
     stats = rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.size("v")).alias("dim"),
-        F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)).alias("m2"),
+        F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("m2"),
     ).first()
     if not stats["n"]:
         return None

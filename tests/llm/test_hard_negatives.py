@@ -86,3 +86,28 @@ def test_local_tree_equals_scan():
             ok = keep(ids, labels, scores)
             want = sorted(((int(scores[i]), int(ids[i])) for i in np.flatnonzero(ok)), key=lambda t: (-t[0], t[1]))[:10]
             assert got == want
+
+
+def test_scores_whose_hundredfold_leaves_a_long_and_a_square_beyond_it(ready):
+    """Scores near 2^62 fit a long, a hundred times them do not; one row's square does not either, its scores do."""
+    rng = np.random.default_rng(9)
+    rows = [(i, int(rng.integers(0, 3)), (rng.normal(0, 1, 8) * s).tolist()) for i, s in enumerate([2.0e6] * 400)]
+    got = sorted(tuple(r) for r in hn.mine(ready.createDataFrame(rows, "vec_id long, label int, embedding array<float>")).collect())
+    assert got == brute(rows) and max(abs(r[4]) for r in got) > 2**63 // 100
+    rows = [(i, int(rng.integers(0, 3)), rng.normal(0, 1, 8).tolist()) for i in range(400)] + [(401, 2, [1e11] * 8)]
+    got = sorted(tuple(r) for r in hn.mine(ready.createDataFrame(rows, "vec_id long, label int, embedding array<float>")).collect())
+    assert got == brute(rows) and got
+
+
+def test_many_queries_at_once_equal_scan_of_copies():
+    """Far more equal points than a leaf holds, beside others; each query's list by plain sorting."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(-90, 90, (3000, 7))
+    x[:1200] = x[0]
+    ids, labels = rng.permutation(3000), rng.integers(0, 3, 3000)
+    tree = hn.Tree(ids, labels, x, float((x * x).sum(1).max()))
+    q = x[::60]
+    who, scores, rows = tree.search_many(q, np.zeros(len(q)), np.full(len(q), math.inf), np.full(len(q), 9), lambda at, i, lab, s: np.broadcast_to(lab != 1, s.shape))
+    for n, one in enumerate(q):
+        want = sorted((-int(s), int(i)) for s, i, lab in zip(x @ one, ids, labels) if lab != 1)[:9]
+        assert [(-int(s), int(tree.ids[r])) for w, s, r in zip(who, scores, rows) if w == n] == want
