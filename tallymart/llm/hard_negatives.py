@@ -334,8 +334,12 @@ def search(index: dict, queries: DataFrame, scratch: Scratch, name: str) -> Data
     asked = ["qid", "v", "label", "own", "same", "k", "ps", "r_lo", "r_hi"]
 
     def searched(pairs: DataFrame, tag: str) -> DataFrame:
-        """Results of queries met with chunks: pairs (query columns, j, c, bound)."""
-        pairs = scratch.put(f"{name}-{tag}-pairs", pairs.select("j", "c", *asked, F.coalesce("bound", F.lit(_LOWEST)).alias("bound")))
+        """Results of queries met with chunks: pairs (query columns, j, c, bound).
+
+        A cogroup deals both sides out by the hash of the keys, and an int and a long of the same
+        value hash apart, so ``j`` is cast to the type it has in the index.
+        """
+        pairs = scratch.put(f"{name}-{tag}-pairs", pairs.select(F.col("j").cast("int").alias("j"), "c", *asked, F.coalesce("bound", F.lit(_LOWEST)).alias("bound")))
         blocks = pairs.groupBy("j", "c").agg(F.count(F.lit(1)).alias("n")).select("j", "c", F.ceil(F.col("n") / QUERY_ROWS).cast("int").alias("blocks"))
         pairs = pairs.join(blocks, ["j", "c"]).withColumn("qb", F.pmod(F.xxhash64("qid"), F.col("blocks")).cast("int"))
         copies = rows.join(blocks, ["j", "c"]).select("j", "c", "vec_id", "label", "v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("qb"))

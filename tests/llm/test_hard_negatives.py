@@ -111,3 +111,17 @@ def test_many_queries_at_once_equal_scan_of_copies():
     for n, one in enumerate(q):
         want = sorted((-int(s), int(i)) for s, i, lab in zip(x @ one, ids, labels) if lab != 1)[:9]
         assert [(-int(s), int(tree.ids[r])) for w, s, r in zip(who, scores, rows) if w == n] == want
+
+
+def test_rows_and_queries_of_a_chunk_meet_in_any_number_of_partitions(ready, table):
+    """Both sides of the cogroup are dealt alike; a single partition would hide keys of different types."""
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {k: ready.conf.get(k) for k in held}
+    for k, v in held.items():
+        ready.conf.set(k, v)
+    try:
+        emb = ready.createDataFrame(table, "vec_id long, label int, embedding array<float>")
+        assert sorted(tuple(r) for r in hn.mine(emb).collect()) == brute(table)
+    finally:
+        for k, v in before.items():
+            ready.conf.set(k, v)
