@@ -1,11 +1,13 @@
 """Names matched to ids while tolerating a few typing errors, by deletion neighbourhoods.
 
 Two spellings within edit distance ``d`` share a string that each reaches by at most ``d``
-deletions.  So every distinct name on either side is expanded into its deletion
-neighbourhood (itself and every string with up to ``k`` characters removed, ``k`` by its
-length), the two sides meet by an equi-join on those strings, and each candidate pair is
-verified by its exact edit distance.  No pair of names is formed that does not share a
-neighbour; a very common neighbour is a skewed join key, which AQE splits.
+deletions.  So names are expanded into deletion neighbourhoods (a name and every string with
+up to ``k`` characters removed), the two sides meet by an equi-join on those strings, and
+each candidate pair is verified by its exact edit distance.  Distances are tried in turn: a
+query found at distance 0 is not expanded, one found at 1 not by two deletions, so the many
+names two edits from each other (running numbers, say) are paired only for queries that
+nothing nearer answers.  No pair of names is formed that does not share a neighbour; a very
+common neighbour is a skewed join key, which AQE splits.
 
 A query takes the uid of the nearest name; when several uids are equally near it is
 ``ambiguous`` and gets none, as does a query with no name in reach.
@@ -20,6 +22,7 @@ from tallymart.functions.text import normalize_name
 
 #: Edits tolerated by the length of the shorter spelling: none under 4 characters, one under 8, else two.
 ONE_EDIT_FROM, TWO_EDITS_FROM = 4, 8
+MOST_EDITS = 2
 
 
 def canonical(col: Column) -> Column:
@@ -45,6 +48,20 @@ def neighbourhood(word: Column, k: Column) -> Column:
     )
 
 
+def _at_distance(asked: DataFrame, known: DataFrame, d: int) -> DataFrame:
+    """query, distance, n_best, uid: the uids at distance ``d`` of queries that have none nearer."""
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        able = df.where(edits_allowed(F.length(name)) >= d)
+        return able.select("*", F.explode(neighbourhood(F.col(name), F.lit(d))).alias("key")) if d else able.withColumn("key", F.col(name))
+
+    # Expanded sides are sized as the names they come from, far too small; so they are merged, never broadcast.
+    pairs = side(asked, "query").join(side(known, "known").hint("merge"), "key")
+    if d:
+        pairs = pairs.where(F.levenshtein("query", "known", d) >= 0)
+    return pairs.groupBy("query").agg(F.lit(d).alias("distance"), F.count_distinct("uid").alias("n_best"), F.min("uid").alias("uid"))
+
+
 def tolerant_uids(queries: DataFrame, name: str, lookup: DataFrame) -> DataFrame:
     """Per distinct canonical query name: query (canonical), uid, distance, n_best (uids at that distance), ambiguous.
 
@@ -52,15 +69,13 @@ def tolerant_uids(queries: DataFrame, name: str, lookup: DataFrame) -> DataFrame
     """
     asked = queries.select(canonical(F.col(name)).alias("query")).where(F.col("query").isNotNull() & (F.col("query") != "")).distinct()
     known = lookup.select(canonical(F.col("name")).alias("known"), "uid").where(F.col("known").isNotNull()).distinct()
-    a = asked.select("query", F.explode(neighbourhood(F.col("query"), edits_allowed(F.length("query")))).alias("key"))
-    b = known.select("known", "uid", F.explode(neighbourhood(F.col("known"), edits_allowed(F.length("known")))).alias("key"))
-    pairs = a.join(b, "key").select("query", "known", "uid").distinct()
-    limit = F.least(edits_allowed(F.length("query")), edits_allowed(F.length("known")))
-    near = pairs.withColumn("distance", F.levenshtein("query", "known")).where(F.col("distance") <= limit)
-    best = near.groupBy("query").agg(F.min("distance").alias("distance"))
-    at_best = near.join(best, ["query", "distance"]).groupBy("query", "distance").agg(
-        F.count_distinct("uid").alias("n_best"), F.min("uid").alias("uid"))
-    found = at_best.select("query", F.when(F.col("n_best") == 1, F.col("uid")).alias("uid"), "distance", "n_best", (F.col("n_best") > 1).alias("ambiguous"))
+    found, left = None, asked
+    for d in range(MOST_EDITS + 1):
+        level = _at_distance(left, known, d)
+        found = level if found is None else found.unionByName(level)
+        if d < MOST_EDITS:
+            left = left.join(level, "query", "left_anti")
+    found = found.select("query", F.when(F.col("n_best") == 1, F.col("uid")).alias("uid"), "distance", "n_best", (F.col("n_best") > 1).alias("ambiguous"))
     return asked.join(found, "query", "left").select(
         "query", "uid", "distance", F.coalesce("n_best", F.lit(0)).alias("n_best"), F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"))
 

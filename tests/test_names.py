@@ -61,3 +61,13 @@ def test_many_needles_equal_contains_on_all_pairs(spark):
     want = {(n, h, 0 if h.lower() == n.lower() else 1) for n in needles if n for h in hay if h is not None and n.lower() in h.lower()}
     assert {tuple(r) for r in got.collect()} == want
     assert any(len(n) < 3 for n, _, _ in want)
+
+
+def test_neighbourhoods_are_never_broadcast_and_running_numbers_stay_apart(spark):
+    """Catalyst sizes an expanded side as the few names it comes from, far below the threshold of a broadcast."""
+    known = spark.range(3000).select(F.concat(F.lit("Supplier#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("name"), F.col("id").alias("uid"))
+    asked = known.select(F.when(F.col("uid") % 2 == 0, F.regexp_replace("name", "pp", "p")).otherwise(F.col("name")).alias("q"))
+    got = names.tolerant_uids(asked, "q", known)
+    assert "BroadcastHashJoin [key" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = got.collect()
+    assert len(rows) == 3000 and all(r.uid == int(r.query.split("#")[1]) and r.distance == (r.uid % 2 == 0) and r.n_best == 1 for r in rows)
