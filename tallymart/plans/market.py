@@ -177,7 +177,7 @@ SELECT r.geo_id, g.geo_name, metric_id, dimension, category, table_id, period, v
 def bucketed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each place's newest value per metric and category, over the star stored in buckets of geo_id."""
     built = market_mart(spark, sf_dir)
-    stored = bucketed.store(built.rental_observations, built.geographies)
+    stored = bucketed.store(built.rental_observations, lambda fact: geo.geography_dimension(fact, directory(spark, sf_dir), province=F.lit("Home")))
     keys = ["geo_id", "metric_id", "dimension", "category", "table_id"]
     return bucketed.latest(spark, stored, keys, ["value"], place_columns=["geo_name"]).select(
         "geo_id", "geo_name", "metric_id", "dimension", "category", "table_id", "period", "value")

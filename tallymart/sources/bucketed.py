@@ -15,13 +15,14 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators import analytics
 from tallymart.session import shared_folder
+from tallymart.sources.sinks import remove_folder
 
 #: Buckets of the stored star; at scale about the fact's bytes over 256 MB.
 BUCKETS = 16
@@ -42,13 +43,20 @@ def _save(df: DataFrame, name: str, buckets: int | None) -> None:
     writer.saveAsTable(name)
 
 
-def store(fact: DataFrame, places: DataFrame, *, buckets: int = BUCKETS, name: str | None = None) -> StoredStar:
+def store(fact: DataFrame, places: DataFrame | Callable[[DataFrame], DataFrame], *, buckets: int = BUCKETS, name: str | None = None) -> StoredStar:
     """Write ``fact`` and ``places`` (one row per geo_id) as bucketed tables; hot places apart.
 
+    The fact is worked out once, by a plain write; places are counted and the tables dealt out
+    from that.  ``places`` may be a function of the written fact, for places that follow from it.
     A place is hot when it holds more than a bucket's share of the fact's rows (rows over
     ``buckets``); a null geo_id is a place like any other.
     """
     name = name or f"star_{uuid.uuid4().hex[:12]}"
+    spark, plain = fact.sparkSession, shared_folder(fact.sparkSession, f"{name}_plain")
+    fact.write.parquet(plain)
+    fact = spark.read.schema(fact.schema).parquet(plain)
+    if callable(places):
+        places = places(fact)
     counts = fact.groupBy("geo_id").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = tuple(r.geo_id for r in counts.where(F.col("n") > total / buckets).collect())  # at most `buckets` rows
@@ -57,6 +65,7 @@ def store(fact: DataFrame, places: DataFrame, *, buckets: int = BUCKETS, name: s
     _save(fact.where(~is_hot), stored.fact, buckets)
     _save(fact.where(is_hot), stored.hot, None)
     _save(places, stored.places, buckets)
+    remove_folder(spark, plain)
     return stored
 
 

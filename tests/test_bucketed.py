@@ -50,3 +50,17 @@ def test_no_hot_place_and_empty(spark):
     assert key(bucketed.latest(spark, stored, ["geo_id", "metric_id"], ["value"])) == key(analytics.latest_per_group(cool, ["geo_id", "metric_id"], ["value"]))
     none = bucketed.store(fact.limit(0), places.limit(0))
     assert bucketed.star(spark, none).count() == 0
+
+
+def test_fact_is_worked_out_once(spark):
+    fact, places = fact_and_places(spark)
+    worked = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            worked.add(len(batch))
+            yield batch
+
+    stored = bucketed.store(fact.mapInPandas(counted, fact.schema), lambda f: f.select("geo_id").distinct().withColumn("geo_name", F.upper("geo_id")), buckets=8)
+    assert worked.value == 4000
+    assert key(bucketed.star(spark, stored)) == key(fact.join(places, "geo_id"))
