@@ -1,12 +1,17 @@
 """Attempts of (table, place) requests as a stream with keyed state and timers.
 
-Each key (place, table_id) keeps one small state: whether an attempt succeeded (``done``,
-for good) and the time of its latest empty answer (``empty_at``).  An empty answer counts as
-a marker only while it is young: a timer on event time fires when the watermark passes
+Each key (place, table_id) has a small state: whether an attempt succeeded (``done``, for
+good) and the time of its latest empty answer (``empty_at``).  An empty answer counts as a
+marker only while it is young: a timer on event time fires when the watermark passes
 ``empty_at + ttl``, and the key is pending again.  Records later than the watermark's delay
 are dropped by Spark before they reach the state; within the delay the arrival order does
 not matter, since the state keeps only a flag and a maximum.
 
+The states of a place's keys are dealt by a hash of the table into SHARES, and those of a
+share are held together, sorted by table_id, with one timer for the first of their markers to
+end.  So Python is called once for many keys and folds them by array operations, and no place
+gathers in one task.
+
 Every change of a key's status is emitted with its batch; the latest per key is the status.
 Over the same log this equals the batch rule of ``operators.jobs.pending_jobs``: a key is
 done if any attempt was ``ok``, known empty if its latest empty answer is no older than the
@@ -17,8 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -26,39 +32,49 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 KEYS = ["place", "table_id"]
 LOG = "place string, table_id string, outcome string, tried_at timestamp"
 STATUS = "place string, table_id string, status string, empty_at timestamp"
-STATE = "done boolean, empty_at timestamp"
-
-
-def _status(done: bool, empty_at, watermark_ms: int, ttl_ms: int) -> tuple[str, object]:
-    if done:
-        return "done", empty_at
-    if empty_at is not None and pd.Timestamp(empty_at).value // 1_000_000 + ttl_ms >= watermark_ms:
-        return "empty", empty_at
-    return "pending", empty_at
+#: Per share of a place: its tables (sorted), and for each done, the latest empty answer (microseconds) and whether its end was told.
+STATE = "tables array<string>, done array<boolean>, empty_at array<long>, ended array<boolean>"
+#: Shares that the tables of a place are dealt into.
+SHARES = 2
+#: Stands for no empty answer.
+_NEVER = -(1 << 62)
 
 
 def keep_state(ttl_ms: int):
-    """The function of ``applyInPandasWithState``: fold a key's new attempts into its state, or expire its marker."""
+    """The function of ``applyInPandasWithState``: fold new attempts into the keys' states, or expire their markers."""
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        place, table_id = key
-        done, empty_at = state.get if state.exists else (False, None)
         watermark = state.getCurrentWatermarkMs()
-        if state.hasTimedOut:  # the watermark passed the marker's end
-            status, _ = _status(done, None, watermark, ttl_ms)
-            state.update((done, empty_at))
-        else:
+        parts = []
+        if state.exists:
+            tables, done, empty_at, ended = state.get
+            parts.append(pd.DataFrame({
+                "table_id": pd.Series(tables, dtype=object), "done": np.array(done, bool), "empty_at": np.array(empty_at, np.int64),
+                "told": np.array(ended, bool), "new": False,
+            }))
+        if not state.hasTimedOut:
             for batch in batches:
-                done = done or bool((batch["outcome"] == "ok").any())
-                empties = batch.loc[batch["outcome"] == "empty", "tried_at"]
-                if len(empties):
-                    latest = empties.max()
-                    empty_at = latest if empty_at is None else max(pd.Timestamp(empty_at), latest)
-            status, _ = _status(done, empty_at, watermark, ttl_ms)
-            state.update((done, empty_at))
-            if status == "empty":
-                state.setTimeoutTimestamp(pd.Timestamp(empty_at).value // 1_000_000 + ttl_ms)
-        yield pd.DataFrame({"place": [place], "table_id": [table_id], "status": [status], "empty_at": [empty_at]})
+                at = batch["tried_at"].astype("datetime64[us]").astype("int64")
+                parts.append(pd.DataFrame({
+                    "table_id": batch["table_id"].astype(object), "done": batch["outcome"] == "ok",
+                    "empty_at": at.where((batch["outcome"] == "empty") & batch["tried_at"].notna(), _NEVER), "told": False, "new": True,
+                }))
+        after = pd.concat(parts).groupby("table_id", dropna=False).max().reset_index()
+        tables, done, empty_at = after["table_id"], after["done"].to_numpy(bool), after["empty_at"].to_numpy(np.int64)
+        ends = empty_at // 1000 + ttl_ms
+        marked = ~done & (empty_at != _NEVER)
+        ended = marked & (ends < watermark)
+        state.update(([None if pd.isna(t) else t for t in tables], done.tolist(), empty_at.tolist(), ended.tolist()))
+        if (marked & ~ended).any():
+            state.setTimeoutTimestamp(int(ends[marked & ~ended].min()))
+        changed = after["new"].to_numpy(bool) | (ended & ~after["told"].to_numpy(bool))
+        at = empty_at[changed].astype("datetime64[us]")
+        at[empty_at[changed] == _NEVER] = np.datetime64("NaT")
+        yield pd.DataFrame({
+            "place": key[0], "table_id": tables[changed].to_numpy(),
+            "status": np.where(done, "done", np.where(marked & ~ended, "empty", "pending"))[changed],
+            "empty_at": pd.Series(at).astype("datetime64[ns]"),
+        })
 
     return fold
 
@@ -74,7 +90,8 @@ def stream_statuses(spark: SparkSession, log_path: str, out_path: str, checkpoin
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     attempts = reader.parquet(log_path).withWatermark("tried_at", delay)
-    changes = attempts.groupBy(*KEYS).applyInPandasWithState(
+    share = F.pmod(F.xxhash64("table_id"), F.lit(SHARES)).cast("int")
+    changes = attempts.withColumn("share", share).groupBy("place", "share").applyInPandasWithState(
         keep_state(ttl_ms), STATUS, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -86,5 +103,5 @@ def stream_statuses(spark: SparkSession, log_path: str, out_path: str, checkpoin
 def latest_statuses(spark: SparkSession, out_path: str) -> DataFrame:
     """The last status of every key: one row per key, by its latest batch."""
     changes = spark.read.schema(STATUS + ", batch long").parquet(out_path)
-    last = Window.partitionBy(*KEYS).orderBy(F.desc("batch"))
-    return changes.withColumn("n", F.row_number().over(last)).where("n = 1").drop("n", "batch")
+    last = F.max_by(F.struct("status", "empty_at"), "batch").alias("last")
+    return changes.groupBy(*KEYS).agg(last).select(*KEYS, "last.*")

@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tallymart.streaming import attempts
@@ -55,3 +56,35 @@ def test_stream_of_nothing(spark, tmp_path):
     attempts.stream_statuses(spark, log, out, str(tmp_path / "cp"), delay="1 day", ttl_ms=DAY_MS).awaitTermination()
     import os
     assert not os.path.exists(out) or spark.read.parquet(out).count() == 0
+
+
+class HeldState:
+    """A GroupState outside of a stream."""
+
+    def __init__(self):
+        self.exists, self.hasTimedOut, self.watermark, self.timeout, self.get = False, False, 0, None, None
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+    def setTimeoutTimestamp(self, at):
+        assert at >= self.watermark
+        self.timeout = at
+
+
+def test_one_call_folds_many_keys_and_tells_each_end_once():
+    fold, state = attempts.keep_state(10 * DAY_MS), HeldState()
+    day = lambda n: pd.Timestamp(n * DAY_MS, unit="ms")
+    batch = pd.DataFrame([("a", "ok", day(1)), ("b", "empty", day(2)), ("c", "empty", day(5)), ("d", "error", day(5)), (None, "empty", day(3))],
+                         columns=["table_id", "outcome", "tried_at"])
+    run = lambda batches: {None if pd.isna(r.table_id) else r.table_id: r.status for out in fold(("p", 0), iter(batches), state) for r in out.itertuples()}
+    assert run([batch]) == {"a": "done", "b": "empty", "c": "empty", "d": "pending", None: "empty"} and state.timeout == 12 * DAY_MS
+    state.hasTimedOut, state.watermark = True, 12 * DAY_MS + 1
+    assert run([]) == {"b": "pending"} and state.timeout == 13 * DAY_MS
+    state.hasTimedOut, state.watermark = False, 14 * DAY_MS
+    assert run([pd.DataFrame([("b", "empty", day(6))], columns=batch.columns)]) == {"b": "empty", None: "pending"} and state.timeout == 15 * DAY_MS
+    state.hasTimedOut, state.watermark = True, 17 * DAY_MS
+    assert run([]) == {"b": "pending", "c": "pending"}
