@@ -7,6 +7,11 @@ tokens of each.  Candidates must do so under every one of ``ORDERS`` orders; onl
 are whole sets compared: first a few bits of every token, which rules out most pairs that
 do not link at a quarter of the traffic, then the tokens themselves.
 
+Pairs that share a passage meet under every order and are many more than the links, so
+before the other orders the parities of two sets are compared: about a bit a token, each
+the parity of the tokens that fall on it.  A token that only one set holds turns one bit,
+so sets differ in at least as many tokens as their parities do in bits.
+
 Each order ranks tokens by how common they are (a class), then by its own hash: common
 passages come last, so they are in a prefix only where a document holds hardly anything
 else.  Classes come from counts that every task makes over all its tokens and that are
@@ -14,7 +19,7 @@ summed by token; a wrong class costs time, never a link, since any order is a va
 
 Steps, each a written table:
 
-1. ``sketch``  one row a document: set size, 128-bit key of the set, prefixes.  Equal sets
+1. ``sketch``  one row a document: set size, 128-bit key of the set, prefixes, parity.  Equal sets
    share a key; within a task only the first of them carries prefixes.
 2. ``shared``  prefix tokens of the first order that two rows hold, with the smallest
    holder ("pivot").
@@ -32,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
@@ -48,6 +53,8 @@ COMMON_TOKENS = 200_000
 PIVOT_ROWS = 2000
 #: Sets of more tokens are outlined with 32 bits a token, smaller ones with 16.
 WIDE_FROM = 4096
+#: Bits of a parity at most.
+PARITY_MOST = 4096
 SEEDS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0], dtype=np.uint64)
 
 
@@ -79,6 +86,15 @@ def set_key(tokens: np.ndarray) -> bytes | None:
     return (int(np.add.reduce(mix(tokens))) << 64 | int(np.bitwise_xor.reduce(mix(tokens + SEEDS[0])))).to_bytes(16, "big")
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """A power of two of bits, as many as tokens or more (up to PARITY_MOST), in words of 64: whether an odd number of tokens falls on each."""
+    bits = 64
+    while bits < min(len(tokens), PARITY_MOST):
+        bits <<= 1
+    at = (mix(tokens + SEEDS[1]) & U(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def needed(n, num: int, den: int):
     """Tokens that a set of ``n`` shares with any set it links to, at least."""
     return (num * n + den - 1) // den
@@ -139,17 +155,17 @@ def common_tokens(docs: DataFrame, k: int) -> Common:
 
 
 def sketch(docs: DataFrame, common, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, digest, n (set size), key, first (prefix of order 0), others (32 bits of each token of the other prefixes)."""
+    """doc_id, digest, n (set size), key, first (prefix of order 0), others (32 bits of each token of the other prefixes), parity."""
     schema = pa.schema([
         ("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("key", pa.binary()),
-        ("first", pa.list_(pa.int64())), ("others", pa.list_(pa.list_(pa.int32()))),
+        ("first", pa.list_(pa.int64())), ("others", pa.list_(pa.list_(pa.int32()))), ("parity", pa.list_(pa.int64())),
     ])
 
     def work(batches):
         seen: set[bytes] = set()
         ranks = common.value
         for block in blocks(batches, "text"):
-            sizes, keys, firsts, others = [], [], [], []
+            sizes, keys, firsts, others, parities = [], [], [], [], []
             for tokens in token_sets(Texts.of(block.column("text")), k):
                 n = len(tokens)
                 key = set_key(tokens)
@@ -158,33 +174,65 @@ def sketch(docs: DataFrame, common, k: int, num: int, den: int) -> DataFrame:
                 if key is None or key in seen:
                     firsts.append(None)
                     others.append(None)
+                    parities.append(None)
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(key)
                 size = n - needed(n, num, den) + 1
                 firsts.append(ranks.prefix(tokens, size, 0).view(np.int64))
                 others.append([ranks.prefix(tokens, size, i).astype(np.uint32).view(np.int32) for i in range(1, ORDERS)])
-            yield batch_of(schema, block.column("doc_id"), block.column("digest"), sizes, pa.array(keys, pa.binary()), pa.array(firsts, schema.field("first").type), pa.array(others, schema.field("others").type))
+                parities.append(parity(tokens))
+            lists = (pa.array(x, schema.field(c).type) for x, c in ((firsts, "first"), (others, "others"), (parities, "parity")))
+            yield batch_of(schema, block.column("doc_id"), block.column("digest"), sizes, pa.array(keys, pa.binary()), *lists)
 
-    return docs.select("doc_id", "digest", "text").mapInArrow(work, "doc_id long, digest long, n long, key binary, first array<long>, others array<array<int>>")
+    return docs.select("doc_id", "digest", "text").mapInArrow(work, "doc_id long, digest long, n long, key binary, first array<long>, others array<array<int>>, parity array<long>")
 
 
-def cross_orders(pairs: DataFrame, sketches: DataFrame, bits: Bits) -> DataFrame:
-    """Pairs (a, b) whose prefixes meet under each of the other orders too."""
+def met(pairs: DataFrame, sketches: DataFrame, bits: Bits, *columns: str) -> DataFrame:
+    """Pairs (a, b) with ``columns`` of the sketches of both, the names followed by ``_a`` and ``_b``; ``bits`` knows their rows."""
     words = bits.words
 
     def look(batches):
         for batch in batches:
             yield batch.filter(Bits.hit(words.value, batch.column("at"))).drop_columns(["at"])
 
-    marked = sketches.filter("others is not null").select("row", "others", bits.place("row").alias("at"))
+    marked = sketches.filter("others is not null").select("row", *columns, bits.place("row").alias("at"))
     held = marked.mapInArrow(look, marked.drop("at").schema)
-    both = (
-        pairs.join(held.select(F.col("row").alias("a"), F.col("others").alias("of_a")), "a")
-        .join(held.select(F.col("row").alias("b"), F.col("others").alias("of_b")), "b")
-    )
+    for side in ("a", "b"):
+        pairs = pairs.join(held.select(F.col("row").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
+    return pairs
+
+
+def rows_of(spark: SparkSession, pairs: DataFrame) -> Bits:
+    """A filter that knows the rows of written pairs (a, b)."""
+    return Bits(spark, pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct(), "row", pairs.count())
+
+
+def near_parities(pairs: DataFrame, sketches: DataFrame, bits: Bits, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) without those whose parities differ in more bits than the sets of a link in tokens.
+
+    Parities are brought to one length by folding the longer in half; pairs of sets further apart in size stay.
+    """
+    both = met(pairs, sketches, bits, "n", "parity")
+    a, b = F.col("parity_a"), F.col("parity_b")
+    least = F.least(F.size(a), F.size(b))
+
+    def xor(x: Column, y: Column) -> Column:
+        return F.zip_with(x, y, lambda p, q: p.bitwiseXOR(q))
+
+    def folded(x: Column) -> Column:
+        return F.when(F.size(x) > least, xor(F.slice(x, 1, least), F.slice(x, least + 1, least))).otherwise(x)
+
+    differ = F.aggregate(xor(folded(a), folded(b)), F.lit(0), lambda total, word: total + F.bit_count(word))
+    far = (F.greatest(F.size(a), F.size(b)) <= 2 * least) & (differ * (num + den) > (F.col("n_a") + F.col("n_b")) * (den - num))
+    return both.filter(~far).select("a", "b")
+
+
+def cross_orders(pairs: DataFrame, sketches: DataFrame, bits: Bits) -> DataFrame:
+    """Pairs (a, b) whose prefixes meet under each of the other orders too."""
+    both = met(pairs, sketches, bits, "others")
     for i in range(ORDERS - 1):
-        both = both.filter(F.arrays_overlap(F.col("of_a")[i], F.col("of_b")[i]))
+        both = both.filter(F.arrays_overlap(F.col("others_a")[i], F.col("others_b")[i]))
     return both.select("a", "b")
 
 
@@ -238,8 +286,8 @@ def compare(pairs: DataFrame, leads: DataFrame, docs: DataFrame, k: int, encode,
                 yield batch_of(schema, *(list(c) for c in zip(*rows)))
 
     found = docs.select("doc_id", "text", bits.place("doc_id").alias("at")).mapInArrow(sets, "doc_id long, key binary, tokens binary")
-    met = routes.join(found, routes["doc_id"].eqNullSafe(found["doc_id"]) & (routes["key"] == found["key"]))
-    together = met.select("b", "part", F.col("row").alias("a"), "kind", "tokens").repartition("b", "part").sortWithinPartitions("b", "part", "kind")
+    brought = routes.join(found, routes["doc_id"].eqNullSafe(found["doc_id"]) & (routes["key"] == found["key"]))
+    together = brought.select("b", "part", F.col("row").alias("a"), "kind", "tokens").repartition("b", "part").sortWithinPartitions("b", "part", "kind")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def check(batches):
@@ -288,16 +336,15 @@ def ngram_join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     chief = leads.filter("row = set").select("row", "doc_id", "n", "key")
 
     def settled(pairs: DataFrame, name: str) -> DataFrame:
-        """Links among pairs of sets: sizes, then the other orders, then the sets themselves."""
+        """Links among pairs of sets: sizes, parities, then the other orders, then the sets themselves."""
         pairs = pairs.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct()
         sized = pairs.join(chief.select(F.col("row").alias("a"), F.col("n").alias("n_a")), "a").join(chief.select(F.col("row").alias("b"), F.col("n").alias("n_b")), "b")
         sized = scratch.put(f"{name}-sized", sized.filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num).select("a", "b"))
-        rows = sized.select(F.col("a").alias("row")).union(sized.select(F.col("b").alias("row"))).distinct()
-        bits = Bits(spark, rows, "row", sized.count())
-        left = scratch.put(f"{name}-left", cross_orders(sized, sketches, bits))
+        near = scratch.put(f"{name}-near", near_parities(sized, sketches, rows_of(spark, sized), num, den))
+        left = scratch.put(f"{name}-left", cross_orders(near, sketches, rows_of(spark, near)))
         likely = compare(left, chief, docs, k, packed, lambda a, b: may_link(a, b, num, den), scratch, f"{name}-likely")
         found = compare(likely, chief, docs, k, lambda tokens: tokens.tobytes(), lambda a, b: link(a, b, num, den), scratch, f"{name}-links")
-        scratch.drop(f"{name}-sized", f"{name}-left", f"{name}-likely-kept")
+        scratch.drop(f"{name}-sized", f"{name}-near", f"{name}-left", f"{name}-likely-kept")
         return found
 
     scratch.drop("pivots")

@@ -101,3 +101,41 @@ def test_components_of_a_chain_and_a_star(ready):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)]
     got = components(ready.createDataFrame(edges, "a long, b long"), Scratch(ready, "test"), "c").collect()
     assert {r["node"]: r["label"] for r in got} == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
+
+
+def test_parities_never_rule_out_a_link(ready):
+    rng = np.random.default_rng(1)
+    sets, links = [], set()
+    for size in (3, 63, 65, 130, 512, 540, 900, 5000):
+        for changed in (0, 1, size // 20, size // 13, size // 12, size // 11, size // 3):
+            for extra in (0, size // 8):
+                a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+                b = np.unique(np.concatenate([a[changed:], rng.integers(0, 2**64, changed + extra, dtype=np.uint64)]))
+                if ngram_join.link(a.tobytes(), b.tobytes(), 85, 100):
+                    links.add(len(sets))
+                sets += [a, b]
+    rows = [(i, len(t), [[0]], ngram_join.parity(t).tolist()) for i, t in enumerate(sets)]
+    sketches = ready.createDataFrame(rows, "row long, n long, others array<array<int>>, parity array<long>")
+    pairs = ready.createDataFrame([(i, i + 1) for i in range(0, len(sets), 2)], "a long, b long")
+    got = {r["a"] for r in ngram_join.near_parities(pairs, sketches, ngram_join.rows_of(ready, pairs), 85, 100).collect()}
+    assert links <= got and len(links) > 40
+    assert len(got - links) <= 16  # those near the limit, and of few tokens or more than PARITY_MOST
+
+
+def test_pairs_that_share_a_passage_but_do_not_link_fetch_neither_prefixes_nor_sets(ready, monkeypatch):
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(150)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(100)])) for i in range(28)]
+    rows += [(100 + i, t.replace("p70 ", "q ")) for i, t in rows[:3]]
+    written, put = {}, Scratch.put
+
+    def counted(self, name, df):
+        out = put(self, name, df)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "put", counted)
+    got = ngram_join.ngram_join(ready.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute(rows)
+    assert written["stars-sized"] + written["rest-sized"] > 100
+    assert written["stars-left"] + written["rest-left"] <= 6
