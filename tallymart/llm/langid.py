@@ -35,6 +35,8 @@ CALIBRATION_BYTES = 4 << 20
 PREDICT_BLOCK = 1 << 19
 #: Characters of calibration texts measured at once on the driver.
 CALIBRATION_BLOCK = 1 << 18
+#: Rows whose means the driver works out at once.
+MEANS_ROWS = 64
 #: Of the calibration rows this share may fall under the limit of the score, and of familiarity.
 RIGHT_REJECTED = 0.001
 #: Bytes of the stretches whose scores are compared: a text in two learned languages is sure of each by itself.
@@ -166,24 +168,27 @@ def examples(docs: DataFrame, use: Column, rows: int, whole: bool = False) -> pa
 
 
 class Examples:
+    """Collected rows as views of the table they came in: buckets and counts lie in memory once, weights are made a batch at a time."""
+
     def __init__(self, table: pa.Table, langs: list[str]):
         self.label = np.array([langs.index(x) if x in langs else -1 for x in table["lang"].to_pylist()])
-        table = table.combine_chunks()
         self.text = table["text"].to_pylist()
         self.bucket = [np.asarray(x.values) for x in table["bucket"]]
         self.times = [np.asarray(x.values) for x in table["times"]]
-        self.weight = [np.asarray(x.values) / max(1, np.asarray(x.values).sum()) for x in table["times"]]
+        self.total = np.array([max(1, x.sum()) for x in self.times])
 
     def batch(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Buckets, weights and place in the batch, of all rows of a batch."""
-        return (np.concatenate([self.bucket[i] for i in rows]), np.concatenate([self.weight[i] for i in rows]),
-                np.repeat(np.arange(len(rows)), [len(self.bucket[i]) for i in rows]))
+        place = np.repeat(np.arange(len(rows)), [len(self.bucket[i]) for i in rows])
+        return np.concatenate([self.bucket[i] for i in rows]), np.concatenate([self.times[i] for i in rows]) / self.total[rows][place], place
 
     def means(self, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        bucket, weight, place = self.batch(rows)
         out = np.zeros((len(rows), table.shape[1]))
-        for d in range(table.shape[1]):
-            out[:, d] = np.bincount(place, weight * table[bucket, d], len(rows))
+        for start in range(0, len(rows), MEANS_ROWS):
+            some = rows[start : start + MEANS_ROWS]
+            bucket, weight, place = self.batch(some)
+            for d in range(table.shape[1]):
+                out[start : start + len(some), d] = np.bincount(place, weight * table[bucket, d], len(some))
         return out
 
 
@@ -255,13 +260,13 @@ def calibrate(model: Model, texts: list[str], right: np.ndarray) -> None:
 def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
     """A model from rows (doc_id, text, lang) where ``learn`` holds, calibrated on those where ``check`` holds.
 
-    Without a labelled row there is no model.
+    Without a labelled row there is no model.  The driver holds one of the two samples at a time.
     """
     found = examples(docs, learn, TRAIN_ROWS)
     langs = sorted(set(found["lang"].to_pylist()))
     if not langs:
         return None
-    data, held = Examples(found, langs), Examples(examples(docs, check, CALIBRATION_ROWS, whole=True), langs)
+    data = Examples(found, langs)
     rng = np.random.default_rng(SEED)
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     weight = np.zeros((DIMENSIONS, len(langs)))
@@ -291,6 +296,9 @@ def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
     for bucket, times in zip(data.bucket, data.times):
         seen[bucket] += times
     model = Model(langs, table, bias, np.append(np.log(seen / seen.sum()), 0.0))
+    del found, data, bucket, times, embed
+    pa.default_memory_pool().release_unused()
+    held = Examples(examples(docs, check, CALIBRATION_ROWS, whole=True), langs)
     known = np.flatnonzero(held.label >= 0)
     if len(known):
         logits = held.means(table, known) + bias
@@ -299,7 +307,10 @@ def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
         model.temperature = float(min(losses, key=losses.get))
         whole = np.array([held.text[i] is not None for i in known], bool)
         right = model.probabilities(logits).argmax(axis=1) == truth
-        calibrate(model, [held.text[i] for i in known[whole]], right[whole])
+        texts = [held.text[i] for i in known[whole]]
+        del held
+        pa.default_memory_pool().release_unused()
+        calibrate(model, texts, right[whole])
     return model
 
 

@@ -1,5 +1,6 @@
 """Language ID, line field, mixing: held-out accuracy, gradients, targets, edges."""
 
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -146,3 +147,23 @@ def test_a_small_table_is_learned(ready):
     assert len(found) > 20
     assert (found["lang_pred"] == found["lang"]).mean() > 0.95
     assert not found["rejected"].any()
+
+
+def test_collected_examples_lie_in_memory_once():
+    rng = np.random.default_rng(2)
+    counts = [rng.integers(1, 9, n).astype(np.int32) for n in rng.integers(500, 2500, 1200)]
+    held = [rng.choice(langid.BUCKETS, len(c), replace=False).astype(np.int32) for c in counts]
+    schema = pa.schema([("lang", pa.string()), ("text", pa.string()), ("bucket", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
+    parts = [pa.table([["en", "fr"] * 300, pa.nulls(600, pa.string()), held[i : i + 600], counts[i : i + 600]], schema=schema) for i in (0, 600)]
+    table = pa.concat_tables(parts)
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    data = langid.Examples(table, ["en", "fr"])
+    means = data.means(np.ones((langid.BUCKETS + 1, 2)), np.arange(1200))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pa.total_allocated_bytes() - arrow + most < table.nbytes
+    assert np.allclose(means, 1)
+    bucket, weight, place = data.batch(np.array([7, 200]))
+    assert (bucket == np.concatenate([held[7], held[200]])).all() and (place == np.repeat([0, 1], [len(held[7]), len(held[200])])).all()
+    assert (weight == np.concatenate([counts[i] / counts[i].sum() for i in (7, 200)])).all()
