@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.llm import langid, mixing, ngram_join, packing, pii
-from tallymart.llm.tables import Scratch, documents, ship
+from tallymart.llm.tables import Scratch, documents, release, ship
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,13 +63,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         before = name
         release(spark)
     return docs
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner free what a written stage no longer needs (its broadcast models and filters, its shuffles).
-
-    The cleaner acts on objects the JVM has collected, and the JVM holds them while Python
-    does; so Python's collector runs first, then the JVM's.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

@@ -10,6 +10,7 @@ texts: since averaging is linear, the two layers become one table of bucket by l
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallymart.llm.tables import batch_of, blocks, crc_of_id, list_array, strings_of
+from tallymart.llm.tables import batch_of, blocks, crc_of_id, list_array, relieve, strings_of
 from tallymart.llm.words import BLANK, LOWER, Texts, U
 
 SIZES = (2, 3, 4)
@@ -137,9 +138,28 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
+def shrunk(bucket: np.ndarray, times: np.ndarray) -> bytes:
+    """Distinct buckets (16 bits each) and then their counts (32 bits), compressed: a driver receives samples whole, so they come small."""
+    return zlib.compress(bucket.astype(np.uint16).tobytes() + times.astype(np.int32).tobytes(), 1)
+
+
+def widened(table: pa.Table) -> pa.Table:
+    """The table with the list columns bucket and times in place of what ``shrunk`` made of them."""
+    raw = [zlib.decompress(x.as_py()) for x in table["counted"]]
+    sizes = np.array([len(x) // 6 for x in raw], int)
+    ends = np.cumsum(sizes)
+    bucket, times = np.zeros(sizes.sum(), np.uint16), np.zeros(sizes.sum(), np.int32)
+    for i, (end, n) in enumerate(zip(ends, sizes)):
+        bucket[end - n : end] = np.frombuffer(raw[i], np.uint16, n)
+        times[end - n : end] = np.frombuffer(raw[i], np.int32, n, 2 * n)
+        raw[i] = b""
+    lists = [list_array(x, ends) for x in (bucket, times)]
+    return pa.table([table["lang"], table["text"], *lists], names=["lang", "text", "bucket", "times"])
+
+
 def examples(docs: DataFrame, use: Column, rows: int, whole: bool = False) -> pa.Table:
     """lang, text (only if ``whole``), and distinct buckets with counts of the whole text, of ``rows`` labelled rows in the order of a hash."""
-    schema = pa.schema([("lang", pa.string()), ("text", pa.string()), ("bucket", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
+    schema = pa.schema([("lang", pa.string()), ("text", pa.string()), ("counted", pa.binary())])
 
     sent = [0]
 
@@ -147,24 +167,23 @@ def examples(docs: DataFrame, use: Column, rows: int, whole: bool = False) -> pa
         for block in blocks(batches, "text"):
             texts = Texts.of(block.column("text"))
             found = [buckets(texts, s)[0] for s in SIZES]
-            held, times = [], []
+            counted = []
             for a, b in zip(texts.start, texts.start[1:]):
                 u, n = np.unique(np.concatenate([f[a:b] for f in found]), return_counts=True)
-                held.append(u[u < BUCKETS])
-                times.append(n[u < BUCKETS])
+                counted.append(shrunk(u[u < BUCKETS], n[u < BUCKETS]))
             kept = pa.nulls(block.num_rows, pa.string())
             if whole:  # whole texts up to CALIBRATION_BYTES in all; the sample is one task after its limit
                 size = np.cumsum([len(t.encode()) for t in strings_of(block.column("text"))]) + sent[0]
                 kept = pa.array([t if n <= CALIBRATION_BYTES else None for t, n in zip(block.column("text").to_pylist(), size)], pa.string())
                 sent[0] = int(size[-1]) if len(size) else sent[0]
-            yield batch_of(schema, block.column("lang"), kept, *(list_array(np.concatenate(x).astype(np.int32), np.cumsum([len(y) for y in x])) for x in (held, times)))
+            yield batch_of(schema, block.column("lang"), kept, counted)
 
     labelled = docs.filter(use & F.col("lang").isNotNull()).withColumn("draw", F.xxhash64("doc_id", F.lit(SEED)))
     # Only about twice as many rows as are wanted reach the sort, whatever the number of tasks.
     share = min(1.0, (2 * rows + 200) / max(1, labelled.select("draw").count()))
     near = labelled.filter((F.pmod("draw", F.lit(1 << 30)) < int(share * (1 << 30))) & F.col("text").isNotNull())
     sample = near.withColumn("tie", F.crc32(F.encode("text", "UTF-8"))).orderBy(F.pmod("draw", F.lit(1 << 30)), "draw", "tie", "lang").limit(rows)
-    return sample.select("lang", "text").mapInArrow(work, "lang string, text string, bucket array<int>, times array<int>").toArrow()
+    return widened(sample.select("lang", "text").mapInArrow(work, "lang string, text string, counted binary").toArrow())
 
 
 class Examples:
@@ -298,6 +317,7 @@ def train(docs: DataFrame, learn: Column, check: Column) -> Model | None:
     model = Model(langs, table, bias, np.append(np.log(seen / seen.sum()), 0.0))
     del found, data, bucket, times, embed
     pa.default_memory_pool().release_unused()
+    relieve(docs.sparkSession)
     held = Examples(examples(docs, check, CALIBRATION_ROWS, whole=True), langs)
     known = np.flatnonzero(held.label >= 0)
     if len(known):

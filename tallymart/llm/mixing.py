@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallymart.llm.langid import softmax
-from tallymart.llm.tables import Scratch, batch_of, blocks, fresh, list_array
+from tallymart.llm.tables import Scratch, batch_of, blocks, fresh, list_array, relieve
 from tallymart.llm.words import Texts, U
 
 BUCKETS = 1 << 16
@@ -166,6 +166,7 @@ def fit_rates(table: DataFrame, targets: np.ndarray, max_rate: float | None = No
         if np.abs(miss).max() <= CLOSE * scale or (last is not None and np.abs(now - last).max() <= CLOSE * scale / 100):
             break
         gradients, last = np.vstack([gradients, inverse @ miss]), now
+        relieve(table.sparkSession)
     return gradients
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
@@ -21,6 +22,10 @@ BLOCK_BYTES = 1 << 20
 FILTER_BITS, FILTER_MOST = 32, 1 << 26
 
 
+#: Share of its largest size from which on the driver's heap is cleared between steps.
+HEAP_SHARE = 0.45
+
+
 #: Folder of a local session that names none, by application.
 _LOCAL: dict[str, str] = {}
 
@@ -55,6 +60,7 @@ class Scratch:
             df.write.parquet(self.path(name))
         finally:
             self.spark.conf.set(cleanup, before)
+        relieve(self.spark)
         return self.get(name, df)
 
     def get(self, name: str, like: DataFrame) -> DataFrame:
@@ -81,6 +87,27 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(archive)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner free what a written stage no longer needs (its broadcast models and filters, its shuffles).
+
+    The cleaner acts on objects the JVM has collected, and the JVM holds them while Python
+    does; so Python's collector runs first, then the JVM's.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def relieve(spark: SparkSession) -> None:
+    """``release`` once the driver's heap has grown past HEAP_SHARE of what it may take.
+
+    A step of many small jobs leaves plans, broadcasts and events behind that the JVM would
+    rather grow for than collect, and it gives grown memory back at a full collection only.
+    """
+    runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() > HEAP_SHARE * runtime.maxMemory():
+        release(spark)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

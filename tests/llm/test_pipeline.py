@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tallymart.llm import pii
+from tallymart.llm import mixing, pii, tables
 from tallymart.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -48,6 +48,21 @@ def test_stages_take_no_rows(ready, no_docs, stage):
     assert stage[1](ready, no_docs, SF).count() == 0
 
 
+def test_steps_give_back_a_grown_heap(ready, monkeypatch):
+    """Inside the stages of many jobs too, not only between the stages; a small heap is left alone."""
+    calls = []
+    monkeypatch.setattr(tables, "release", lambda spark: calls.append(spark))
+    scratch = tables.Scratch(ready, "test-heap")
+    table = ready.createDataFrame([(10, [0.9, 0.1]), (30, [0.2, 0.8])], "tokens long, posterior array<double>")
+    for share, least, most in ((0.0, 2, 1000), (2.0, 0, 0)):
+        monkeypatch.setattr(tables, "HEAP_SHARE", share)
+        calls.clear()
+        scratch.put(f"some-{share}", ready.range(3))
+        assert len(calls) == (share == 0)
+        rounds = len(mixing.fit_rates(table, mixing.np.array([20.0, 20.0]), 1.0))
+        assert rounds > 0 and least <= len(calls) <= most and len(calls) == (rounds + 1) * (share == 0)
+
+
 def test_masked_text_has_no_span_left():
     text = "write x@y.zz or 4532015112830366, call +1 (555) 010-9999"
     assert pii.find(pii.masked(text, pii.find(text))) == []

@@ -149,6 +149,24 @@ def test_a_small_table_is_learned(ready):
     assert not found["rejected"].any()
 
 
+def test_samples_reach_the_driver_small_and_whole(ready, monkeypatch):
+    came, widened = [], langid.widened
+    monkeypatch.setattr(langid, "widened", lambda table: came.append(table.nbytes) or widened(table))
+    docs = documents(ready, SF)
+    table = langid.examples(docs, F.col("lang").isNotNull(), 150)
+    assert 2 * came[0] < 8 * len(table["bucket"].combine_chunks().values)  # 8 bytes a bucket as integers
+    rows = docs.filter("lang is not null and text is not null").select("lang", "text").collect()
+    want = set()
+    for lang, text in rows:
+        found = np.concatenate([langid.buckets(Texts.of(pa.array([text])), s)[0] for s in langid.SIZES])
+        want.add((lang, tuple(sorted(Counter(found[found < langid.BUCKETS].tolist()).items()))))
+    got = [(r["lang"], tuple(zip(r["bucket"], r["times"]))) for r in table.to_pylist()]
+    assert len(got) == 150 and set(got) <= want
+    often = langid.shrunk(np.array([0, langid.BUCKETS - 1]), np.array([1, 1 << 20]))
+    edge = langid.widened(pa.table({"lang": ["a", "b"], "text": [None, "x"], "counted": [often, langid.shrunk(np.zeros(0), np.zeros(0))]}))
+    assert edge["bucket"].to_pylist() == [[0, langid.BUCKETS - 1], []] and edge["times"].to_pylist() == [[1, 1 << 20], []]
+
+
 def test_collected_examples_lie_in_memory_once():
     rng = np.random.default_rng(2)
     counts = [rng.integers(1, 9, n).astype(np.int32) for n in rng.integers(500, 2500, 1200)]
